@@ -97,3 +97,18 @@ def state_excluded(excluded: Iterable[dict[str, str]], draft: bool = True) -> Co
             every = every & F.col(column).eqNullSafe(F.lit(value))
         verdict = verdict | every
     return verdict
+
+
+def with_states(required: dict[str, list], current: dict[str, str]) -> dict[str, list]:
+    """Value filters of a query with those of the current states added.
+
+    A stage filter is always added; a site filter only when the query has none.
+    """
+    from trawl.operators.criteria import MISSING
+
+    out = {name: list(values) for name, values in required.items()}
+    for column, state in current.items():
+        if column == SUBSITE and out.get(column):
+            continue
+        out[column] = [*out.get(column, []), state, MISSING]
+    return out
