@@ -8,7 +8,8 @@ when it is not, the join shuffles and adaptive execution splits hot terms.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -17,8 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from trawl.functions.analysis import ALT, GAP
 from trawl.functions.folding import ascii_fold
 from trawl.functions.profiles import query_slots
+from trawl.operators.sizing import checked_broadcast
 from trawl.operators.spec import DEFAULT_FIELD
-from trawl.operators.store import TextIndex
+from trawl.operators.store import TextIndex, Wanted
 
 PART = r'"[^"]*"|\S+'
 QUERY_SCHEMA = (
@@ -104,6 +106,17 @@ def parts(queries: DataFrame) -> DataFrame:
     )
 
 
+SINGLE = re.compile(r"\W*(?:[A-Z]*[a-z]*|[0-9]*)\W*")
+
+
+def may_have_phrases(texts: Iterable[str]) -> bool:
+    """False only when no part can be quoted or split by the analyzer."""
+    return any(
+        not SINGLE.fullmatch(part) or part.startswith('"')
+        for text in texts for part in re.findall(PART, text)
+    )
+
+
 def wanted_terms(queries: DataFrame, default_fields: dict[str, float] | None = None) -> DataFrame:
     """Analysed parts per field: ``query_id, part, field, weight, idx, n_idx, term, kind``.
 
@@ -193,7 +206,7 @@ def near_terms(wanted: DataFrame, vocab: DataFrame) -> DataFrame:
     )
     distance = F.levenshtein("word", "term", MAX_EDITS)
     return (
-        probes.join(cut, ["field", "len", "piece", "text"])
+        cut.join(checked_broadcast(probes), ["field", "len", "piece", "text"])
         .select("field", "word", "term", "df").distinct()
         .withColumn("distance", distance)
         .where(F.col("distance") >= 0)
@@ -233,32 +246,24 @@ def wildcard_terms(wanted: DataFrame, vocab: DataFrame) -> DataFrame:
     )
     indexed = vocab.select("field", "term", "df", F.explode(F.array_distinct(keys)).alias("key"))
     return (
-        keyed.join(indexed, ["field", "key"])
+        indexed.join(checked_broadcast(keyed), ["field", "key"])
         .withColumn("pattern", _like(F.col("word")))
         .where(F.expr("term LIKE pattern"))
         .select("field", "word", "term", "df")
     )
 
 
-def expanded(wanted: DataFrame, vocab: DataFrame, kinds: Sequence[str] = ("term",)) -> DataFrame:
-    """Wanted terms with their document frequency, fuzzy and wildcard ones resolved.
+TERM = ["query_id", "part", "field", "weight", "n_idx", "idx", "term"]
 
-    ``kinds`` says what the batch holds, so that a plan has no branch it does not
-    need. Returns ``query_id, part, field, weight, n_idx, idx, term, df``.
-    """
-    columns = ["query_id", "part", "field", "weight", "n_idx", "idx", "term", "df"]
-    frames = []
-    if "term" in kinds:
-        plain = wanted.where(F.col("kind") == "term")
-        frames.append(plain.join(vocab.select("field", "term", "df"), ["field", "term"]).select(*columns))
-    for kind, lookup in (("fuzzy", near_terms), ("wildcard", wildcard_terms)):
-        if kind in kinds:
-            some = wanted.where(F.col("kind") == kind)
-            found = lookup(some, vocab).select("field", "word", "term", "df")
-            frames.append(
-                some.withColumnRenamed("term", "word").join(found, ["field", "word"]).select(*columns)
-            )
-    return reduce(DataFrame.unionByName, frames)
+
+def expanded(wanted: DataFrame, index: TextIndex, kind: str) -> DataFrame:
+    """Wanted terms with fuzzy and wildcard words replaced by vocabulary terms."""
+    if kind == "term":
+        return wanted.where(F.col("kind") == "term").select(*TERM)
+    lookup = {"fuzzy": near_terms, "wildcard": wildcard_terms}[kind]
+    some = wanted.where(F.col("kind") == kind).withColumnRenamed("term", "word")
+    found = lookup(some.withColumnRenamed("word", "term"), index.vocab).select("field", "word", "term")
+    return some.join(found, ["field", "word"]).select(*TERM)
 
 
 # Matching and scoring -------------------------------------------------------
@@ -301,17 +306,24 @@ def _phrase_scores(found: DataFrame, weight: Column) -> DataFrame:
 def part_hits(index: TextIndex, terms: DataFrame, phrases: bool = True) -> DataFrame:
     """Score of every (query, document, part, field) and term or phrase that matches.
 
-    Each branch is hashed by (query, document) before its first group, and all
-    later groups contain those keys.
+    The terms are materialised and counted first; postings are cut down to them
+    before any join. Each branch is then hashed by (query, document), and all its
+    groups contain those keys.
     """
+    wanted = Wanted.of(terms)
+    frequencies = index.frequencies(wanted)
     weight = idf(F.col("df"), index.total())
 
-    def found(rows: DataFrame) -> DataFrame:
-        return index.postings.join(rows, ["field", "term"]).repartition("query_id", "doc_id")
+    def found(which: Column) -> DataFrame:
+        rows = wanted.hinted(wanted.frame.where(which))
+        return (
+            index.lookup(wanted).join(rows, ["field", "term"])
+            .join(frequencies, ["field", "term"]).repartition("query_id", "doc_id")
+        )
 
-    hits = _term_scores(found(terms.where(F.col("n_idx") == 1)), weight)
+    hits = _term_scores(found(F.col("n_idx") == 1), weight)
     if phrases:
-        hits = hits.unionByName(_phrase_scores(found(terms.where(F.col("n_idx") > 1)), weight))
+        hits = hits.unionByName(_phrase_scores(found(F.col("n_idx") > 1), weight))
     score = (
         F.col("weight") * F.sqrt(F.col("tf").cast("double")) * F.col("idf") * F.col("idf")
         / F.sqrt(F.col("n_terms").cast("double"))
@@ -323,10 +335,13 @@ def match(index: TextIndex, wanted: DataFrame, kinds: Sequence[str] = ("term",),
           phrases: bool = True, best_field: bool = False) -> DataFrame:
     """``query_id, doc_id, score``: documents in which every part of a query matches.
 
-    A part scores the sum over its fields, or the best of them with ``best_field``.
+    ``kinds`` says which kinds of words the batch holds, so that a plan has no
+    branch it does not need. A part scores the sum over its fields, or the best of
+    them with ``best_field``.
     """
     needed = wanted.groupBy("query_id").agg(F.count_distinct("part").alias("n_parts"))
-    hits = part_hits(index, expanded(wanted, index.vocab, kinds), phrases)
+    terms = reduce(DataFrame.unionByName, (expanded(wanted, index, k) for k in kinds))
+    hits = part_hits(index, terms, phrases)
     over_fields = F.max("score") if best_field else F.sum("score")
     per_document = (
         hits.groupBy(*HIT).agg(F.sum("score").alias("score"))

@@ -7,7 +7,7 @@ multi-valued field nor a hot term is ever gathered into one row.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -42,15 +42,22 @@ def term_count(slots: Column) -> Column:
     return F.aggregate(slots, F.lit(0), lambda total, slot: total + in_slot(slot))
 
 
+def in_parallel(frame: DataFrame) -> DataFrame:
+    """Analysis is CPU work: spread input that is read in fewer splits than there
+    are cores. Large input has splits enough and is not shuffled."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def analysed(sources: Iterable[TextSource]) -> DataFrame:
-    """``field, source, doc_id, val_no, slots, n_terms, multi`` per text value."""
+    """``field, source, doc_id, val_no, slots, n_terms`` per text value."""
     frames = []
     for s in sources:
         val_no = F.col("val_no").cast("long") if s.multi else F.lit(0).cast("long")
-        rows = s.frame.select(
+        rows = in_parallel(s.frame.where(F.col("text").isNotNull())).select(
             F.lit(s.field).alias("field"), F.lit(s.source or s.field).alias("source"),
             "doc_id", val_no.alias("val_no"), s.chain()(F.col("text")).alias("slots"),
-        ).where(F.col("text").isNotNull())
+        )
         frames.append(rows.select("*", term_count(F.col("slots")).alias("n_terms")))
     return reduce(DataFrame.unionByName, frames)
 
@@ -88,9 +95,9 @@ def explode_terms(rows: DataFrame) -> DataFrame:
     )
 
 
-def tokens(sources: Iterable[TextSource]) -> DataFrame:
-    sources = list(sources)
-    return explode_terms(with_field_length(analysed(sources), spread_over_values(sources)))
+def tokens(rows: DataFrame, spread: Iterable[str] = ()) -> DataFrame:
+    """Term occurrences of ``analysed`` rows, with the length of their whole field."""
+    return explode_terms(with_field_length(rows, set(spread)))
 
 
 def postings(occurrences: DataFrame) -> DataFrame:
@@ -106,11 +113,10 @@ def postings(occurrences: DataFrame) -> DataFrame:
     )
 
 
-def field_stats(sources: Iterable[TextSource]) -> DataFrame:
-    """``field, doc_id, n_terms, norm``; computed without exploding the text."""
+def field_stats(rows: DataFrame) -> DataFrame:
+    """``field, doc_id, n_terms, norm`` of ``analysed`` rows, without exploding them."""
     return (
-        analysed(sources).groupBy("field", "doc_id")
-        .agg(F.sum("n_terms").alias("n_terms"))
+        rows.groupBy("field", "doc_id").agg(F.sum("n_terms").alias("n_terms"))
         .where(F.col("n_terms") > 0)
         .withColumn("norm", norm(F.col("n_terms")))
     )
@@ -134,14 +140,16 @@ def vocabulary(rows: DataFrame, spread: Iterable[str] = ()) -> DataFrame:
     return _frequencies(rows.select("field", "term", "doc_id"), spread)
 
 
-def vocabulary_of(sources: Iterable[TextSource]) -> DataFrame:
-    """The same, straight from text: a value's distinct terms are found in place."""
-    sources = list(sources)
-    rows = analysed(sources).where(F.col("n_terms") > 0)
+def vocabulary_of(rows: DataFrame, spread: Iterable[str] = (),
+                  cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The same from ``analysed`` rows: a value's distinct terms are found in place.
+
+    ``cut`` drops unwanted terms before anything is counted.
+    """
     terms = rows.select(
         "field", "doc_id", F.explode_outer(distinct_terms(F.col("slots"))).alias("term")
-    )
-    return _frequencies(terms, spread_over_values(sources))
+    ).where(F.col("term") != GAP)
+    return _frequencies(cut(terms) if cut else terms, spread)
 
 
 def _frequencies(rows: DataFrame, spread: Iterable[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trawl.operators import criteria as C
 from trawl.operators import matching as M
 from trawl.operators import ranking as R
+from trawl.operators.spec import DEFAULT_FIELD
 from trawl.operators.store import TextIndex
 from trawl.operators.variants import with_states
 
@@ -60,7 +61,7 @@ def filtered(matches: DataFrame, documents: DataFrame, queries: Sequence[M.Searc
 def search(index: TextIndex, queries: Sequence[M.SearchQuery],
            query_fields: dict[str, float] | None = None,
            current: dict[str, str] | None = None, multi: Iterable[str] = (),
-           offset: int = -1, limit: int = -1, phrases: bool = True,
+           offset: int = -1, limit: int = -1,
            boosts: Sequence[tuple[Column, float]] = (),
            hook: Callable[[DataFrame], DataFrame] | None = None) -> SearchResult:
     """Search for a batch of queries that share their page.
@@ -78,7 +79,13 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
         fuzzy = any(t[3] for q in worded for t in q.terms)
         wild = any(c in t[2] for q in worded for t in q.terms for c in "*?")
         kinds = ["term"] + ["fuzzy"] * fuzzy + ["wildcard"] * wild
-        matches = M.match(index, wanted, kinds, phrases, best_field=bool(query_fields))
+        names = {f for q in worded for t in q.terms for f in t[4]}
+        if any(not t[4] for q in worded for t in q.terms):
+            names |= set(query_fields or {DEFAULT_FIELD: 1.0})
+        phrases = M.may_have_phrases(t[2] for q in worded for t in q.terms)
+        matches = M.match(
+            index.only_fields(names), wanted, kinds, phrases, best_field=bool(query_fields)
+        )
     blank = [q.query_id for q in queries if not q.terms]
     if blank:
         every = M.match_all(index.documents, blank)

@@ -2,25 +2,111 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trawl.operators import postings as P
+from trawl.operators.sizing import BROADCAST_ROWS, materialised, within
 
 TABLES = ("documents", "postings", "vocab")
+BUCKETS = 64
+LITERAL_KEYS = 1000
+
+
+def bucket(term: Column) -> Column:
+    """Partition of a term in published tables."""
+    return F.pmod(F.crc32(term.cast("binary")), F.lit(BUCKETS)).cast("int")
+
+
+@dataclass(frozen=True)
+class Wanted:
+    """Terms a batch of queries looks up: a materialised table, whether it may be
+    broadcast, and its distinct (field, term) pairs when they are few."""
+
+    frame: DataFrame
+    small: bool
+    keys: tuple[tuple[str, str], ...] | None
+
+    @classmethod
+    def of(cls, terms: DataFrame) -> Wanted:
+        frame = materialised(terms)
+        listed = frame.select("field", "term").distinct().limit(LITERAL_KEYS + 1).collect()
+        keys = tuple((r.field, r.term) for r in listed) if len(listed) <= LITERAL_KEYS else None
+        return cls(frame, within(frame, BROADCAST_ROWS), keys)
+
+    def hinted(self, frame: DataFrame) -> DataFrame:
+        """Broadcast something that has at most as many rows as the terms."""
+        return F.broadcast(frame) if self.small else frame
+
+    def cut(self, rows: DataFrame) -> DataFrame:
+        """Rows of the wanted terms only. Few terms become literals, which prune
+        partitions and row groups of a table and filter tokens without a join."""
+        if self.keys is None:
+            pairs = self.hinted(self.frame.select("field", "term").distinct())
+            return rows.join(pairs, ["field", "term"], "left_semi")
+        fields, terms = {f for f, _ in self.keys}, {t for _, t in self.keys}
+        kept = F.col("field").isin(*fields) & F.col("term").isin(*terms)
+        if "bucket" in rows.columns:
+            buckets = {zlib.crc32(t.encode()) % BUCKETS for t in terms}
+            kept = kept & F.col("bucket").isin(*buckets)
+        return rows.where(kept)
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """``documents`` has a unique ``doc_id``; ``postings`` and ``vocab`` refer to it."""
+    """Documents (unique ``doc_id``) with the postings and vocabulary of their text.
+
+    Either read from published tables, or lazy over text ``sources``; a lazy index
+    analyses the text again in every query and suits one-off jobs.
+    """
 
     documents: DataFrame
-    postings: DataFrame
-    vocab: DataFrame
+    sources: tuple[P.TextSource, ...] = ()
+    tables: tuple[DataFrame, DataFrame] | None = None
     spread: frozenset[str] = frozenset()
 
+    @cached_property
+    def analysed(self) -> DataFrame:
+        return P.analysed(self.sources)
+
+    @cached_property
+    def tokens(self) -> DataFrame:
+        return P.tokens(self.analysed, self.spread)
+
+    @property
+    def postings(self) -> DataFrame:
+        return self.tables[0] if self.tables else P.postings(self.tokens)
+
+    @property
+    def vocab(self) -> DataFrame:
+        return self.tables[1] if self.tables else P.vocabulary_of(self.analysed, self.spread)
+
+    def only_fields(self, names: Iterable[str]) -> TextIndex:
+        """The same index without the fields a query does not name."""
+        names = list(names)
+        if self.tables:
+            kept = tuple(t.where(F.col("field").isin(*names)) for t in self.tables)
+            return replace(self, tables=kept)
+        return replace(self, sources=tuple(s for s in self.sources if s.field in names))
+
+    def lookup(self, wanted: Wanted) -> DataFrame:
+        """Postings of wanted terms; on text, tokens are dropped before grouping."""
+        if self.tables:
+            return wanted.cut(self.tables[0])
+        return P.postings(wanted.cut(self.tokens))
+
+    def frequencies(self, wanted: Wanted) -> DataFrame:
+        """``field, term, df`` of wanted terms."""
+        if self.tables:
+            rows = wanted.cut(self.tables[1])
+        else:
+            rows = P.vocabulary_of(self.analysed, self.spread, wanted.cut)
+        return wanted.hinted(rows.select("field", "term", "df"))
+
     def total(self) -> Column:
         """Number of documents, as a scalar subquery."""
         return self.documents.select(F.count("*").alias("n")).scalar()
@@ -28,38 +114,39 @@ class TextIndex:
 
 def build(documents: DataFrame, sources: Iterable[P.TextSource]) -> TextIndex:
     """Lazy index over analysed text; see ``publish`` for keeping it."""
-    sources = list(sources)
-    return TextIndex(
-        documents, P.postings(P.tokens(sources)), P.vocabulary_of(sources),
-        frozenset(P.spread_over_values(sources)),
-    )
+    sources = tuple(sources)
+    return TextIndex(documents, sources, spread=frozenset(P.spread_over_values(sources)))
 
 
-def publish(index: TextIndex, path: str, generation: int, files: int | None = None) -> str:
-    """Write one generation of the index tables under a fresh path.
+def publish(index: TextIndex, path: str, generation: int, files: int | None = None) -> TextIndex:
+    """Write one generation of the index tables under a fresh path and read it back.
 
-    Postings are range-partitioned by term and document: a lookup touches few row
-    groups, and a term that is in every document is spread over many files.
+    Tables are partitioned by field and term bucket and sorted by term, so a lookup
+    reads few files and row groups. Ranges end inside a term where needed: a term
+    that is in every document is spread over many files by document.
     """
     root = f"{path}/gen={generation}"
     spark = index.documents.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def write(rows: DataFrame, name: str, *order: str) -> None:
+        rows = rows.withColumn("bucket", bucket(F.col("term")))
+        order = ("field", "bucket", *order)
+        (
+            rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+            .write.partitionBy("field", "bucket").parquet(f"{root}/{name}")
+        )
+
     index.documents.write.parquet(f"{root}/documents")
-    order = ["field", "term", "doc_id"]
-    (
-        index.postings.repartitionByRange(files, *order).sortWithinPartitions(*order)
-        .write.parquet(f"{root}/postings")
-    )
+    write(index.postings, "postings", "term", "doc_id", "val_no")
     written = spark.read.parquet(f"{root}/postings")
-    (
-        P.vocabulary(written, index.spread).repartitionByRange(files, "field", "term")
-        .sortWithinPartitions("field", "term").write.parquet(f"{root}/vocab")
-    )
-    return root
+    write(P.vocabulary(written, index.spread), "vocab", "term")
+    return load(spark, root, index.spread)
 
 
-def load(spark: SparkSession, root: str) -> TextIndex:
-    return TextIndex(*(spark.read.parquet(f"{root}/{t}") for t in TABLES))
+def load(spark: SparkSession, root: str, spread: Iterable[str] = ()) -> TextIndex:
+    documents, postings, vocab = (spark.read.parquet(f"{root}/{t}") for t in TABLES)
+    return TextIndex(documents, tables=(postings, vocab), spread=frozenset(spread))
 
 
 # Upserts and deletes ------------------------------------------------------

@@ -1,6 +1,6 @@
 """All registered queries; importing the modules registers them."""
 
-from trawl.plans import analysis, fields, filtering, searching, states
+from trawl.plans import analysis, decorating, fields, filtering, indexing, searching, states
 from trawl.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "analysis", "fields", "filtering", "searching", "states"]
+__all__ = ["QUERIES", "SQL", "analysis", "decorating", "fields", "filtering", "indexing", "searching", "states"]

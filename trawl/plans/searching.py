@@ -40,9 +40,9 @@ def content_hits(parts: list) -> str:
     return f"{S.terms(CONTENT_TEXT)}, {CONTENT_TOTAL}, {S.scored(parts)}"
 
 
-def all_matches(spark: SparkSession, sf: str, words: str = WORDS, phrases: bool = False) -> DataFrame:
+def all_matches(spark: SparkSession, sf: str, words: str = WORDS) -> DataFrame:
     index = document_index(spark, sf)
-    return search(index, [Q("q").add_search_term(words)], phrases=phrases).matches
+    return search(index, [Q("q").add_search_term(words)]).matches
 
 
 HITS = "SELECT 'q' AS query_id, doc_id, score FROM hits"
@@ -105,7 +105,7 @@ ORDER BY score DESC, doc_id LIMIT 10""")
 def search_filtered_top(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: the best ten English documents for two words."""
     q = Q("q").add_search_term(WORDS).add_filter("lang", "en")
-    hits = search(document_index(spark, sf), [q], phrases=False).hits
+    hits = search(document_index(spark, sf), [q]).hits
     return hits.select("query_id", "doc_id", "score", "rank").orderBy("rank")
 
 
@@ -115,7 +115,7 @@ FIELDS = ["Document_text", "Page_html"]
 @query("search_field", f"""WITH {content_hits([[(f, w, 1.0) for f in FIELDS] for w in WORDS.split()])} {HITS}""")
 def search_field(spark: SparkSession, sf: str) -> DataFrame:
     q = Q("q").add_search_term(WORDS, FIELDS)
-    return search(content_index(spark, sf), [q], phrases=False).matches
+    return search(content_index(spark, sf), [q]).matches
 
 
 BOOST = {"Page_html": 3.0, "Document_text": 0.5}
@@ -126,7 +126,7 @@ BOOST = {"Page_html": 3.0, "Document_text": 0.5}
 def search_boost(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted fields join the field set; a field named twice counts once."""
     q = Q("q").add_search_term(WORDS, ["_text", "Page_html"], BOOST)
-    return search(content_index(spark, sf), [q], phrases=False).matches
+    return search(content_index(spark, sf), [q]).matches
 
 
 QUERY_FIELDS = {"Page_html": 2.0, "Document_text": 1.5, "_text": 1.0}
@@ -144,7 +144,7 @@ def search_field_boost(spark: SparkSession, sf: str) -> DataFrame:
     spec = content_spec(spark, sf)
     spec.add_boosted_field("html").set_field_boosting("Document_text", 1.5)
     return search(
-        content_index(spark, sf), [Q("q").add_search_term(WORDS)], spec.query_fields(), phrases=False
+        content_index(spark, sf), [Q("q").add_search_term(WORDS)], spec.query_fields()
     ).matches
 
 
@@ -154,7 +154,7 @@ SELECT 'q' AS query_id, doc_id, round(score + CASE WHEN lang = 'en' THEN 2.5 ELS
 def search_boost_query(spark: SparkSession, sf: str) -> DataFrame:
     boosts = [(F.col("lang") == "en", 2.5), (F.col("n_chars") > 2000, 1.0)]
     q = Q("q").add_search_term(WORDS)
-    return search(document_index(spark, sf), [q], phrases=False, boosts=boosts).matches
+    return search(document_index(spark, sf), [q], boosts=boosts).matches
 
 
 @query("search_match_all", "SELECT 'q' AS query_id, doc_id, 1.0 AS score FROM documents WHERE lang <> 'es'")
@@ -179,20 +179,20 @@ hits AS (SELECT doc_id, round(sum(s), 6) AS score FROM piece
 @query("search_fuzzy", f"""WITH {expanding(["levenshtein(term, 'thanedbel') <= 2", "levenshtein(term, 'erinr') <= 2"])} {HITS}""")
 def search_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     q = Q("q").add_fuzzy_search_term("thanedbel erinr")
-    return search(document_index(spark, sf), [q], phrases=False).matches
+    return search(document_index(spark, sf), [q]).matches
 
 
 @query("search_wildcard", f"""WITH {expanding(["term LIKE 'thane%'", "term LIKE 'er_ner'", "term LIKE '%ntio%'"])} {HITS}""")
 def search_wildcard(spark: SparkSession, sf: str) -> DataFrame:
     q = Q("q").add_search_term("thane* er?ner *ntio*")
-    return search(document_index(spark, sf), [q], phrases=False).matches
+    return search(document_index(spark, sf), [q]).matches
 
 
 @query("wildcard_leading", f"""WITH {expanding(["term LIKE '%nedble'"])} {HITS}""")
 def wildcard_leading(spark: SparkSession, sf: str) -> DataFrame:
     """A leading wildcard is looked up by the term's end."""
     q = Q("q").add_search_term("*nedble")
-    return search(document_index(spark, sf), [q], phrases=False).matches
+    return search(document_index(spark, sf), [q]).matches
 
 
 def phrase_sql(words: list[str]) -> str:
@@ -215,13 +215,13 @@ hits AS (
 
 @query("search_phrase", f"WITH {phrase_sql(['anea', 'eriner', 'thanea'])} {HITS}")
 def search_phrase(spark: SparkSession, sf: str) -> DataFrame:
-    return all_matches(spark, sf, '"Anea. Eriner thanea"', phrases=True)
+    return all_matches(spark, sf, '"Anea. Eriner thanea"')
 
 
 @query("search_auto_phrase", f"WITH {phrase_sql(['example', 'com'])} {HITS}")
 def search_auto_phrase(spark: SparkSession, sf: str) -> DataFrame:
     """A part the analyzer splits becomes a phrase."""
-    return all_matches(spark, sf, "example.com", phrases=True)
+    return all_matches(spark, sf, "example.com")
 
 
 @query("search_multi_term", f"""WITH {S.terms(CONTENT_TEXT)}, {CONTENT_TOTAL},
@@ -239,7 +239,7 @@ def search_multi_term(spark: SparkSession, sf: str) -> DataFrame:
     q = Q("q").add_search_term("anea").add_fuzzy_search_term("thonn", ["Document_text"])
     # a stop word would be dropped, its punctuated form survives the stop filter
     q.add_search_term("the,", ["_text"], {"Page_html": 2.0})
-    return search(content_index(spark, sf), [q], phrases=False).matches
+    return search(content_index(spark, sf), [q]).matches
 
 
 # Ranking --------------------------------------------------------------------
