@@ -103,7 +103,7 @@ def main() -> int:
         try:
             ok, note = compare(spark, con, args.sf, name, runs[name], sqls.get(name))
         except Exception as error:  # report and go on with the next query
-            ok, note = False, f"{type(error).__name__}: {str(error)[:700]}"
+            ok, note = False, f"{type(error).__name__}: {str(error)[:400]}"
         print("ok  " if ok else "FAIL", name, note, flush=True)
         bad += [] if ok else [name]
     print(f"{len(bad)} failed: {bad}")

@@ -156,14 +156,12 @@ class IndexSpec:
         return ends
 
     def _leaf_types(self, cls: str, children: bool, leaf: str):
-        """Classes a field is read from; the search stops below a match."""
+        """Classes a field is read from: the topmost that has it, per branch."""
         skipped: set[str] = set()
         for candidate in self.tree.hierarchy(cls, children):
             if candidate in skipped:
                 continue
-            declared = self.tree.field_types(cls).get(leaf)
-            if declared is None:
-                declared = self.tree.field_types(candidate).get(leaf)
+            declared = self.tree.field_types(candidate).get(leaf)
             if declared is None and leaf in self.tree.computed(candidate):
                 declared = "String"
             if declared is not None:
