@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from trawl.operators.sizing import checked_broadcast, materialised
 from trawl.operators.spec import Derivation, IndexSpec
 from trawl.operators.variants import (
     Variant, combinations, common, document_id, state_excluded, state_json,
@@ -40,19 +41,22 @@ def coalesce_writes(feed: DataFrame, tree: ClassTree, state: Sequence[str] = ())
         F.max("depth").alias("depth"),
         F.min_by("command", "seq").alias("command"),
         F.min("seq").alias("first_seq"), F.max("seq").alias("seq"),
+        F.bool_or(F.col("command") == "delete").alias("deleted"),
     )
     entries = F.collect_list(F.when(F.col("field").isNotNull(), F.struct("field", "value")))
     return per_field.groupBy(*key).agg(
         F.max_by("class", F.struct("depth", "class")).alias("class"),
         F.min_by("command", "first_seq").alias("command"),
-        F.max("seq").alias("seq"),
+        F.max("seq").alias("seq"), F.bool_or("deleted").alias("deleted"),
         F.map_from_entries(F.array_sort(entries)).alias("fields"),
     )
 
 
 def trim_writes(writes: DataFrame) -> DataFrame:
-    """Writes that change nothing are dropped, deletes are kept."""
-    return writes.where((F.col("command") == "delete") | (F.size("fields") > 0))
+    """Writes that change nothing are dropped; deletes are kept, also those merged
+    with an earlier write of the same batch."""
+    kept = (F.col("command") == "delete") | (F.size("fields") > 0)
+    return writes.where(kept | F.col("deleted") if "deleted" in writes.columns else kept)
 
 
 def delete_rows(deleted: DataFrame, tree: ClassTree) -> DataFrame:
@@ -97,10 +101,11 @@ def touches(derivation: Derivation) -> Column:
 def walk_back(tree: ClassTree, changed: DataFrame, derivation: Derivation) -> DataFrame:
     """Base objects reached from changed objects by following the path backwards.
 
-    ``changed`` has ``id``; the joins carry the few changed keys, so Spark can
-    broadcast them and the relation tables are only scanned.
+    ``changed`` has ``id``. The reached keys are counted at every step: as long as
+    they are few they are broadcast and the relation table is only scanned; many
+    are joined by a shuffle.
     """
-    at = changed.select("id").distinct()
+    at = checked_broadcast(changed.select("id").distinct())
     for hop in reversed(derivation.hops):
         relation = hop.relation
         if relation.kind == "has_one":
@@ -113,10 +118,11 @@ def walk_back(tree: ClassTree, changed: DataFrame, derivation: Derivation) -> Da
             links = relation.link.select(
                 F.col(relation.far_key).alias("id"), F.col(relation.key).alias("next")
             )
-        at = (
+        reached = (
             links.join(at, "id").select(F.col("next").alias("id"))
             .where(F.col("id").isNotNull()).distinct()
         )
+        at = checked_broadcast(reached) if hop is not derivation.hops[0] else reached
     return at
 
 
@@ -174,16 +180,24 @@ def operations(stale: DataFrame, documents: DataFrame, spec: IndexSpec,
     considered = considered.withColumn("state", state_json(variants)).withColumn(
         "_documentid", document_id(F.col("id"), F.col("base"), F.col("state"))
     )
-    verdict = documents.select("_documentid", F.col(indexable).alias("__ok"))
+    considered = materialised(considered)
+    verdict = of_objects(documents, considered).select("_documentid", F.col(indexable).alias("__ok"))
     op = F.when(F.coalesce("__ok", F.lit(False)), F.lit("upsert")).otherwise(F.lit("delete"))
     return considered.join(verdict, "_documentid", "left").select(
         "_documentid", "base", "id", *names, op.alias("op")
     )
 
 
+def of_objects(documents: DataFrame, stale: DataFrame) -> DataFrame:
+    """Documents of the stale objects. The semi join is on the object's own key, so
+    Spark can push it down to the source tables before any field is computed."""
+    ids = checked_broadcast(stale.select(F.col("id").alias("ID")).distinct())
+    return documents.join(ids, "ID", "left_semi")
+
+
 def log_entries(ops: DataFrame, documents: DataFrame, seq: Column) -> DataFrame:
     """Operation-log rows: the document of an upsert, just the key of a delete."""
-    body = documents.drop("indexable")
+    body = of_objects(documents, ops).drop("indexable")
     return (
         ops.select("_documentid", "op").join(body, "_documentid", "left")
         .withColumn("seq", seq)

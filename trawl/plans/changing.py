@@ -80,7 +80,8 @@ named AS (SELECT id, string_agg(class || ':' || field || '=' || value, ',' ORDER
   FROM last GROUP BY 1),
 writes AS (SELECT id, 'Party' AS base,
   CASE WHEN bool_or(class = 'Customer') THEN 'Customer' ELSE 'Party' END AS class,
-  arg_min(command, seq) AS command, max(seq) AS seq, coalesce(any_value(n.fields), '') AS fields
+  arg_min(command, seq) AS command, max(seq) AS seq, coalesce(any_value(n.fields), '') AS fields,
+  bool_or(command = 'delete') AS deleted
   FROM feed LEFT JOIN named n USING (id) GROUP BY id)"""
 
 
@@ -88,7 +89,7 @@ def writes(spark: SparkSession, sf: str) -> DataFrame:
     return M.coalesce_writes(feed(spark, sf), customer_tree(spark, sf))
 
 
-@query("write_coalesce", f"WITH {COALESCED} SELECT id, base, class, command, seq, fields FROM writes")
+@query("write_coalesce", f"WITH {COALESCED} SELECT id, base, class, command, seq, fields, deleted FROM writes")
 def write_coalesce(spark: SparkSession, sf: str) -> DataFrame:
     return writes(spark, sf).withColumn("fields", shown("fields"))
 
@@ -272,7 +273,9 @@ def update_missing_delete(spark: SparkSession, sf: str) -> DataFrame:
     return gone.select("_documentid", "id")
 
 
-@query("stream_update")
+@query("stream_update", """SELECT c_custkey || '-Party-[]' AS _documentid, c_custkey AS ID,
+  c_name AS Customer_c_name FROM customer
+WHERE c_custkey <> 0 AND c_custkey IN (SELECT user_id FROM events WHERE event_type <> 'view')""")
 def stream_update(spark: SparkSession, sf: str) -> DataFrame:
     """The feed as a stream of files, applied batch by batch to an operation log."""
     folder = scratch_folder(spark, "stream")

@@ -115,7 +115,10 @@ def analyze_phonetic(spark: SparkSession, sf: str) -> DataFrame:
     return vocab.select("term", "df", code.alias("code"))
 
 
-@query("index_publish")
+@query("index_publish", f"""WITH {S.terms(TEXT)}
+SELECT 'documents' AS "table", count(*) AS n FROM documents
+UNION ALL SELECT 'postings', count(*) FROM (SELECT DISTINCT term, doc_id FROM terms) AS p
+UNION ALL SELECT 'vocab', count(DISTINCT term) FROM terms""")
 def index_publish(spark: SparkSession, sf: str) -> DataFrame:
     """Write a generation of the tables and read it back."""
     index = store.publish(document_index(spark, sf), scratch_folder(spark, "published"), 1)
