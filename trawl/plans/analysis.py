@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from trawl.functions import analysis as A
 from trawl.functions.markup import strip_html
 from trawl.functions.profiles import PROFILES
-from trawl.operators.postings import term_count
+from trawl.operators.postings import in_parallel, term_count
 from trawl.plans import sqltext as S
 from trawl.plans.registry import query
 from trawl.plans.sample import read
@@ -23,7 +23,7 @@ def shown(slots: Column) -> Column:
 
 
 def listing(frame: DataFrame, key: str, slots: Column) -> DataFrame:
-    return frame.select(F.col(key).alias("doc_id"), slots.alias("slots")).select(
+    return in_parallel(frame).select(F.col(key).alias("doc_id"), slots.alias("slots")).select(
         "doc_id", term_count(F.col("slots")).cast("long").alias("n_terms"),
         shown(F.col("slots")).alias("terms"),
     )
