@@ -33,21 +33,33 @@ def found(result):
     return sorted(r.doc_id for r in result.matches.collect())
 
 
-@pytest.mark.parametrize("text, expected", [
-    ("quick", [0, 1, 2, 3, 8]),
-    ("quick fox", [0, 2, 3]),
-    ('"quick brown"', [0, 1]),
-    ('"brown quick" fox', [3]),
-    ("wi-fi", [2]),
-    ("wifi", [2, 7]),
-    ("fire*", [5, 6, 9]),
-    ("*fly", [6]),
-    ("f?re", [5, 9]),
-    ("the", []),
-    ("absent quick", []),
-])
-def test_terms(spark, text, expected):
-    assert found(search(corpus(spark), [Q().add_search_term(text)])) == expected
+EXPECTED = {
+    "quick": [0, 1, 2, 3, 8],
+    "quick fox": [0, 2, 3],
+    '"quick brown"': [0, 1],
+    '"brown quick" fox': [3],
+    "wi-fi": [2],
+    "wifi": [2, 7],
+    "fire*": [5, 6, 9],
+    "*fly": [6],
+    "f?re": [5, 9],
+    "the": [],
+    "absent quick": [],
+}
+
+
+def as_batch(result):
+    rows = result.matches.collect()
+    return {text: sorted(r.doc_id for r in rows if r.query_id == text) for text in EXPECTED}
+
+
+def test_terms_as_one_batch(spark):
+    queries = [Q(text).add_search_term(text) for text in EXPECTED]
+    assert as_batch(search(corpus(spark), queries)) == EXPECTED
+
+
+def test_single_query(spark):
+    assert found(search(corpus(spark), [Q().add_search_term("quick fox")])) == [0, 2, 3]
 
 
 def test_fuzzy(spark):
@@ -83,9 +95,9 @@ def test_batch_with_own_filters(spark):
 def test_published_index_gives_the_same(spark, tmp_path):
     lazy = corpus(spark)
     disk = store.publish(lazy, str(tmp_path), 1)
-    for text in ("quick fox", '"quick brown"', "fire*", "wi-fi"):
-        rows = [search(i, [Q().add_search_term(text)]).matches.collect() for i in (lazy, disk)]
-        assert sorted(rows[0]) == sorted(rows[1])
+    queries = [Q(text).add_search_term(text) for text in EXPECTED]
+    rows = [sorted(search(i, queries).matches.collect()) for i in (lazy, disk)]
+    assert rows[0] == rows[1]
     again = store.load(spark, f"{tmp_path}/gen=1")
     assert again.postings.count() == lazy.postings.count()
 

@@ -303,14 +303,13 @@ def _phrase_scores(found: DataFrame, weight: Column) -> DataFrame:
     )
 
 
-def part_hits(index: TextIndex, terms: DataFrame, phrases: bool = True) -> DataFrame:
+def part_hits(index: TextIndex, wanted: Wanted, phrases: bool = True) -> DataFrame:
     """Score of every (query, document, part, field) and term or phrase that matches.
 
-    The terms are materialised and counted first; postings are cut down to them
+    The terms have been counted first; postings are cut down to them
     before any join. Each branch is then hashed by (query, document), and all its
     groups contain those keys.
     """
-    wanted = Wanted.of(terms)
     frequencies = index.frequencies(wanted)
     weight = idf(F.col("df"), index.total())
 
@@ -341,7 +340,7 @@ def match(index: TextIndex, wanted: DataFrame, kinds: Sequence[str] = ("term",),
     """
     needed = wanted.groupBy("query_id").agg(F.count_distinct("part").alias("n_parts"))
     terms = reduce(DataFrame.unionByName, (expanded(wanted, index, k) for k in kinds))
-    hits = part_hits(index, terms, phrases)
+    hits = part_hits(index, Wanted.of(terms, derived=set(kinds) != {"term"}), phrases)
     over_fields = F.max("score") if best_field else F.sum("score")
     per_document = (
         hits.groupBy(*HIT).agg(F.sum("score").alias("score"))

@@ -24,19 +24,25 @@ def bucket(term: Column) -> Column:
 
 @dataclass(frozen=True)
 class Wanted:
-    """Terms a batch of queries looks up: a materialised table, whether it may be
-    broadcast, and its distinct (field, term) pairs when they are few."""
+    """Terms a batch of queries looks up, whether they were counted as few enough to
+    broadcast, and their distinct (field, term) pairs when those are few."""
 
     frame: DataFrame
     small: bool
     keys: tuple[tuple[str, str], ...] | None
 
     @classmethod
-    def of(cls, terms: DataFrame) -> Wanted:
-        frame = materialised(terms)
-        listed = frame.select("field", "term").distinct().limit(LITERAL_KEYS + 1).collect()
-        keys = tuple((r.field, r.term) for r in listed) if len(listed) <= LITERAL_KEYS else None
-        return cls(frame, within(frame, BROADCAST_ROWS), keys)
+    def of(cls, terms: DataFrame, derived: bool = False) -> Wanted:
+        """``derived`` terms come out of vocabulary joins and are written once; those
+        read off the query texts are cheaper to compute again than to keep."""
+        frame = materialised(terms) if derived else terms
+        listed = (
+            frame.limit(BROADCAST_ROWS + 1).groupBy("field", "term").agg(F.count("*").alias("n"))
+            .limit(LITERAL_KEYS + 1).collect()
+        )
+        few = len(listed) <= LITERAL_KEYS and sum(r.n for r in listed) <= BROADCAST_ROWS
+        keys = tuple((r.field, r.term) for r in listed) if few else None
+        return cls(frame, few or within(frame, BROADCAST_ROWS), keys)
 
     def hinted(self, frame: DataFrame) -> DataFrame:
         """Broadcast something that has at most as many rows as the terms."""
