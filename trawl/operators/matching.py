@@ -310,13 +310,13 @@ def part_hits(index: TextIndex, wanted: Wanted, phrases: bool = True) -> DataFra
     before any join. Each branch is then hashed by (query, document), and all its
     groups contain those keys.
     """
-    frequencies = index.frequencies(wanted)
+    postings, frequencies = index.matched(wanted)
     weight = idf(F.col("df"), index.total())
 
     def found(which: Column) -> DataFrame:
         rows = wanted.hinted(wanted.frame.where(which))
         return (
-            index.lookup(wanted).join(rows, ["field", "term"])
+            postings.join(rows, ["field", "term"])
             .join(frequencies, ["field", "term"]).repartition("query_id", "doc_id")
         )
 

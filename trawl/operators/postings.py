@@ -7,7 +7,7 @@ multi-valued field nor a hot term is ever gathered into one row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -140,16 +140,12 @@ def vocabulary(rows: DataFrame, spread: Iterable[str] = ()) -> DataFrame:
     return _frequencies(rows.select("field", "term", "doc_id"), spread)
 
 
-def vocabulary_of(rows: DataFrame, spread: Iterable[str] = (),
-                  cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """The same from ``analysed`` rows: a value's distinct terms are found in place.
-
-    ``cut`` drops unwanted terms before anything is counted.
-    """
+def vocabulary_of(rows: DataFrame, spread: Iterable[str] = ()) -> DataFrame:
+    """The same from ``analysed`` rows: a value's distinct terms are found in place."""
     terms = rows.select(
         "field", "doc_id", F.explode_outer(distinct_terms(F.col("slots"))).alias("term")
     ).where(F.col("term") != GAP)
-    return _frequencies(cut(terms) if cut else terms, spread)
+    return _frequencies(terms, spread)
 
 
 def _frequencies(rows: DataFrame, spread: Iterable[str]) -> DataFrame:

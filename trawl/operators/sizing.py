@@ -28,9 +28,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def materialised(frame: DataFrame) -> DataFrame:
-    """Write the rows once; later uses read them instead of computing them again."""
+    """Write the rows once; later uses read them instead of computing them again.
+
+    They are persisted while the checkpoint is written, which otherwise computes
+    them a second time.
+    """
     ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint()
+    held = frame.persist()
+    try:
+        return held.checkpoint()
+    finally:
+        held.unpersist()
 
 
 def checked_broadcast(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -99,19 +99,19 @@ class TextIndex:
             return replace(self, tables=kept)
         return replace(self, sources=tuple(s for s in self.sources if s.field in names))
 
-    def lookup(self, wanted: Wanted) -> DataFrame:
-        """Postings of wanted terms; on text, tokens are dropped before grouping."""
-        if self.tables:
-            return wanted.cut(self.tables[0])
-        return P.postings(wanted.cut(self.tokens))
+    def matched(self, wanted: Wanted) -> tuple[DataFrame, DataFrame]:
+        """Postings and document frequencies of wanted terms.
 
-    def frequencies(self, wanted: Wanted) -> DataFrame:
-        """``field, term, df`` of wanted terms."""
+        On text, tokens are dropped before they are grouped, and what is left is
+        written once: the text is analysed in a single pass however often the
+        matches are used.
+        """
         if self.tables:
-            rows = wanted.cut(self.tables[1])
+            postings, vocab = (wanted.cut(t) for t in self.tables)
         else:
-            rows = P.vocabulary_of(self.analysed, self.spread, wanted.cut)
-        return wanted.hinted(rows.select("field", "term", "df"))
+            postings = materialised(P.postings(wanted.cut(self.tokens)))
+            vocab = P.vocabulary(postings, self.spread)
+        return postings, wanted.hinted(vocab.select("field", "term", "df"))
 
     def total(self) -> Column:
         """Number of documents, as a scalar subquery."""

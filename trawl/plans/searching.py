@@ -298,8 +298,8 @@ def sort_random(spark: SparkSession, sf: str) -> DataFrame:
 
 
 RULES = """rules AS (
-  SELECT 'anea thon' AS text, doc_id, toxic = 1 AS excluded, doc_id AS pin
-  FROM labels WHERE toxic = 1 OR quality = 0)"""
+  SELECT doc_id, toxic = 1 AS excluded, doc_id AS pin
+  FROM labels WHERE (toxic = 1 OR quality = 0) AND quality <> toxic)"""
 
 
 @query("elevate", f"""WITH {words_sql()}, {RULES},
@@ -310,9 +310,10 @@ FROM hits FULL JOIN pins USING (doc_id)
 WHERE doc_id NOT IN (SELECT doc_id FROM rules WHERE excluded)
 ORDER BY rank LIMIT 100""")
 def elevate(spark: SparkSession, sf: str) -> DataFrame:
-    """Low-quality documents pinned for one query text, toxic ones excluded from it."""
+    """Some documents pinned for the query text, some excluded, some rules for another text."""
     rules = read(spark, sf, "labels").where("toxic = 1 OR quality = 0").select(
-        F.lit(WORDS).alias("text"), "doc_id", (F.col("toxic") == 1).alias("excluded"),
+        F.when(F.col("quality") == F.col("toxic"), F.lit("other words")).otherwise(F.lit(WORDS)).alias("text"),
+        "doc_id", (F.col("toxic") == 1).alias("excluded"),
         F.col("doc_id").alias("pin"),
     )
     queries = M.query_rows(spark, [Q("q").add_search_term(WORDS)])
