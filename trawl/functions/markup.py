@@ -37,12 +37,23 @@ def _numeric_references(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&#")), decoded).otherwise(text)
 
 
-def strip_html(html: Column) -> Column:
-    """Drop scripts, styles, comments and tags (each becomes a space), decode entities."""
-    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"<[!/]?[a-zA-Z][^>]*>", " ")
+def _entities(text: Column) -> Column:
     for reference, char in ENTITIES.items():
         text = F.replace(text, F.lit(reference), F.lit(char))
-    text = _numeric_references(text)
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    return F.replace(_numeric_references(text), F.lit("&amp;"), F.lit("&"))
+
+
+def strip_html(html: Column) -> Column:
+    """Drop scripts, styles, comments and tags (each becomes a space), decode entities.
+
+    Text without markup or references is passed through untouched.
+    """
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
+    bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", " ")
+    bare = F.regexp_replace(bare, r"<[!/]?[a-zA-Z][^>]*>", " ")
+    bare = F.when(F.contains(html, F.lit("<")), bare).otherwise(html)
+    # a one-element transform names the intermediate text, so it is computed once
+    decoded = F.transform(
+        F.array(bare), lambda t: F.when(F.contains(t, F.lit("&")), _entities(t)).otherwise(t)
+    )
+    return F.try_element_at(decoded, F.lit(1))

@@ -331,15 +331,17 @@ def part_hits(index: TextIndex, wanted: Wanted, phrases: bool = True) -> DataFra
 
 
 def match(index: TextIndex, wanted: DataFrame, kinds: Sequence[str] = ("term",),
-          phrases: bool = True, best_field: bool = False) -> DataFrame:
+          phrases: bool = True, best_field: bool = False,
+          expand_with: TextIndex | None = None) -> DataFrame:
     """``query_id, doc_id, score``: documents in which every part of a query matches.
 
     ``kinds`` says which kinds of words the batch holds, so that a plan has no
     branch it does not need. A part scores the sum over its fields, or the best of
-    them with ``best_field``.
+    them with ``best_field``. Fuzzy and wildcard words are looked up in the
+    vocabulary of ``expand_with``, normally the fields that have such words.
     """
     needed = wanted.groupBy("query_id").agg(F.count_distinct("part").alias("n_parts"))
-    terms = reduce(DataFrame.unionByName, (expanded(wanted, index, k) for k in kinds))
+    terms = reduce(DataFrame.unionByName, (expanded(wanted, expand_with or index, k) for k in kinds))
     hits = part_hits(index, Wanted.of(terms, derived=set(kinds) != {"term"}), phrases)
     over_fields = F.max("score") if best_field else F.sum("score")
     per_document = (

@@ -69,19 +69,6 @@ def spread_over_values(sources: Iterable[TextSource]) -> set[str]:
     return {s.field for s in sources if s.multi or names.count(s.field) > 1}
 
 
-def with_field_length(rows: DataFrame, spread: set[str]) -> DataFrame:
-    """Replace a value's term count by that of the document's whole field."""
-    if not spread:
-        return rows
-    many = rows.where(F.col("field").isin(*spread))
-    totals = many.groupBy("field", "doc_id").agg(F.sum("n_terms").cast("int").alias("n_total"))
-    summed = (
-        many.join(totals, ["field", "doc_id"])
-        .withColumn("n_terms", F.col("n_total")).drop("n_total")
-    )
-    return rows.where(~F.col("field").isin(*spread)).unionByName(summed)
-
-
 def explode_terms(rows: DataFrame) -> DataFrame:
     """One row per term occurrence. The outer explode keeps Spark from evaluating
     the analysis a second time in an inferred filter."""
@@ -95,11 +82,6 @@ def explode_terms(rows: DataFrame) -> DataFrame:
     )
 
 
-def tokens(rows: DataFrame, spread: Iterable[str] = ()) -> DataFrame:
-    """Term occurrences of ``analysed`` rows, with the length of their whole field."""
-    return explode_terms(with_field_length(rows, set(spread)))
-
-
 def postings(occurrences: DataFrame) -> DataFrame:
     """``field, term, source, doc_id, val_no, tf, positions, n_terms``.
 
@@ -113,6 +95,25 @@ def postings(occurrences: DataFrame) -> DataFrame:
     )
 
 
+def with_field_length(found: DataFrame, rows: DataFrame, spread: Iterable[str]) -> DataFrame:
+    """Postings with the length of the whole field instead of that of one value.
+
+    Only fields spread over several values need it; their lengths are added up from
+    ``rows`` (``analysed`` output) and joined to the postings that are left.
+    """
+    spread = list(spread)
+    if not spread:
+        return found
+    inside = F.col("field").isin(*spread)
+    totals = (
+        rows.where(inside).groupBy("field", "doc_id")
+        .agg(F.sum("n_terms").cast("int").alias("n_total"))
+    )
+    many = found.where(inside).join(totals, ["field", "doc_id"])
+    many = many.withColumn("n_terms", F.col("n_total")).select(*found.columns)
+    return found.where(~inside).unionByName(many)
+
+
 def field_stats(rows: DataFrame) -> DataFrame:
     """``field, doc_id, n_terms, norm`` of ``analysed`` rows, without exploding them."""
     return (

@@ -79,12 +79,14 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
         fuzzy = any(t[3] for q in worded for t in q.terms)
         wild = any(c in t[2] for q in worded for t in q.terms for c in "*?")
         kinds = ["term"] + ["fuzzy"] * fuzzy + ["wildcard"] * wild
-        names = {f for q in worded for t in q.terms for f in t[4]}
-        if any(not t[4] for q in worded for t in q.terms):
-            names |= set(query_fields or {DEFAULT_FIELD: 1.0})
-        phrases = M.may_have_phrases(t[2] for q in worded for t in q.terms)
+        default = list(query_fields or [DEFAULT_FIELD])
+        calls = [(t[2], t[3] or "*" in t[2] or "?" in t[2], t[4] or default)
+                 for q in worded for t in q.terms]
+        used = index.only_fields({f for _, _, fields in calls for f in fields})
+        vocab = index.only_fields({f for _, expand, fields in calls if expand for f in fields})
+        phrases = M.may_have_phrases(text for text, _, _ in calls)
         matches = M.match(
-            index.only_fields(names), wanted, kinds, phrases, best_field=bool(query_fields)
+            used, wanted, kinds, phrases, best_field=bool(query_fields), expand_with=vocab
         )
     blank = [q.query_id for q in queries if not q.terms]
     if blank:

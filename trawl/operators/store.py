@@ -79,13 +79,12 @@ class TextIndex:
     def analysed(self) -> DataFrame:
         return P.analysed(self.sources)
 
-    @cached_property
-    def tokens(self) -> DataFrame:
-        return P.tokens(self.analysed, self.spread)
+    def _grouped(self, occurrences: DataFrame) -> DataFrame:
+        return P.with_field_length(P.postings(occurrences), self.analysed, self.spread)
 
     @property
     def postings(self) -> DataFrame:
-        return self.tables[0] if self.tables else P.postings(self.tokens)
+        return self.tables[0] if self.tables else self._grouped(P.explode_terms(self.analysed))
 
     @property
     def vocab(self) -> DataFrame:
@@ -97,7 +96,8 @@ class TextIndex:
         if self.tables:
             kept = tuple(t.where(F.col("field").isin(*names)) for t in self.tables)
             return replace(self, tables=kept)
-        return replace(self, sources=tuple(s for s in self.sources if s.field in names))
+        kept = tuple(s for s in self.sources if s.field in names)
+        return replace(self, sources=kept, spread=self.spread & set(names))
 
     def matched(self, wanted: Wanted) -> tuple[DataFrame, DataFrame]:
         """Postings and document frequencies of wanted terms.
@@ -109,7 +109,7 @@ class TextIndex:
         if self.tables:
             postings, vocab = (wanted.cut(t) for t in self.tables)
         else:
-            postings = materialised(P.postings(wanted.cut(self.tokens)))
+            postings = materialised(self._grouped(wanted.cut(P.explode_terms(self.analysed))))
             vocab = P.vocabulary(postings, self.spread)
         return postings, wanted.hinted(vocab.select("field", "term", "df"))
 
