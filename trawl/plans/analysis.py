@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trawl.functions import analysis as A
-from trawl.functions.markup import strip_html
 from trawl.functions.profiles import PROFILES
 from trawl.operators.postings import in_parallel, term_count
 from trawl.plans import sqltext as S
@@ -49,7 +48,6 @@ def over_benchmark(step: A.Step):
 
 
 ITEMS = "SELECT 'text' AS field, item_id AS doc_id, 0 AS val_no, text FROM benchmark"
-LAST = "(SELECT * FROM terms)"
 
 
 def _chain(source: str, **options) -> str:

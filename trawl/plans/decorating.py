@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trawl.operators import matching as M
-from trawl.operators import ranking as R
 from trawl.operators import results as D
 from trawl.operators.search import search
 from trawl.plans import sqltext as S
 from trawl.plans.registry import query
 from trawl.plans.sample import document_index, read
-from trawl.plans.searching import HITS, PAGE, Q, TEXT, WORDS, all_matches, item_queries, words_sql
+from trawl.plans.searching import PAGE, Q, TEXT, WORDS, all_matches, item_queries, words_sql
 
 
 @query("facet_field", f"""WITH {words_sql()}

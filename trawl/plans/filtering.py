@@ -124,7 +124,6 @@ def _nested_negative() -> Column:
 _criteria("crit_nested_negative", """(p_type NOT IN ('ECONOMY', 'SMALL') AND p_size <= 20)
   OR (p_brand NOT IN ('Brand#1', 'Brand#2') AND p_size <= 8)""", _nested_negative)
 
-_content_sql = f"WITH {CONTENT} SELECT ID, ClassName FROM content"
 _filter("crit_isnull", "lang IS NULL", lambda: C.Criteria.of("Document_lang", None, C.ISNULL).column())
 _filter("crit_isnotnull", "lang IS NOT NULL",
         lambda: C.Criteria.of("Document_lang", None, C.ISNOTNULL).column())

@@ -8,11 +8,11 @@ from trawl.operators import criteria as C
 from trawl.operators import documents as D
 from trawl.operators import gates as G
 from trawl.operators import variants as V
-from trawl.operators.variants import DRAFT, STAGE, SUBSITE
+from trawl.operators.variants import STAGE, SUBSITE
 from trawl.plans.fields import CONTENT, STATED
 from trawl.plans.registry import query
 from trawl.plans.sample import (
-    anyone_can_view, content_documents, content_spec, document_rows, page_rows, read,
+    anyone_can_view, content_spec, document_rows, page_rows, read,
     show_in_search, site_variant, stage_variant, tree,
 )
 from trawl.sources import changes as X
