@@ -5,8 +5,8 @@ it first, as an array of byte symbols; Spark's higher-order functions fold the r
 over it, looking pairs up in a literal rank map. Each row's ids are then gathered by word
 number. Nothing is shuffled, and what a task remembers is bounded by ``WORDS``.
 
-A rank map literal of type map would be searched from its start for each pair, so the map is
-laid out as a table without collisions: a pair's slot follows from arithmetic on its key.
+Words are found in two steps: texts are cut before each space that something else follows,
+where the tokenizer's pattern always cuts, and only distinct chunks meet the pattern.
 
 Null texts are empty and give no ids. Rows are independent: ties, repeats and other columns
 don't matter; an input column named like an output is replaced. An empty table stays empty.
@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from trawl.llm.common import Growing, Numbers, add_columns, binary, ends_to_offsets, ragged, utf8
 
-#: Distinct words a task remembers before it starts afresh.
-WORDS = 400_000
+#: Distinct chunks a task remembers before it starts afresh.
+WORDS = 1_000_000
 #: Words with more symbols are merged with a heap instead: the fold's work grows with the square.
 LONG = 512
 NO_RANK = 2**31 - 1
+#: Places over which left ids are spread, and the factor that spreads them.
+SPREAD, MIX = 1 << 16, 40_503
 #: The White_Space code points, which \s stands for in the tokenizer's pattern.
 SPACE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 
@@ -57,55 +60,24 @@ def pair_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
     return out
 
 
-class RankTable:
-    """Pairs in slots without collisions: groups of pairs, the largest first, each get the
-    first multiplier that puts all their pairs into free slots."""
-
-    def __init__(self, pairs: dict[int, int]):
-        self.slots = _prime(max(7, int(len(pairs) * 1.3)))
-        self.steps = _prime(self.slots // 2 + 3)
-        self.groups = _prime(max(3, len(pairs) // 3))
-        keys, values = np.full(self.slots, -1, np.int64), np.zeros(self.slots, np.int64)
-        taken, shift = bytearray(self.slots), [0] * self.groups
-        members: dict[int, list[int]] = {}
-        for key in pairs:
-            members.setdefault(key % self.groups, []).append(key)
-        for group, own in sorted(members.items(), key=lambda x: -len(x[1])):
-            bases = [(k % self.slots, k % self.steps + 1) for k in own]
-            for by in range(1_000_000):
-                at = [(a + by * b) % self.slots for a, b in bases]
-                if len(set(at)) == len(at) and not any(taken[x] for x in at):
-                    break
-            else:
-                raise ValueError("pairs don't fit the table")
-            shift[group] = by
-            for x, key in zip(at, own):
-                taken[x], keys[x], values[x] = 1, key, pairs[key]
-        self.keys, self.values, self.shift = keys.tolist(), values.tolist(), shift
-
-    def column(self) -> "callable":
-        """The rank of a pair of ids as a Column of two Columns."""
-        keys, values, shift = map(_literal, (self.keys, self.values, self.shift))
-
-        def rank(left: Column, right: Column) -> Column:
-            key = left * 65536 + right
-            slot = ((key % self.slots + F.get(shift, (key % self.groups).cast("int"))
-                     * (key % self.steps + 1)) % self.slots).cast("int")
-            return F.when(F.get(keys, slot) == key, F.get(values, slot)).otherwise(NO_RANK)
-
-        return rank
-
-
-def _prime(at_least: int) -> int:
-    n = at_least | 1
-    while any(n % d == 0 for d in range(3, int(n**0.5) + 1, 2)):
-        n += 2
-    return n
-
-
-def _literal(numbers: list[int]) -> Column:
-    """One literal array; folded once, while a literal a number would take a call each."""
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+def rank_map(pairs: dict[int, int]):
+    """The literal rank map as a function of two id Columns; null where a pair has no rank.
+
+    A map literal would be searched from its start, so it is dealt into an array of small
+    maps: the left id, spread over the array, plus the right id is a pair's place there."""
+    places: list[dict[int, int] | None] = [None] * (SPREAD + 65_536)
+    for pair, rank in pairs.items():
+        left, right = pair >> 16, pair & 65_535
+        place = left * MIX % SPREAD + right
+        places[place] = {**(places[place] or {}), left: rank}
+    # Folded once while planning; a literal per number would take a call each.
+    maps = F.from_json(F.lit(json.dumps(places, separators=(",", ":"))), "array<map<string,bigint>>")
+    maps = maps.cast("array<map<bigint,bigint>>")
+
+    def rank(left: Column, right: Column) -> Column:
+        return F.element_at(F.get(maps, (left * MIX % SPREAD + right).cast("int")), left)
+
+    return rank
 
 
 class Vocabulary:
@@ -116,7 +88,6 @@ class Vocabulary:
             raise ValueError("a rank file has every single byte and at most 65,536 tokens")
         self.ranks, self.pattern = ranks, pattern
         self.pairs = pair_ranks(ranks)
-        self.table = RankTable(self.pairs)
 
     def token_bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         by_id = [b""] * (max(self.ranks.values()) + 1)
@@ -131,39 +102,39 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(load_ranks(path), pattern)
 
 
-def _let(value: Column, body) -> Column:
-    return F.transform(F.array(value), body)[0]
+def fold_merges(elements: Column, rank) -> Column:
+    """The ids left of a word when the pair of lowest rank, the leftmost first, has been
+    merged until no pair has a rank.
+
+    An element holds the rank of its pair with the next one, its place in the word and its
+    id, in this order of bits, so that the array's least element is the next merge. A merge
+    changes that element and the one before it and drops the one after it."""
+    def merge(acc: Column, at: Column) -> Column:
+        this, left = F.get(acc, at - 1), F.get(acc, at - 2)
+        token = F.shiftright(this, 32)  # a joined token's id is its rank
+        merged = F.struct(token.alias("l"), _token(F.get(acc, at + 1)).alias("r"),
+                          (this.bitwiseAND(F.lit(0xFFFF0000)) + token).alias("base"))
+        before = F.struct(_token(left).alias("l"), token.alias("r"),
+                          left.bitwiseAND(F.lit(0xFFFFFFFF)).alias("base"))
+        changed = F.when(at > 1, F.array(before, merged)).otherwise(F.array(merged))
+        return F.concat(
+            F.slice(acc, 1, F.greatest(at - 2, F.lit(0))),
+            F.transform(changed, lambda e: F.coalesce(rank(e["l"], e["r"]), F.lit(NO_RANK)) * 2**32 + e["base"]),
+            F.slice(acc, at + 2, F.size(elements)))
 
+    def step(acc: Column, _: Column) -> Column:
+        least = F.array_min(acc)
+        place = F.array(F.array_position(acc, least).cast("int"))
+        return F.when(least >= NO_RANK * 2**32, acc).otherwise(F.transform(place, lambda at: merge(acc, at))[0])
 
-def fold_merges(symbols: Column, rank) -> Column:
-    """The ids left of a word's symbols when the pair of lowest rank, the leftmost first, has
-    been merged until no pair has a rank. The ranks of all pairs are carried along; a merge
-    changes only those at its two sides."""
-    state = "struct<ids:array<bigint>,ranks:array<bigint>>"
-
-    def merge(acc: Column, p: Column) -> Column:
-        ids, ranks = acc["ids"], acc["ranks"]
-        merged, empty = F.get(ranks, p - 1), F.array().cast("array<bigint>")
-        before = F.when(p > 1, F.array(rank(F.get(ids, p - 2), merged))).otherwise(empty)
-        after = F.when(p < F.size(ranks), F.array(rank(merged, F.get(ids, p + 1)))).otherwise(empty)
-        return F.struct(
-            F.concat(F.slice(ids, 1, p - 1), F.array(merged), F.slice(ids, p + 2, F.size(ids))).alias("ids"),
-            F.concat(F.slice(ranks, 1, F.greatest(p - 2, F.lit(0))), before, after,
-                     F.slice(ranks, p + 2, F.size(ranks))).alias("ranks"),
-        ).cast(state)
+    folded = F.aggregate(F.sequence(F.lit(1), F.size(elements) - 1), elements, step,
+                         lambda acc: F.transform(acc, _token))
+    return (F.when(F.size(elements) < 2, F.transform(elements, _token))
+            .when(F.size(elements) > LONG, F.transform(elements, lambda e: -1 - _token(e))).otherwise(folded))
 
-    def step(acc: Column, _: Column) -> Column:
-        lowest = F.array_min(acc["ranks"])
-        place = F.array_position(acc["ranks"], lowest).cast("int")
-        return F.when(F.coalesce(lowest, F.lit(NO_RANK)) == NO_RANK, acc).otherwise(
-            _let(place, lambda p: merge(acc, p))).cast(state)
 
-    pairs = F.transform(F.slice(symbols, 1, F.size(symbols) - 1),
-                        lambda left, i: rank(left, F.get(symbols, i + 1)))
-    start = F.struct(symbols.alias("ids"), pairs.alias("ranks")).cast(state)
-    folded = F.aggregate(F.sequence(F.lit(1), F.size(symbols) - 1), start, step, lambda acc: acc["ids"])
-    return (F.when(F.size(symbols) < 2, symbols)
-            .when(F.size(symbols) > LONG, F.transform(symbols, lambda x: -1 - x)).otherwise(folded))
+def _token(element: Column) -> Column:
+    return element.bitwiseAND(F.lit(0xFFFF))
 
 
 def heap_merges(ids: list[int], pairs: dict[int, int]) -> list[int]:
@@ -197,31 +168,71 @@ def heap_merges(ids: list[int], pairs: dict[int, int]) -> list[int]:
     return [x for x, live in zip(ids, alive) if live]
 
 
+#: A space before anything but white space; the pattern never joins it to what stands before.
+CUT = regex.compile(f" (?=[^{SPACE}])")
+UNEVEN = regex.compile(f" (?:[{SPACE}]|$)")
+
+
+def chunks(text: str) -> list:
+    """The text cut before spaces, which are left out; the first chunk, which has no space
+    before it, is a tuple to tell it from the others."""
+    cut = CUT.split(text) if UNEVEN.search(text) else text.split(" ")
+    cut[0] = (cut[0],)
+    return cut
+
+
+def _elements(data: np.ndarray, ends: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """What the fold starts from: each byte's id with its place and the rank of its pair."""
+    rank = np.full(len(data), NO_RANK, np.int64)
+    rank[:-1] = first[data[:-1], data[1:]]
+    rank[ends[1:] - 1] = NO_RANK
+    place = np.arange(len(data)) - np.repeat(ends[:-1], np.diff(ends))
+    return rank << 32 | (place & 0xFFFF) << 16 | symbols
+
+
 def _number_words(ranks: dict[bytes, int], pattern: str, words_held: int):
-    symbol = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+    one = [bytes([b]) for b in range(256)]
+    symbol = np.array([ranks[b] for b in one], np.int64)
+    first = np.array([[ranks.get(a + b, NO_RANK) for b in one] for a in one], np.int64)
     split = word_pattern(pattern).findall
 
     def start():
-        numbers = Numbers()
+        words, parts, flat, ends = Numbers(), Numbers(), Growing(np.int32), Growing(np.int64)
+        ends.append(np.zeros(1, np.int64))
+
+        def places_of(text: str) -> bytes:
+            numbers = parts.of(chunks(text))
+            if parts.new:
+                places, upto = [], []
+                for chunk in parts.new:
+                    places += map(words.__getitem__, split(chunk[0] if type(chunk) is tuple else " " + chunk))
+                    upto.append(flat.n + len(places))
+                flat.append(np.array(places, np.int32))
+                ends.append(np.array(upto, np.int64))
+                parts.new = []
+            begin = ends.values[numbers]
+            return ragged(flat.values, begin, ends.values[numbers + 1] - begin).tobytes()
 
         def step(texts: pa.Array):
-            nonlocal numbers
+            nonlocal words, parts, flat, ends
             places, firsts, counts, fresh = [], [], [], []
             for text in texts.to_pylist():
-                fresh.append(len(numbers) >= words_held)
+                fresh.append(len(parts) >= words_held)
                 if fresh[-1]:
-                    numbers = Numbers()
-                places.append(numbers.of(split(text or "")).tobytes())
-                firsts += numbers.new
-                counts.append(len(numbers.new))
-                numbers.new = []
-            known, flat = [w.encode() for w in firsts], []
-            for word in known:
-                whole = ranks.get(word)
-                flat.append(symbol[np.frombuffer(word, np.uint8)] if whole is None else np.array([whole]))
-            symbols = np.concatenate(flat) if flat else np.zeros(0, np.int64)
-            inner = pa.ListArray.from_arrays(
-                pa.array(ends_to_offsets([len(x) for x in flat]), pa.int32()), pa.array(symbols, pa.int64()))
+                    words, parts, flat, ends = Numbers(), Numbers(), Growing(np.int32), Growing(np.int64)
+                    ends.append(np.zeros(1, np.int64))
+                places.append(places_of(text or ""))
+                firsts += words.new
+                counts.append(len(words.new))
+                words.new = []
+            firsts = [w.encode() for w in firsts]
+            whole = np.array([ranks.get(w, -1) for w in firsts], np.int64)
+            firsts = [b" " if known >= 0 else w for w, known in zip(firsts, whole)]
+            ends_of = ends_to_offsets([len(w) for w in firsts])
+            data = np.frombuffer(b"".join(firsts), np.uint8)
+            symbols = symbol[data]
+            symbols[ends_of[:-1][whole >= 0]] = whole[whole >= 0]
+            inner = pa.ListArray.from_arrays(pa.array(ends_of, pa.int32()), pa.array(_elements(data, ends_of, symbols, first)))
             return [
                 pa.array(places, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(ends_to_offsets(counts), pa.int32()), inner),
@@ -287,7 +298,7 @@ def encode(
         T.StructField("__words", T.ArrayType(T.ArrayType(T.LongType()))),
         T.StructField("__fresh", T.BooleanType()),
     ], [text_col], _number_words(vocab.ranks, vocab.pattern, words_held), drop)
-    rank = vocab.table.column()
+    rank = rank_map(vocab.pairs)
     folded = numbered.withColumn("__words", F.transform("__words", lambda w: fold_merges(w, rank)))
     return add_columns(folded, [
         T.StructField(ids_col, T.BinaryType()), T.StructField(count_col, T.LongType()),
