@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from trawl.llm.common import Growing, Numbers, add_columns, binary, ends_to_offsets, ragged, utf8
 
-#: Distinct chunks a task remembers before it starts afresh.
-WORDS = 1_000_000
+#: Distinct words, and chunks of text, a task remembers before it starts afresh with them.
+WORDS, CHUNKS = 500_000, 150_000
 #: Words with more symbols are merged with a heap instead: the fold's work grows with the square.
 LONG = 512
 NO_RANK = 2**31 - 1
@@ -201,6 +201,10 @@ def _number_words(ranks: dict[bytes, int], pattern: str, words_held: int):
         ends.append(np.zeros(1, np.int64))
 
         def places_of(text: str) -> bytes:
+            nonlocal parts, flat, ends
+            if len(parts) >= CHUNKS:
+                parts, flat, ends = Numbers(), Growing(np.int32), Growing(np.int64)
+                ends.append(np.zeros(1, np.int64))
             numbers = parts.of(chunks(text))
             if parts.new:
                 places, upto = [], []
@@ -217,7 +221,7 @@ def _number_words(ranks: dict[bytes, int], pattern: str, words_held: int):
             nonlocal words, parts, flat, ends
             places, firsts, counts, fresh = [], [], [], []
             for text in texts.to_pylist():
-                fresh.append(len(parts) >= words_held)
+                fresh.append(len(words) >= words_held)
                 if fresh[-1]:
                     words, parts, flat, ends = Numbers(), Numbers(), Growing(np.int32), Growing(np.int64)
                     ends.append(np.zeros(1, np.int64))
@@ -244,7 +248,7 @@ def _number_words(ranks: dict[bytes, int], pattern: str, words_held: int):
     return start
 
 
-def _gather_ids(pairs: dict[int, int]):
+def _gather_ids(pairs: dict[int, int], spell=None):
     def start():
         flat = starts = lengths = None
 
@@ -280,19 +284,34 @@ def _gather_ids(pairs: dict[int, int]):
                 counts.append(np.diff(upto[offsets // 4]))
             ids = np.concatenate(found).astype("<u4") if found else np.zeros(0, "<u4")
             n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-            return [binary(ids.view(np.uint8), ends_to_offsets(n * 4)), pa.array(n, pa.int64())]
+            ends = ends_to_offsets(n)
+            spelt = [spell(ids, ends)] if spell else []
+            return [binary(ids.view(np.uint8), ends * 4), pa.array(n, pa.int64()), *spelt]
 
         return step
 
     return start
 
 
+def _speller(vocab: Vocabulary):
+    """From ids, and where each row's ids begin, to the tokens' binary pieces joined."""
+    flat, starts, lengths = vocab.token_bytes()
+
+    def spell(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        sizes = lengths[ids]
+        return binary(ragged(flat, starts[ids], sizes), ends_to_offsets(sizes)[offsets])
+
+    return spell
+
+
 def encode(
     docs: DataFrame, vocab: Vocabulary, text_col: str = "text", ids_col: str = "ids",
-    count_col: str = "n_tokens", drop: tuple[str, ...] = (), words_held: int = WORDS,
+    count_col: str = "n_tokens", decoded_col: str | None = None, drop: tuple[str, ...] = (),
+    words_held: int = WORDS,
 ) -> DataFrame:
     """``docs`` with each text's ids (binary: little-endian unsigned 32-bit integers) and their
-    number, as the tiktoken library would give them without special tokens."""
+    number, as the tiktoken library would give them without special tokens; with
+    ``decoded_col`` also what these ids decode to."""
     numbered = add_columns(docs, [
         T.StructField("__places", T.BinaryType()),
         T.StructField("__words", T.ArrayType(T.ArrayType(T.LongType()))),
@@ -300,24 +319,25 @@ def encode(
     ], [text_col], _number_words(vocab.ranks, vocab.pattern, words_held), drop)
     rank = rank_map(vocab.pairs)
     folded = numbered.withColumn("__words", F.transform("__words", lambda w: fold_merges(w, rank)))
-    return add_columns(folded, [
-        T.StructField(ids_col, T.BinaryType()), T.StructField(count_col, T.LongType()),
-    ], ["__places", "__words", "__fresh"], _gather_ids(vocab.pairs),
+    fields = [T.StructField(ids_col, T.BinaryType()), T.StructField(count_col, T.LongType())]
+    if decoded_col:
+        fields.append(T.StructField(decoded_col, T.BinaryType()))
+    return add_columns(
+        folded, fields, ["__places", "__words", "__fresh"],
+        _gather_ids(vocab.pairs, _speller(vocab) if decoded_col else None),
         ("__places", "__words", "__fresh"), 1 << 20)
 
 
 def decode(frame: DataFrame, vocab: Vocabulary, ids_col: str = "ids", out_col: str = "decoded",
            drop: tuple[str, ...] = ()) -> DataFrame:
-    """``frame`` with the bytes of its ids, the tokens' binary pieces one after the other.
-    Null ids give empty bytes; an id that the vocabulary lacks is an error."""
-    flat, starts, lengths = vocab.token_bytes()
+    """``frame`` with the bytes of its ids. Null ids give empty bytes; an id that the
+    vocabulary lacks is an error."""
+    spell = _speller(vocab)
 
     def start():
         def step(ids: pa.Array):
             data, offsets = utf8(ids)
-            number = np.ascontiguousarray(data).view("<u4")
-            sizes = lengths[number]
-            return [binary(ragged(flat, starts[number], sizes), ends_to_offsets(sizes)[offsets // 4])]
+            return [spell(np.ascontiguousarray(data).view("<u4"), offsets // 4)]
 
         return step
 

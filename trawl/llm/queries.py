@@ -26,6 +26,6 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, vocab, drop=("text",)).withColumn("ids_sha256", F.sha2("ids", 256))
-    return bpe.decode(encoded, vocab, drop=("ids",)).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.encode(docs, vocab, decoded_col="decoded", drop=("text",)).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
