@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from trawl.operators.sizing import scratch_folder
 
@@ -138,3 +138,13 @@ class Growing:
     @property
     def values(self) -> np.ndarray:
         return self.held[: self.n]
+
+
+def range_parts(frame: DataFrame, key: str, parts: int) -> Column:
+    """The number, from 0 and in the order of ``key``, of the contiguous part a row is in; null
+    keys are in part 0. Bounds are approximate percentiles, so parts are about equal."""
+    shares = [i / parts for i in range(1, parts)]
+    bounds = frame.agg(F.percentile_approx(key, shares, 20 * parts).alias("b")).first()["b"] if shares else []
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.lit(sorted(set(bounds))), lambda b: b < F.col(key)))

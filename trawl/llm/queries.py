@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trawl.llm import bpe
-from trawl.llm.common import read
+from trawl.llm import bpe, contamination, idfiles, lines, shards, simhash, sketches
+from trawl.llm.common import read, scratch_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -29,3 +29,68 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, vocab, decoded_col="decoded", drop=("text",)).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op2_simple8b_ids")
+def op2_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_folder(spark, "ids")
+    idfiles.write_ids(read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return idfiles.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op3_bottom_k_sketch")
+def op3_bottom_k_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sketches.edited_with_next(read(spark, sf_dir, "documents"))
+    rows = rows.withColumn("edited_sketch", sketches.sketch(F.col("edited")))
+    own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        sketches.to_string(own).alias("fingerprint"), sketches.to_string(edited).alias("edited_fingerprint"),
+        sketches.resemblance(own, edited).alias("near_edited"),
+        sketches.resemblance(own, following).alias("near_next"))
+
+
+@query("op4_wu_manber")
+def op4_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.find_contamination(
+        read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"), drop=("text",))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op7_byte_shards")
+def op7_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op8_line_runs", """
+    WITH split AS (
+      SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+    ), numbered AS (
+      SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM split
+    ), keyed AS (
+      SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM numbered
+    ), repeated AS (
+      SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+    ), marked AS (
+      SELECT k.doc_id, k.i, k.line, r.key IS NOT NULL AND k.doc_id <> r.top AS gone
+      FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+""")
+def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_repeated_lines(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
