@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trawl.llm import bpe, contamination, idfiles, lines, shards, simhash, sketches
+from trawl.llm import bpe, contamination, idfiles, language, lines, pii, quality, shards, simhash, sketches
 from trawl.llm.common import read, scratch_folder
 
 QUERIES: dict = {}
@@ -94,3 +94,37 @@ def op7_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_bootstrapped_pii")
+def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(read(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(number, pii.KINDS), F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"),
+        pii.span_list(F.concat("base", "more")).alias("spans"))
+
+
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query("op9_ppm_language")
+def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.train(docs.where(_remainder(3) != 1))
+    return language.identify(docs.select("doc_id", "text"), model, drop=("text",)).select(
+        "doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_subword_quality")
+def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").where(_remainder(5) != 0)
+    classifier = quality.train(docs, labels)
+    return quality.with_scores(docs, classifier, drop=("text",)).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
