@@ -27,8 +27,8 @@ SAMPLE = 4000
 SAMPLE_BYTES = 1 << 15
 BUCKETS = 1 << 17
 DIM = 8
-EPOCHS = 6
-RATE = 0.1
+EPOCHS = 10
+RATE = 0.5
 GRAMS = (3, 4, 5)
 #: Buckets of a repeated word and of the text itself.
 REPEAT, TEXT = BUCKETS, BUCKETS + 1
