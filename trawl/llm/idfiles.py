@@ -17,11 +17,11 @@ keeps its own entry. An empty table gives no entries. Other columns aren't store
 from __future__ import annotations
 
 import functools
+import re
 import struct
 
 import numpy as np
 import pyarrow as pa
-import re
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -51,16 +51,19 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
     ends = np.minimum(at + block, n)
     blocks = np.arange(len(at))
     # where the next id of more bits than a selector has is
-    place, wide = np.arange(n + 1), {}
+    most, place, wide = values.max(initial=0), np.arange(n + 1, dtype=np.int32), {}
     for bits in sorted(set(BITS)):
-        over = np.append(values >> np.uint64(bits) > 0, True)
-        wide[bits] = np.minimum.accumulate(np.where(over, place, n)[::-1])[::-1]
+        if int(most) >> bits:
+            over = np.append(values >> np.uint64(bits) > 0, True)
+            wide[bits] = np.minimum.accumulate(np.where(over, place, n)[::-1])[::-1]
     words, owners = [], []
     while len(blocks):
         left, chosen = ends - at, np.zeros(len(at), np.int64)
         for selector in range(1, 16):
-            fits = wide[BITS[selector]][at] - at >= np.minimum(COUNTS[selector], left)
-            chosen[(chosen == 0) & fits] = selector
+            open_ = chosen == 0
+            if BITS[selector] in wide:
+                open_ &= wide[BITS[selector]][at] - at >= np.minimum(COUNTS[selector], left)
+            chosen[open_] = selector
         used = np.ones(len(at), np.int64)
         word = np.zeros(len(at), np.uint64)
         for selector in np.unique(chosen):
@@ -153,27 +156,78 @@ def _tokenizer(path: str):
 
 class WordEncoder:
     """Ids of texts by the tokenizers library. The vocabulary's normalizer and splitter work on
-    each run of anything but white space alone, so distinct runs are encoded once."""
+    each run of anything but white space alone, so distinct runs are encoded once. It lower-cases
+    and cuts between a letter and a full stop or comma, so A-Z are lower-cased before and what
+    such marks end is encoded without them. A run of letters is one word to it, whose last token
+    alone is a word end, so the library gets many of them in one text."""
+
+    TOGETHER = 400
 
     def __init__(self, path: str):
-        self.path = path
+        self.tokenizer = _tokenizer(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.restart()
 
     def restart(self) -> None:
-        self.numbers, self.flat, self.ends = Numbers(), Growing(np.int32), Growing(np.int64)
+        self.numbers, self.parts = Numbers(), Numbers()
+        self.flat, self.ends = Growing(np.int32), Growing(np.int64)
+        self.part_flat, self.part_starts, self.part_sizes = Growing(np.int32), Growing(np.int64), Growing(np.int64)
         self.ends.append(np.zeros(1, np.int64))
 
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.int32) for e in found]
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        sizes, order, found, alone = np.zeros(len(parts), np.int64), [], [], []
+        plain = [i for i, part in enumerate(parts) if part.isalpha()]
+        groups = [plain[a:a + self.TOGETHER] for a in range(0, len(plain), self.TOGETHER)]
+        for group, ids in zip(groups, self._encode([" ".join(parts[i] for i in g) for g in groups])):
+            lasts = np.flatnonzero(self.is_end[ids])
+            if len(lasts) != len(group):  # letters that normalization takes apart
+                alone += group
+                continue
+            sizes[group] = np.diff(lasts, prepend=-1)
+            order += group
+            found.append(ids)
+        alone += [i for i, part in enumerate(parts) if not part.isalpha()]
+        each = self._encode([parts[i] for i in alone])
+        sizes[alone] = [len(x) for x in each]
+        order = np.array(order + alone, np.int64)
+        starts = np.zeros(len(parts), np.int64)
+        starts[order] = self.part_flat.n + ends_to_offsets(sizes[order])[:-1]
+        self.part_flat.append(np.concatenate([np.zeros(0, np.int32), *found, *each]))
+        self.part_starts.append(starts)
+        self.part_sizes.append(sizes)
+
+    def _learn(self, words: list[str]) -> None:
+        parts, counts = [], []
+        for word in words:
+            stem = word.rstrip(".,")
+            if stem and stem != word and "a" <= stem[-1] <= "z":
+                parts += (stem, word[len(stem):])
+                counts.append(2)
+            else:
+                parts.append(word)
+                counts.append(1)
+        number = self.parts.of(parts)
+        self._learn_parts(self.parts.new)
+        self.parts.new = []
+        sizes = self.part_sizes.values[number]
+        ends = ends_to_offsets(sizes)[ends_to_offsets(counts)]
+        self.ends.append(self.flat.n + ends[1:])
+        self.flat.append(ragged(self.part_flat.values, self.part_starts.values[number], sizes))
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and their number for each text."""
         if len(self.numbers) >= WORDS:
             self.restart()
-        numbers = [self.numbers.of(WORD.findall(text or "")) for text in texts]
+        numbers = [self.numbers.of(WORD.findall(text.encode().lower().decode() if text else "")) for text in texts]
         new, self.numbers.new = self.numbers.new, []
         if new:
-            ids = [e.ids for e in _tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False)]
-            upto = self.flat.n + ends_to_offsets([len(x) for x in ids])[1:]
-            self.flat.append(np.array([i for x in ids for i in x], np.int32))
-            self.ends.append(upto)
+            self._learn(new)
         each = ends_to_offsets([len(x) for x in numbers])
         number = np.concatenate([np.zeros(0, np.int32), *numbers])
         begin = self.ends.values[number]
