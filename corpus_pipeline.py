@@ -47,7 +47,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = bpe.encode(docs, vocab, decoded_col="decoded")
+    encoded = bpe.encode(docs, vocab, decoded_col="decoded", words_held=200_000)
     return encoded.select(
         "doc_id", "lang", "source", "n_chars", "n_tokens", "ids",
         (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))

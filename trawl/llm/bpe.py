@@ -202,7 +202,7 @@ def _number_words(ranks: dict[bytes, int], pattern: str, words_held: int):
 
         def places_of(text: str) -> bytes:
             nonlocal parts, flat, ends
-            if len(parts) >= CHUNKS:
+            if len(parts) >= min(CHUNKS, words_held // 2):
                 parts, flat, ends = Numbers(), Growing(np.int32), Growing(np.int64)
                 ends.append(np.zeros(1, np.int64))
             numbers = parts.of(chunks(text))

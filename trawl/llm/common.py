@@ -6,6 +6,8 @@ long texts doesn't decide how much memory a task needs.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from trawl.operators.sizing import scratch_folder
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def read(spark, sf_dir: str, table: str) -> DataFrame:
@@ -58,15 +60,28 @@ def add_columns(
 
     def run(batches):
         step = start()
-        for batch in batches:
-            for part in slices(batch, inputs[0], limit):
-                made = step(*(part.column(i) for i in inputs))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in kept] + made, names=schema.names)
+        try:
+            for batch in batches:
+                for part in slices(batch, inputs[0], limit):
+                    made = step(*(part.column(i) for i in inputs))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(i) for i in kept] + made, names=schema.names)
+        finally:
+            del step
+            give_back()
 
     return frame.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps a task's Python worker for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _position(frame: DataFrame, name: str) -> int:
     names = [c.lower() for c in frame.columns]
     if name.lower() not in names:

@@ -50,11 +50,11 @@ class Matcher:
         self.m = min(map(len, strings))
         self.width = min(8, self.m)
         self.default = self.m - self.width + 1
-        shift = np.full(1 << TABLE_BITS, self.default, np.int64)
+        shift = np.full(1 << TABLE_BITS, self.default, np.int32)
         self.buckets: dict[int, list[int]] = {}
         for number, string in enumerate(strings):
             hashes = self.hashes(np.frombuffer(string[: self.m], np.uint8), np.arange(self.width - 1, self.m))
-            np.minimum.at(shift, hashes, np.arange(self.default - 1, -1, -1))
+            np.minimum.at(shift, hashes, np.arange(self.default - 1, -1, -1, dtype=np.int32))
             self.buckets.setdefault(int(hashes[-1]), []).append(number)
         self.shift, self.strings = shift, strings
 

@@ -28,7 +28,7 @@ LANGUAGES = 64
 CONTEXTS = 8192
 UNKNOWN = "und"
 PAD = 10
-STEP = 1 << 20
+STEP = 1 << 18
 LETTER = regex.compile(r"\p{L}")
 
 
