@@ -233,3 +233,26 @@ def test_facet_counts_add_up(spark):
     result = search(index, [Q().add_search_term("quick")])
     counts = results.facets(result.matches, index.documents, ["size"])
     assert sum(r["count"] for r in counts.collect()) == result.num_found.first().num_found
+
+
+def test_batch_pages_counts_and_ids(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 2} common", i) for i in range(20)], "doc_id long, text string, size long")
+    index = store.build(docs.drop("text"), [P.TextSource("_text", docs.select("doc_id", "text"))])
+    queries = [M.SearchQuery("a").add_search_term("common").set_limit(1),
+               M.SearchQuery("b").add_search_term("comm*").set_page_size(1),
+               M.SearchQuery("c").add_search_term("absent")]
+    result = search(index, queries)
+    counts = {r["query_id"]: r["num_found"] for r in result.num_found.collect()}
+    assert counts == {"a": 20, "b": 20, "c": 0}
+    ranks = sorted((r["query_id"], r["rank"]) for r in result.hits.collect())
+    assert ranks == [("a", 1)] + [("b", r) for r in range(11, 21)]
+    with pytest.raises(ValueError):
+        search(index, [queries[0], queries[0]])
+
+
+def test_many_filtered_queries(spark):
+    docs = spark.createDataFrame([(i, "common", i) for i in range(8)], "doc_id long, text string, size long")
+    index = store.build(docs.drop("text"), [P.TextSource("_text", docs.select("doc_id", "text"))])
+    queries = [M.SearchQuery(f"q{i}").add_search_term("common").add_filter("size", i % 8) for i in range(300)]
+    found = search(index, queries).num_found.collect()
+    assert len(found) == 300 and {r["num_found"] for r in found} == {1}

@@ -80,8 +80,9 @@ class SearchQuery:
         self.limit = limit
         return self
 
-    def set_page_size(self, size: int) -> SearchQuery:
-        return self.set_limit(size)
+    def set_page_size(self, page: int) -> SearchQuery:
+        """Ten hits from page number ``page`` on, counted from 0."""
+        return self.set_start(page * 10).set_limit(10)
 
 
 def query_rows(spark: SparkSession, queries: Sequence[SearchQuery]) -> DataFrame:
@@ -98,7 +99,7 @@ def parts(queries: DataFrame) -> DataFrame:
     return (
         queries.select("*", F.posexplode(split_query(F.col("text"))).alias("part_no", "raw"))
         .select(
-            "query_id", (F.col("call") * 1000000 + F.col("part_no")).alias("part"),
+            "query_id", (F.col("call").cast("long") * 2**32 + F.col("part_no")).alias("part"),
             F.replace("raw", F.lit('"'), F.lit("")).alias("raw"),
             F.col("raw").startswith('"').alias("quoted"),
             "fuzzy", "fields", "boosts",
@@ -330,13 +331,13 @@ def part_hits(index: TextIndex, wanted: Wanted, phrases: bool = True) -> DataFra
     return hits.select(*HIT, score.alias("score"))
 
 
-def match(index: TextIndex, wanted: DataFrame, kinds: Sequence[str] = ("term",),
+def match(index: TextIndex, wanted: DataFrame, kinds: Sequence[str] = ("term", "fuzzy", "wildcard"),
           phrases: bool = True, best_field: bool = False,
           expand_with: TextIndex | None = None) -> DataFrame:
     """``query_id, doc_id, score``: documents in which every part of a query matches.
 
-    ``kinds`` says which kinds of words the batch holds, so that a plan has no
-    branch it does not need. A part scores the sum over its fields, or the best of
+    ``kinds`` names the kinds of words the batch holds; a caller that knows some are
+    absent leaves them out, so that a plan has no branch it does not need. A part scores the sum over its fields, or the best of
     them with ``best_field``. Fuzzy and wildcard words are looked up in the
     vocabulary of ``expand_with``, normally the fields that have such words.
     """

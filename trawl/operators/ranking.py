@@ -49,8 +49,14 @@ def page(hits: DataFrame, start: int = 0, limit: int = -1, offset: int = -1,
     return ranked(hits, order or by_score(), first, last)
 
 
-def num_found(hits: DataFrame) -> DataFrame:
-    return hits.groupBy("query_id").agg(F.count("*").alias("num_found"))
+def num_found(hits: DataFrame, queries: Sequence[str] | None = None) -> DataFrame:
+    """Hits of each query; with ``queries`` also the zero of those without any."""
+    counts = hits.groupBy("query_id").agg(F.count("*").alias("num_found"))
+    if queries is None:
+        return counts
+    rows = hits.sparkSession.createDataFrame([(q,) for q in queries], "query_id string")
+    return rows.join(counts, "query_id", "left").select(
+        "query_id", F.coalesce("num_found", F.lit(0)).alias("num_found"))
 
 
 def sort_key(name: str, descending: bool = False) -> Column:

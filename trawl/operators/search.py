@@ -52,24 +52,47 @@ def filtered(matches: DataFrame, documents: DataFrame, queries: Sequence[M.Searc
         return matches
     if len(predicates) == 1:
         return M.only(matches, documents, next(iter(active.values())))
-    chosen = F.lit(True)
-    for query_id, p in active.items():
-        chosen = F.when(F.col("query_id") == query_id, p).otherwise(chosen)
+    free = ~F.col("query_id").isin(list(active))
+    chosen = _any([free, *((F.col("query_id") == k) & p for k, p in active.items())])
     return matches.join(documents, "doc_id").where(chosen).select(*matches.columns)
 
 
+def _any(clauses: list[Column]) -> Column:
+    """Their disjunction as a balanced tree, as deep as the logarithm of their number."""
+    while len(clauses) > 1:
+        pairs = [clauses[i] | clauses[i + 1] for i in range(0, len(clauses) - 1, 2)]
+        clauses = pairs + clauses[len(pairs) * 2:]
+    return clauses[0]
+
+
+def paged(matches: DataFrame, queries: Sequence[M.SearchQuery], offset: int = -1, limit: int = -1) -> DataFrame:
+    """Every query's own page."""
+    bounds = {q.query_id: R.page_bounds(q.start, q.limit, offset, limit) for q in queries}
+    pages = set(bounds.values())
+    if len(pages) == 1:
+        first, last = pages.pop()
+        return R.ranked(matches, R.by_score(), first, last)
+    ranked = R.ranked(matches, R.by_score(), 1, max(last for _, last in bounds.values()))
+    rows = matches.sparkSession.createDataFrame(
+        [(k, *b) for k, b in bounds.items()], "query_id string, __first long, __last long")
+    return ranked.join(rows, "query_id").where("rank BETWEEN __first AND __last").select(*ranked.columns)
+
+
 def search(index: TextIndex, queries: Sequence[M.SearchQuery],
            query_fields: dict[str, float] | None = None,
            current: dict[str, str] | None = None, multi: Iterable[str] = (),
            offset: int = -1, limit: int = -1,
            boosts: Sequence[tuple[Column, float]] = (),
            hook: Callable[[DataFrame], DataFrame] | None = None) -> SearchResult:
-    """Search for a batch of queries that share their page.
+    """Search for a batch of queries with distinct ids, each with its own page and filters.
 
     ``query_fields`` are boosted fields searched instead of the default field,
     each part scoring its best field. ``boosts`` add to the score of documents
     that meet a predicate. ``hook`` may rework the page of hits.
     """
+    ids = [q.query_id for q in queries]
+    if len(set(ids)) < len(ids):
+        raise ValueError("queries of a batch need distinct ids")
     spark = index.documents.sparkSession
     worded = [q for q in queries if q.terms]
     rows = M.query_rows(spark, worded)
@@ -95,5 +118,5 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
     matches = filtered(matches, index.documents, queries, current, multi)
     if boosts:
         matches = M.boosted(matches, index.documents, boosts)
-    hits = R.page(matches, queries[0].start, queries[0].limit, offset, limit)
-    return SearchResult(hook(hits) if hook else hits, matches, R.num_found(matches), wanted)
+    hits = paged(matches, queries, offset, limit)
+    return SearchResult(hook(hits) if hook else hits, matches, R.num_found(matches, ids), wanted)

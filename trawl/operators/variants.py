@@ -57,10 +57,8 @@ def fan_out(rows: DataFrame, variants: Iterable[Variant]) -> DataFrame:
         listed = F.array(*map(F.lit, v.states))
         none = F.array(F.lit(None).cast("string"))
         applies = class_is(*v.classes)
-        rows = (
-            rows.withColumn(v.column, F.explode(F.when(applies, listed).otherwise(none)))
-            .where(F.col(v.column).isNull() | v.holds(F.col(v.column)))
-        )
+        held = F.filter(listed, lambda state: v.holds(state))  # noqa: B023
+        rows = rows.withColumn(v.column, F.explode(F.when(applies, held).otherwise(none)))
     return rows
 
 

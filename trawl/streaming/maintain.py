@@ -47,4 +47,7 @@ def maintain(stream: DataFrame, spec: IndexSpec, variants: Sequence[Variant],
 
 def current_view(spark: SparkSession, log_path: str) -> DataFrame:
     """Documents as they are after all logged operations."""
-    return store.latest(spark.read.parquet(log_path).drop("batch"))
+    log = spark.read.parquet(log_path)
+    # a row is read when its batch runs, so a later batch knows better whatever its numbers
+    log = log.withColumn("__order", F.struct("batch", "seq"))
+    return store.latest(log, seq="__order").drop("__order", "batch")
