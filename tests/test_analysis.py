@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trawl.functions import analysis as A
+from trawl.functions.folding import ascii_fold
 from trawl.functions.markup import strip_html
 from trawl.functions.profiles import PROFILES
 from trawl.functions.stemming import porter_stem, stem_table, stemmed
@@ -90,12 +91,33 @@ def test_payloads(spark):
     ("caf&#233; &#xE9; &#0; &#99999999;", "café é  &#99999999;"),
     ("1 < 2 and &lt;b&gt;", "1 < 2 and <b>"),
     ("&amp;lt;", "&lt;"),
+    ("&aacute;&iacute;&times;&Omega;&frac12;&apos;&nbsp;.", "áí×Ω½' ."),
+    ("&unknown; &b c; AT&T; &#38;lt;", "&unknown; &b c; AT&T; &lt;"),
 ])
 def test_strip_html(spark, html, text):
     row = spark.createDataFrame([(html,)], "t string").select(strip_html(F.col("t")).alias("x")).first()
     assert re.sub(r"\s+", " ", row.x).strip() == re.sub(r"\s+", " ", text).strip()
 
 
+@pytest.mark.parametrize("text, folded", [
+    ("Café Ærø Łódź Straße", "Cafe AEro Lodz Strasse"),
+    ("ﬁne ﬂow oﬃce ﬆ", "fine flow office st"),
+    ("Ｆｕｌｌ　ｗｉｄｔｈ２", "Full　width2"),
+    ("x² H₂O ①Ⓐ⑫ ǆ Ŀl ŉ", "x2 H2O 1A12 dz Ll 'n"),
+    ("日本 Ω plain", "日本 Ω plain"),
+    ("", ""),
+])
+def test_ascii_fold(spark, text, folded):
+    row = spark.createDataFrame([(text,)], "t string").select(ascii_fold(F.col("t")).alias("x")).first()
+    assert row.x == folded
+
+
+def test_phonetic_of_terms_beyond_letters(spark):
+    rows = spark.createDataFrame([("robert",), ("r2d2",), ("7up",), ("o'hara",)], "t string").select(
+        A.phonetic(F.array("t")).alias("x")).collect()
+    assert [r.x[0] for r in rows] == ["R163", "R300", "7up", "O600"]
+
+
 def test_term_count_counts_shared_positions(spark):
     row = spark.createDataFrame([("the Wi-Fi cat",)], "t string").select(
         term_count(PROFILES["text"].index(F.col("t"))).alias("n")

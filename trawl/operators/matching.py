@@ -307,23 +307,22 @@ def _phrase_scores(found: DataFrame, weight: Column) -> DataFrame:
 def part_hits(index: TextIndex, wanted: Wanted, phrases: bool = True) -> DataFrame:
     """Score of every (query, document, part, field) and term or phrase that matches.
 
-    The terms have been counted first; postings are cut down to them
-    before any join. Each branch is then hashed by (query, document), and all its
-    groups contain those keys.
+    The terms have been counted first; postings are cut down to them before any join.
+    Frequencies are put on the wanted terms, at most one each, so postings are joined once,
+    with something no larger than what was counted. Terms are then reduced before their
+    shuffle; phrases are hashed by value, so that a document of many values is many groups.
     """
     postings, frequencies = index.matched(wanted)
     weight = idf(F.col("df"), index.total())
 
     def found(which: Column) -> DataFrame:
-        rows = wanted.hinted(wanted.frame.where(which))
-        return (
-            postings.join(rows, ["field", "term"])
-            .join(frequencies, ["field", "term"]).repartition("query_id", "doc_id")
-        )
+        rows = frequencies.join(wanted.hinted(wanted.frame.where(which)), ["field", "term"])
+        return postings.join(wanted.hinted(rows), ["field", "term"])
 
     hits = _term_scores(found(F.col("n_idx") == 1), weight)
     if phrases:
-        hits = hits.unionByName(_phrase_scores(found(F.col("n_idx") > 1), weight))
+        values = found(F.col("n_idx") > 1).repartition("query_id", "doc_id", "source", "val_no")
+        hits = hits.unionByName(_phrase_scores(values, weight))
     score = (
         F.col("weight") * F.sqrt(F.col("tf").cast("double")) * F.col("idf") * F.col("idf")
         / F.sqrt(F.col("n_terms").cast("double"))
@@ -345,8 +344,9 @@ def match(index: TextIndex, wanted: DataFrame, kinds: Sequence[str] = ("term", "
     terms = reduce(DataFrame.unionByName, (expanded(wanted, expand_with or index, k) for k in kinds))
     hits = part_hits(index, Wanted.of(terms, derived=set(kinds) != {"term"}), phrases)
     over_fields = F.max("score") if best_field else F.sum("score")
+    # one shuffle for the three groupings; a document has a row a part, field and term by now
     per_document = (
-        hits.groupBy(*HIT).agg(F.sum("score").alias("score"))
+        hits.repartition("query_id", "doc_id").groupBy(*HIT).agg(F.sum("score").alias("score"))
         .groupBy("query_id", "doc_id", "part").agg(over_fields.alias("score"))
         .groupBy("query_id", "doc_id").agg(F.count("*").alias("n"), F.sum("score").alias("score"))
     )

@@ -18,6 +18,8 @@ from trawl.functions.profiles import PROFILES
 
 VALUE = ("field", "source", "doc_id", "val_no")
 POSITION_GAP = 100
+#: Estimated input a core from which reading is left as split.
+SPLIT_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -43,10 +45,12 @@ def term_count(slots: Column) -> Column:
 
 
 def in_parallel(frame: DataFrame) -> DataFrame:
-    """Analysis is CPU work: spread input that is read in fewer splits than there
-    are cores. Large input has splits enough and is not shuffled."""
+    """Analysis is CPU work: spread input that is small enough to be read in fewer splits
+    than there are cores. Spark's estimate of its size decides, so no job runs for it;
+    large input has splits enough and is not shuffled."""
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+    size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return frame.repartition(cores) if size < cores * SPLIT_BYTES else frame
 
 
 def analysed(sources: Iterable[TextSource]) -> DataFrame:

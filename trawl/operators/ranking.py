@@ -67,7 +67,7 @@ def sort_key(name: str, descending: bool = False) -> Column:
 
 def random_key(seed: str) -> Column:
     """A pseudo-random order that is stable for a seed."""
-    return F.xxhash64(F.col("doc_id"), F.lit(seed))
+    return F.md5(F.concat_ws(":", F.col("doc_id"), F.lit(seed)).cast("binary"))
 
 
 def alpha_key(value: Column) -> Column:

@@ -111,7 +111,7 @@ class TextIndex:
         else:
             postings = materialised(self._grouped(wanted.cut(P.explode_terms(self.analysed))))
             vocab = P.vocabulary(postings, self.spread)
-        return postings, wanted.hinted(vocab.select("field", "term", "df"))
+        return postings, vocab.select("field", "term", "df")
 
     def total(self) -> Column:
         """Number of documents, as a scalar subquery."""

@@ -97,20 +97,19 @@ def analyze_stem_v3(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("analyze_phonetic", f"""WITH {S.terms(TEXT)},
-vocab AS (SELECT term, count(DISTINCT doc_id) AS df FROM terms
-  WHERE regexp_full_match(term, '[a-z]+') GROUP BY 1),
+vocab AS (SELECT term, count(DISTINCT doc_id) AS df FROM terms GROUP BY 1),
 letters AS (
   SELECT term, df, unnest(string_split(term, '')) AS c, generate_subscripts(string_split(term, ''), 1) AS i FROM vocab),
 coded AS (
   SELECT term, df, i, c, CASE WHEN c IN ('h', 'w') THEN NULL
-    ELSE translate(c, 'aeiouybfpvcgjkqsxzdtlmnr', '000000111122222222334556') END AS code FROM letters),
+    WHEN NOT regexp_full_match(c, '[a-z]') THEN '0' ELSE translate(c, 'aeiouybfpvcgjkqsxzdtlmnr', '000000111122222222334556') END AS code FROM letters),
 heard AS (SELECT *, lag(code) OVER (PARTITION BY term ORDER BY i) AS before FROM coded WHERE code IS NOT NULL OR i = 1)
-SELECT term, df, rpad(substr(upper(any_value(substr(term, 1, 1))) ||
-  string_agg(CASE WHEN i > 1 AND code <> '0' AND code IS DISTINCT FROM before THEN code ELSE '' END, '' ORDER BY i), 1, 4), 4, '0') AS code
+SELECT term, df, CASE WHEN NOT regexp_matches(term, '^[a-z]') THEN term ELSE rpad(substr(upper(any_value(substr(term, 1, 1))) ||
+  string_agg(CASE WHEN i > 1 AND code <> '0' AND code IS DISTINCT FROM before THEN code ELSE '' END, '' ORDER BY i), 1, 4), 4, '0') END AS code
 FROM heard GROUP BY 1, 2""")
 def analyze_phonetic(spark: SparkSession, sf: str) -> DataFrame:
-    """Phonetic code of every purely alphabetic vocabulary term."""
-    vocab = document_index(spark, sf).vocab.where(F.col("term").rlike("^[a-z]+$"))
+    """Phonetic code of every vocabulary term; one that starts with no letter is its own code."""
+    vocab = document_index(spark, sf).vocab
     code = F.try_element_at(A.phonetic(F.array("term")), F.lit(1))
     return vocab.select("term", "df", code.alias("code"))
 

@@ -289,7 +289,8 @@ def sort_field(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("sort_random")
+@query("sort_random", f"""WITH {words_sql()}
+SELECT 'q' AS query_id, doc_id, md5(doc_id || ':seed_1') AS sort_key FROM hits""")
 def sort_random(spark: SparkSession, sf: str) -> DataFrame:
     """All matches of a query in an order that a seed fixes."""
     matches = all_matches(spark, sf)

@@ -7,8 +7,16 @@ window functions instead, so the two are independent formulations.
 from __future__ import annotations
 
 from trawl.functions import rules
-from trawl.functions.folding import EXPANSIONS, single_letters
-from trawl.functions.markup import ENTITIES
+
+# Expected foldings and references of the given tables, stated apart from the engine's.
+ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöøùúûüýÿ"
+PLAIN = "AAAAAACEEEEIIIINOOOOOOUUUUYaaaaaaceeeeiiiinoooooouuuuyy"
+SPELT = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe"}
+REFERENCES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&copy;": "©",
+    "&middot;": "·", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&euro;": "€",
+    "&auml;": "ä", "&ouml;": "ö", "&uuml;": "ü", "&szlig;": "ß", "&eacute;": "é",
+}
 
 STOPS = ", ".join(f"'{w}'" for w in rules.STOPWORDS)
 WS = f"[{rules.WHITESPACE}]+"
@@ -21,9 +29,8 @@ def quote(text: str) -> str:
 
 
 def fold(expr: str) -> str:
-    letters = single_letters()
-    out = f"translate({expr}, {quote(''.join(letters))}, {quote(''.join(letters.values()))})"
-    for ch, spelling in EXPANSIONS.items():
+    out = f"translate({expr}, {quote(ACCENTED)}, {quote(PLAIN)})"
+    for ch, spelling in SPELT.items():
         out = f"replace({out}, {quote(ch)}, {quote(spelling)})"
     return f"CASE WHEN strlen({expr}) > length({expr}) THEN {out} ELSE {expr} END"
 
@@ -34,7 +41,7 @@ def strip_html(expr: str) -> str:
         out = rf"regexp_replace({out}, '(?is)<{tag}\b.*?</{tag}\s*>', ' ', 'g')"
     out = f"regexp_replace({out}, '(?s)<!--.*?-->', ' ', 'g')"
     out = f"regexp_replace({out}, '<[!/]?[a-zA-Z][^>]*>', ' ', 'g')"
-    for reference, char in ENTITIES.items():
+    for reference, char in REFERENCES.items():
         out = f"replace({out}, {quote(reference)}, {quote(char)})"
     return f"replace({out}, '&amp;', '&')"
 
