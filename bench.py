@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trawl.operators import matching as M
+from trawl.operators import postings as P
 from trawl.operators import ranking as R
 from trawl.operators import store
 from trawl.operators.search import search
@@ -54,7 +55,7 @@ def drain(frame: DataFrame) -> None:
 
 def word_pairs(spark: SparkSession, n: int) -> DataFrame:
     """``n`` two-word queries out of the benchmark texts."""
-    words = F.split(F.regexp_replace("text", r"[^\p{L}\s]", ""), r"\s+")
+    words = F.split("text", r"\s+")
     rows = read(spark, SF, "benchmark").select("item_id", words.alias("w")).select(
         "item_id", F.posexplode(F.slice("w", F.lit(1), F.size("w") - 1)).alias("i", "first"), "w"
     )
@@ -86,9 +87,14 @@ def main() -> None:
     root = tempfile.mkdtemp(prefix="bench-")
     index = timed("build_and_publish", lambda: store.publish(document_index(spark, SF), root, 1))
 
+    labelled = read(spark, SF, "documents").join(read(spark, SF, "labels"), "doc_id")
+    rewritten = labelled.where("quality = 0").select("doc_id", F.concat(F.lit("thon "), "text").alias("text"))
+    timed("publish_changes", lambda: store.publish_changes(
+        index, rewritten.drop("text"), [P.TextSource("_text", rewritten)], labelled.where("toxic = 1"), root, 2))
+
     def batch(n: int):
         wanted = M.wanted_terms(word_pairs(spark, n))
-        return lambda: drain(R.page(M.match(index, wanted, ("term",), phrases=False)))
+        return lambda: drain(R.page(M.match(index, wanted, ("term",))))
 
     timed("batch_1000_queries", batch(1000), 2)
     one = [Q("q").add_search_term("anea thon").add_filter("lang", "en")]

@@ -102,6 +102,48 @@ def test_published_index_gives_the_same(spark, tmp_path):
     assert again.postings.count() == lazy.postings.count()
 
 
+def test_changes_reach_a_published_index(spark, tmp_path):
+    """Two generations of changes, one of them empty, give what a full rebuild gives."""
+    def texts(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        return docs.drop("text"), [P.TextSource("_text", docs)]
+
+    def ids(*values):
+        return spark.createDataFrame([(v,) for v in values], "doc_id long")
+
+    disk = store.publish(store.build(*texts(list(enumerate(TEXTS)))), str(tmp_path), 1)
+    disk = store.publish_changes(
+        disk, *texts([(0, "a slow wolf"), (20, "quick quick fox"), (21, None)]), ids(1, 2, 99), str(tmp_path), 2)
+    disk = store.publish_changes(disk, *texts([]), ids(), str(tmp_path), 3)
+    disk = store.publish_changes(disk, *texts([(1, "brown again"), (20, "fire drill")]), ids(20, 5), str(tmp_path), 4)
+    now = dict(enumerate(TEXTS)) | {0: "a slow wolf", 1: "brown again", 20: "fire drill", 21: None}
+    whole = store.build(*texts([(k, v) for k, v in now.items() if k not in (2, 5)]))
+    queries = [Q(text).add_search_term(text) for text in EXPECTED] + [Q("near").add_fuzzy_search_term("quikc")]
+    merged = store.publish(disk, str(tmp_path), 5)
+    assert len(merged.roots) == 1
+    for index in (disk, merged, store.load(spark, disk.roots)):
+        assert sorted(search(index, queries).matches.collect()) == sorted(search(whole, queries).matches.collect())
+        assert sorted(index.documents.collect()) == sorted(whole.documents.collect())
+        rows = {(r.term, r.df) for r in index.vocab.collect()}
+        assert rows == {(r.term, r.df) for r in whole.vocab.collect()}
+    with pytest.raises(ValueError):
+        store.publish_changes(whole, *texts([]), ids(1), str(tmp_path), 6)
+
+
+def test_an_empty_index_is_published(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    disk = store.publish(store.build(docs.drop("text"), [P.TextSource("_text", docs)]), str(tmp_path), 1)
+    assert search(disk, [Q().add_search_term("quick")]).matches.collect() == []
+
+
+def test_a_frequent_term_is_spread_over_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "FILE_ROWS", 100)
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("everywhere").alias("text"))
+    disk = store.publish(store.build(docs.drop("text"), [P.TextSource("_text", docs)]), str(tmp_path), 1)
+    files = disk.postings.groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 10 and max(r["count"] for r in files) <= 100
+
+
 def test_lookup_of_many_terms_joins(spark, monkeypatch):
     """Beyond the literal and broadcast bounds the result is the same."""
     index = corpus(spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,6 +15,8 @@ from trawl.operators.sizing import BROADCAST_ROWS, materialised, within
 TABLES = ("documents", "postings", "vocab")
 BUCKETS = 64
 LITERAL_KEYS = 1000
+#: Rows a published file holds at most, so that its size is bounded whatever a term's frequency.
+FILE_ROWS = 20_000_000
 
 
 def bucket(term: Column) -> Column:
@@ -74,6 +76,7 @@ class TextIndex:
     sources: tuple[P.TextSource, ...] = ()
     tables: tuple[DataFrame, DataFrame] | None = None
     spread: frozenset[str] = frozenset()
+    roots: tuple[str, ...] = ()
 
     @cached_property
     def analysed(self) -> DataFrame:
@@ -124,35 +127,114 @@ def build(documents: DataFrame, sources: Iterable[P.TextSource]) -> TextIndex:
     return TextIndex(documents, sources, spread=frozenset(P.spread_over_values(sources)))
 
 
-def publish(index: TextIndex, path: str, generation: int, files: int | None = None) -> TextIndex:
+def _write(rows: DataFrame, path: str, *order: str) -> None:
+    """Partitioned by field and term bucket, sorted by term. Adaptive execution sizes the
+    tasks by the bytes that were shuffled and splits a bucket whose terms are frequent, so a
+    term that is in every document is spread over files."""
+    order = ("field", "bucket", *order)
+    (
+        rows.withColumn("bucket", bucket(F.col("term"))).hint("rebalance", F.col("field"), F.col("bucket"))
+        .sortWithinPartitions(*order)
+        .write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("field", "bucket").parquet(path)
+    )
+
+
+def _write_texts(index: TextIndex, root: str) -> DataFrame:
+    """Documents and postings of a lazy index; the postings are read back."""
+    index.documents.write.parquet(f"{root}/documents")
+    _write(index.postings, f"{root}/postings", "term", "doc_id", "val_no")
+    return _read(index.documents.sparkSession, root, "postings")
+
+
+def _read(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table under a root. Schemas are given, as a table may have no rows and so no files."""
+    documents = spark.read.parquet(f"{root}/documents")
+    key = documents.schema["doc_id"].dataType.simpleString()
+    columns = {
+        "postings": f"term string, source string, doc_id {key}, val_no long, tf int,"
+                    " positions array<int>, n_terms int, field string, bucket int",
+        "vocab": "term string, df long, len int, field string, bucket int",
+    }
+    if table == "documents":
+        return documents
+    return spark.read.schema(columns[table]).parquet(f"{root}/{table}")
+
+
+def publish(index: TextIndex, path: str, generation: int) -> TextIndex:
     """Write one generation of the index tables under a fresh path and read it back.
 
     Tables are partitioned by field and term bucket and sorted by term, so a lookup
-    reads few files and row groups. Ranges end inside a term where needed: a term
-    that is in every document is spread over many files by document.
+    reads few files and row groups. An index of several generations becomes one.
     """
     root = f"{path}/gen={generation}"
-    spark = index.documents.sparkSession
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def write(rows: DataFrame, name: str, *order: str) -> None:
-        rows = rows.withColumn("bucket", bucket(F.col("term")))
-        order = ("field", "bucket", *order)
-        (
-            rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
-            .write.partitionBy("field", "bucket").parquet(f"{root}/{name}")
-        )
+    written = _write_texts(index, root)
+    _write(P.vocabulary(written, index.spread), f"{root}/vocab", "term")
+    return load(index.documents.sparkSession, root, index.spread)
 
-    index.documents.write.parquet(f"{root}/documents")
-    write(index.postings, "postings", "term", "doc_id", "val_no")
-    written = spark.read.parquet(f"{root}/postings")
-    write(P.vocabulary(written, index.spread), "vocab", "term")
-    return load(spark, root, index.spread)
 
+def publish_changes(index: TextIndex, documents: DataFrame, sources: Iterable[P.TextSource],
+                    deleted: DataFrame, path: str, generation: int) -> TextIndex:
+    """Write changed documents as a further generation of a published index.
 
-def load(spark: SparkSession, root: str, spread: Iterable[str] = ()) -> TextIndex:
-    documents, postings, vocab = (spark.read.parquet(f"{root}/{t}") for t in TABLES)
-    return TextIndex(documents, tables=(postings, vocab), spread=frozenset(spread))
+    ``documents`` and ``sources`` hold the upserted documents whole, ``deleted`` the
+    ``doc_id`` of those that go; one that is in both is upserted. Written are the changed
+    documents' rows only: the ids that older generations no longer hold, postings, and by
+    how much each term's frequency changes. The old postings are scanned once for the
+    latter. ``publish`` makes one generation of the result when there are many.
+    """
+    if not index.roots:
+        raise ValueError("changes go to a published index")
+    spark, root = documents.sparkSession, f"{path}/gen={generation}"
+    ids = documents.select("doc_id").unionByName(deleted.select("doc_id"))
+    ids.where(F.col("doc_id").isNotNull()).distinct().write.parquet(f"{root}/gone")
+    gone = spark.read.parquet(f"{root}/gone")
+    written = _write_texts(build(documents, sources), root)
+    spread = index.spread | frozenset(P.spread_over_values(sources))
+    old = index.postings.join(_counted(gone), "doc_id", "left_semi")
+    lost = P.vocabulary(old, spread).withColumn("df", -F.col("df"))
+    change = P.vocabulary(written, spread).unionByName(lost)
+    _write(summed(change, "field", "term").where(F.col("df") != 0), f"{root}/vocab", "term")
+    return load(spark, (*index.roots, root), spread)
+
+
+def summed(vocab: DataFrame, *key: str) -> DataFrame:
+    """Frequencies of several vocabularies added up."""
+    return vocab.groupBy(*key).agg(F.sum("df").alias("df"), F.max("len").alias("len"))
+
+
+def _counted(ids: DataFrame) -> DataFrame:
+    """Written ids, to be broadcast if they are few."""
+    return F.broadcast(ids) if within(ids, BROADCAST_ROWS) else ids
+
+
+def load(spark: SparkSession, roots: str | Iterable[str], spread: Iterable[str] = ()) -> TextIndex:
+    """A published index; ``roots`` are its generations from the oldest on.
+
+    A row counts unless a later generation says that its document is gone: one anti join
+    with the changed ids. Lookups still reach every generation's files as filters.
+    """
+    roots = (roots,) if isinstance(roots, str) else tuple(roots)
+    parts = [tuple(_read(spark, root, t) for t in TABLES) for root in roots]
+    if len(roots) == 1:
+        documents, postings, vocab = parts[0]
+        return TextIndex(documents, tables=(postings, vocab), spread=frozenset(spread), roots=roots)
+    gone = reduce(DataFrame.unionByName, (
+        spark.read.parquet(f"{root}/gone").select("doc_id", F.lit(i).alias("__until"))
+        for i, root in enumerate(roots[1:], 1)))
+    gone = _counted(gone.groupBy("doc_id").agg(F.max("__until").alias("__until")))
+
+    def current(tables: Iterable[DataFrame]) -> DataFrame:
+        rows = reduce(
+            lambda a, b: a.unionByName(b, allowMissingColumns=True),
+            (t.withColumn("__gen", F.lit(i)) for i, t in enumerate(tables)))
+        last = gone.withColumnRenamed("doc_id", "__doc_id")
+        replaced = (rows["doc_id"] == last["__doc_id"]) & (rows["__gen"] < last["__until"])
+        return rows.join(last, replaced, "left_anti").drop("__gen")
+
+    documents, postings, vocabs = zip(*parts)
+    vocab = summed(reduce(DataFrame.unionByName, vocabs), "field", "bucket", "term").where("df > 0")
+    return TextIndex(
+        current(documents), tables=(current(postings), vocab), spread=frozenset(spread), roots=roots)
 
 
 # Upserts and deletes ------------------------------------------------------

@@ -12,7 +12,8 @@ from trawl.operators.sizing import scratch_folder
 from trawl.plans import sqltext as S
 from trawl.plans.registry import query
 from trawl.plans.sample import document_index, read
-from trawl.plans.searching import CONTENT_TEXT, TEXT
+from trawl.operators.search import search
+from trawl.plans.searching import CONTENT_TEXT, HITS, Q, TEXT, WORDS
 
 
 @query("index_postings", f"""WITH {S.terms(TEXT)}
@@ -124,3 +125,45 @@ def index_publish(spark: SparkSession, sf: str) -> DataFrame:
     tables = {"documents": index.documents, "postings": index.postings, "vocab": index.vocab}
     frames = [t.agg(F.count("*").alias("n")).select(F.lit(n).alias("table"), "n") for n, t in tables.items()]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+# Changes: toxic documents are deleted, poor ones rewritten, benchmark texts are new.
+CHANGED = """SELECT '_text' AS field, doc_id, 0 AS val_no,
+  CASE WHEN quality = 0 THEN 'thon ' || text ELSE text END AS text
+FROM documents LEFT JOIN labels USING (doc_id) WHERE coalesce(toxic, 0) = 0
+UNION ALL SELECT '_text', -1 - item_id, 0, text FROM benchmark"""
+
+
+def changed_index(spark: SparkSession, sf: str) -> store.TextIndex:
+    """A published index and a second generation with what changed since."""
+    folder = scratch_folder(spark, "published")
+    base = store.publish(document_index(spark, sf), folder, 1)
+    labelled = read(spark, sf, "documents").join(read(spark, sf, "labels"), "doc_id")
+    rewritten = labelled.where("quality = 0 AND coalesce(toxic, 0) = 0").select(
+        "doc_id", F.concat(F.lit("thon "), "text").alias("text"), "lang", "source", "n_chars")
+    added = read(spark, sf, "benchmark").select((-1 - F.col("item_id")).alias("doc_id"), "text")
+    texts = rewritten.unionByName(added, allowMissingColumns=True)
+    return store.publish_changes(
+        base, texts.drop("text"), [P.TextSource("_text", texts.select("doc_id", "text"))],
+        labelled.where("toxic = 1"), folder, 2)
+
+
+@query("index_incremental", f"""WITH {S.terms(CHANGED)},
+vocab AS (SELECT field, term, count(DISTINCT doc_id) AS df FROM terms GROUP BY 1, 2)
+SELECT field, term, doc_id, count(*) AS tf, string_agg(pos, ' ' ORDER BY pos) AS positions, any_value(df) AS df
+FROM terms JOIN vocab USING (field, term) GROUP BY 1, 2, 3""")
+def index_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings and frequencies after deletes, updates and inserts are those of a full rebuild."""
+    index = changed_index(spark, sf)
+    return index.postings.join(index.vocab.select("field", "term", "df"), ["field", "term"]).select(
+        "field", "term", "doc_id", F.col("tf").cast("long").alias("tf"),
+        F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"), "df",
+    )
+
+
+@query("search_incremental", f"""WITH {S.terms(CHANGED)},
+total AS (SELECT count(*) AS n FROM ({CHANGED}) AS c),
+{S.scored([[('_text', w, 1.0)] for w in WORDS.split()])} {HITS}""")
+def search_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Deleted documents are found no more, changed and new ones by their new text."""
+    return search(changed_index(spark, sf), [Q("q").add_search_term(WORDS)]).matches
