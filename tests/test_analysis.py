@@ -6,11 +6,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from porter import STEP2, STEP3, STEP4, porter_stem
 from trawl.functions import analysis as A
 from trawl.functions.folding import ascii_fold
 from trawl.functions.markup import strip_html
 from trawl.functions.profiles import PROFILES
-from trawl.functions.stemming import porter_stem, stem_table, stemmed
+from trawl.functions.stemming import stem, stem_table
 from trawl.operators.postings import term_count
 from trawl.sources import rulefiles
 
@@ -147,12 +148,25 @@ def test_porter(word, stem):
     assert porter_stem(word) == stem
 
 
-def test_stem_table_and_join(spark):
-    vocab = spark.createDataFrame([("running", 2), ("dontstems", 1)], "term string, df long")
-    stems = stem_table(vocab)
-    assert {r.term: r.stem for r in stems.collect()} == {"running": "run", "dontstems": "dontstems"}
-    tokens = spark.createDataFrame([(1, "running"), (2, "running")], "doc_id long, term string")
-    assert [r.term for r in stemmed(tokens, stems).collect()] == ["run", "run"]
+def test_stems_agree_with_the_algorithm_word_by_word(spark):
+    """Every suffix behind stems of every shape, and words of few letters."""
+    rng = random.Random(3)
+    suffixes = [e.partition(":")[0] for e in f"{STEP2} {STEP3} {STEP4}".split()]
+    suffixes += ["s", "sses", "ies", "ed", "ing", "eed", "y", "e", "ll", "tting", "lling", "yying", "ated", ""]
+    words = {"".join(rng.choices("abeilnstxyy", k=rng.randint(0, 5))) + s + rng.choice(["", "", "s", "ly"])
+             for s in suffixes for _ in range(60)}
+    words |= {"".join(rng.choices("aeyylsz1é", k=rng.randint(1, 7))) for _ in range(2000)}
+    rows = spark.createDataFrame([(w,) for w in sorted(words)], "w string").select("w", stem(F.col("w")).alias("s"))
+    wrong = [(r.w, r.s, porter_stem(r.w)) for r in rows.collect() if r.s != porter_stem(r.w)]
+    assert not wrong, wrong[:10]
+
+
+def test_stem_table_and_profile(spark):
+    vocab = spark.createDataFrame([("running", 2), ("dontstems", 1), (None, 1)], "term string, df long")
+    stems = {r.term: r.stem for r in stem_table(vocab).collect()}
+    assert stems == {"running": "run", "dontstems": "dontstems", None: None}
+    assert run(spark, PROFILES["text_stem"].index, "Wi-Fis the Trees") == [["wi"], ["fi", "wifi"], [""], ["tree"]]
+    assert run(spark, PROFILES["text_stem"].query, "tvs running") == [["televis", "tv"], ["run"]]
 
 
 def test_rule_files(spark, tmp_path):

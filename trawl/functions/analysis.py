@@ -28,7 +28,7 @@ POSSESSIVE = r"(\p{L})'[sS]($|[^\p{L}\p{N}])"
 STANDARD = r"[\p{L}\p{M}\p{N}_]+(?:['’.][\p{L}\p{N}]+)*"
 
 
-def _each_term(slots: Column, fn: Callable[[Column], Column]) -> Column:
+def each_term(slots: Column, fn: Callable[[Column], Column]) -> Column:
     """Apply a one-string function inside every slot, alternatives included."""
     def one(slot: Column) -> Column:
         several = F.array_join(F.transform(F.split(slot, ALT), fn), ALT)
@@ -162,7 +162,7 @@ def synonyms(text: str = rules.SYNONYMS, expand: bool = True) -> Step:
 
     def run(slots: Column) -> Column:
         lookup = F.create_map(*map(F.lit, pairs))
-        replaced = _each_term(
+        replaced = each_term(
             slots, lambda t: F.coalesce(F.try_element_at(lookup, F.lower(t)), t)
         )
         return remove_duplicates(replaced)
@@ -188,7 +188,7 @@ def minimal_stem(protected: Iterable[str] = rules.PROTECTED) -> Step:
             .otherwise(t.substr(F.lit(1), n - 1))
         )
 
-    return lambda slots: _each_term(slots, one)
+    return lambda slots: each_term(slots, one)
 
 
 def reverse_copies(slots: Column) -> Column:
@@ -197,7 +197,7 @@ def reverse_copies(slots: Column) -> Column:
         return F.when(t == GAP, t).otherwise(
             F.concat(t, F.lit(ALT), F.lit("\u0001"), F.reverse(t))
         )
-    return _each_term(slots, one)
+    return each_term(slots, one)
 
 
 def phonetic(slots: Column) -> Column:

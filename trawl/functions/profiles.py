@@ -8,6 +8,7 @@ from pyspark.sql import Column
 
 from trawl.functions import analysis as A
 from trawl.functions.markup import strip_html
+from trawl.functions.stemming import porter
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,8 @@ _TIGHT = (
     A.stop(), A.word_delimiter(parts=False), A.lower, A.minimal_stem(),
     A.remove_duplicates, A.synonyms(expand=False),
 )
+_STEM_INDEX = (A.stop(), A.word_delimiter(), A.lower, porter())
+_STEM_QUERY = (A.stop(), A.word_delimiter(catenate=False), A.lower, A.synonyms(), porter(), A.remove_duplicates)
 _SPELL = (A.stop(), A.length_between(4, 20), A.lower, A.remove_duplicates)
 
 
@@ -34,12 +37,14 @@ def _same(step: A.Step) -> Profile:
     return Profile(step, step)
 
 
+TEXT_QUERY = A.chain(A.whitespace, *_TEXT_QUERY)
+STEM_QUERY = A.chain(A.whitespace, *_STEM_QUERY)
+
 PROFILES: dict[str, Profile] = {
-    "text": Profile(A.chain(A.whitespace, *_TEXT_INDEX), A.chain(A.whitespace, *_TEXT_QUERY)),
-    "htmltext": Profile(
-        A.chain(A.whitespace, *_TEXT_INDEX, char_filter=strip_html),
-        A.chain(A.whitespace, *_TEXT_QUERY),
-    ),
+    "text": Profile(A.chain(A.whitespace, *_TEXT_INDEX), TEXT_QUERY),
+    "htmltext": Profile(A.chain(A.whitespace, *_TEXT_INDEX, char_filter=strip_html), TEXT_QUERY),
+    "text_stem": Profile(A.chain(A.whitespace, *_STEM_INDEX), STEM_QUERY),
+    "htmltext_stem": Profile(A.chain(A.whitespace, *_STEM_INDEX, char_filter=strip_html), STEM_QUERY),
     "text_ws": _same(A.chain(A.whitespace)),
     "textgen": Profile(A.chain(A.whitespace, *_GEN_INDEX), A.chain(A.whitespace, *_GEN_QUERY)),
     "text_rev": Profile(

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trawl.functions.analysis import ALT, GAP
 from trawl.functions.folding import ascii_fold
-from trawl.functions.profiles import query_slots
+from trawl.functions.profiles import PROFILES, query_slots
 from trawl.operators.sizing import checked_broadcast
 from trawl.operators.spec import DEFAULT_FIELD
 from trawl.operators.store import TextIndex, Wanted
@@ -118,9 +118,12 @@ def may_have_phrases(texts: Iterable[str]) -> bool:
     )
 
 
-def wanted_terms(queries: DataFrame, default_fields: dict[str, float] | None = None) -> DataFrame:
+def wanted_terms(queries: DataFrame, default_fields: dict[str, float] | None = None,
+                 analyzers: dict[str, str] | None = None) -> DataFrame:
     """Analysed parts per field: ``query_id, part, field, weight, idx, n_idx, term, kind``.
 
+    ``analyzers`` names the profile of fields that are not analysed as plain text.
+
     ``idx`` is the offset inside a phrase (gaps of removed stop words counted); a
     part with one position has ``n_idx`` 1. Parts left without terms are dropped.
     """
@@ -141,9 +144,14 @@ def wanted_terms(queries: DataFrame, default_fields: dict[str, float] | None = N
         F.when(wildcard, F.lit("wildcard"))
         .when(F.col("fuzzy") & ~F.col("quoted"), F.lit("fuzzy")).otherwise(F.lit("term"))
     )
-    slots = F.when(wildcard, F.array(ascii_fold(F.lower("raw")))).otherwise(
-        query_slots(F.col("raw"))
-    )
+    slots = F.when(wildcard, F.array(ascii_fold(F.lower("raw"))))
+    by_chain: dict = {}
+    for name, profile in (analyzers or {}).items():
+        by_chain.setdefault(PROFILES[profile].query, []).append(name)
+    by_chain.pop(PROFILES["text"].query, None)
+    for chain, names in by_chain.items():
+        slots = slots.when(F.col("f.key").isin(names), chain(F.col("raw")))
+    slots = slots.otherwise(query_slots(F.col("raw")))
     spread = (
         fielded.select(
             "query_id", "part", F.col("f.key").alias("field"),

