@@ -144,6 +144,26 @@ def test_a_frequent_term_is_spread_over_files(spark, tmp_path, monkeypatch):
     assert len(files) >= 10 and max(r["count"] for r in files) <= 100
 
 
+def test_expanded_and_folded_words_are_marked(spark):
+    index = corpus(spark, ["Café PowerShot, firefly-FIRE 4x4", None, "fire"])
+    got = search(index, [Q().add_search_term("fire* cafe power 4")])
+    words = results.highlight_terms(got.terms)
+    text = F.lit("Café PowerShot, firefly-FIRE 4x4 cafés")
+    row = got.matches.join(words, "query_id").select(results.mark_terms(text, F.col("words")).alias("m")).first()
+    assert row.m == ("<em>Café</em> <em>Power</em>Shot, <em>firefly</em>-<em>FIRE</em> "
+                     "<em>4</em>x<em>4</em> cafés")
+
+
+def test_order_pins_and_facets_of_a_search(spark):
+    rules = spark.createDataFrame(
+        [("quick", 9, False, 1), ("quick", 3, True, None), ("other", 4, False, 1)],
+        "text string, doc_id long, excluded boolean, pin int")
+    got = search(corpus(spark), [Q().add_search_term("quick")], order=[R.sort_key("size", True)], pins=rules,
+                 facets=["lang"])
+    assert [r.doc_id for r in got.hits.orderBy("rank").collect()] == [9, 8, 2, 1, 0]
+    assert [(r.value, r["count"]) for r in got.facets.collect()] == [("en", 2)]
+
+
 def test_lookup_of_many_terms_joins(spark, monkeypatch):
     """Beyond the literal and broadcast bounds the result is the same."""
     index = corpus(spark)

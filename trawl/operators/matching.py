@@ -275,6 +275,11 @@ def expanded(wanted: DataFrame, index: TextIndex, kind: str) -> DataFrame:
     return some.join(found, ["field", "word"]).select(*TERM)
 
 
+def all_expanded(wanted: DataFrame, index: TextIndex, kinds: Sequence[str]) -> DataFrame:
+    """The terms of every kind of word that a batch holds, looked up in the vocabulary of ``index``."""
+    return reduce(DataFrame.unionByName, (expanded(wanted, index, k) for k in kinds))
+
+
 # Matching and scoring -------------------------------------------------------
 
 def idf(df: Column, total: Column) -> Column:
@@ -340,16 +345,18 @@ def part_hits(index: TextIndex, wanted: Wanted, phrases: bool = True) -> DataFra
 
 def match(index: TextIndex, wanted: DataFrame, kinds: Sequence[str] = ("term", "fuzzy", "wildcard"),
           phrases: bool = True, best_field: bool = False,
-          expand_with: TextIndex | None = None) -> DataFrame:
+          expand_with: TextIndex | None = None, terms: DataFrame | None = None) -> DataFrame:
     """``query_id, doc_id, score``: documents in which every part of a query matches.
 
     ``kinds`` names the kinds of words the batch holds; a caller that knows some are
     absent leaves them out, so that a plan has no branch it does not need. A part scores the sum over its fields, or the best of
     them with ``best_field``. Fuzzy and wildcard words are looked up in the
-    vocabulary of ``expand_with``, normally the fields that have such words.
+    vocabulary of ``expand_with``, normally the fields that have such words; ``terms`` are
+    those that were looked up before.
     """
     needed = wanted.groupBy("query_id").agg(F.count_distinct("part").alias("n_parts"))
-    terms = reduce(DataFrame.unionByName, (expanded(wanted, expand_with or index, k) for k in kinds))
+    if terms is None:
+        terms = all_expanded(wanted, expand_with or index, kinds)
     hits = part_hits(index, Wanted.of(terms, derived=set(kinds) != {"term"}), phrases)
     over_fields = F.max("score") if best_field else F.sum("score")
     # one shuffle for the three groupings; a document has a row a part, field and term by now

@@ -6,8 +6,12 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from trawl.functions.analysis import PARTS_CASE
+from trawl.functions.folding import ascii_fold
 from trawl.operators.matching import near_terms
 
+TOKEN = r"[\p{L}\p{M}\p{N}]+"
+TOKENS = rf"{TOKEN}|[^\p{{L}}\p{{M}}\p{{N}}]+"
 EMPHASIS = ("<em>", "</em>")
 
 
@@ -59,6 +63,23 @@ def mark(text: Column, words: Column) -> Column:
     return F.regexp_replace(text, pattern, F.lit(f"{EMPHASIS[0]}$1{EMPHASIS[1]}"))
 
 
+def mark_terms(text: Column, words: Column) -> Column:
+    """Wrap whatever the analysis of plain text makes one of ``words``: whole runs of letters and
+    digits, else their parts at changes of case or to digits, compared folded and in lower case.
+    Runs joined over punctuation are not marked."""
+    def marked(token: Column) -> Column:
+        found = F.array_contains(words, ascii_fold(F.lower(token)))
+        return F.when(found, F.concat(F.lit(EMPHASIS[0]), token, F.lit(EMPHASIS[1])))
+
+    def run(token: Column) -> Column:
+        pieces = F.regexp_extract_all(token, F.lit(f"{PARTS_CASE}|."), F.lit(0))
+        parts = F.transform(pieces, lambda p: F.coalesce(marked(p), p))
+        return F.coalesce(marked(token), F.array_join(parts, ""))
+
+    tokens = F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(TOKEN), run(t)).otherwise(t)), "")
+
+
 def snippet(text: Column, words: Column, around: int = 5) -> Column:
     """Up to ``around`` words on both sides of the first match, marked; null if none."""
     reach = f"{{0,{around}}}"

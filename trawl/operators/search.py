@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trawl.operators import criteria as C
 from trawl.operators import matching as M
 from trawl.operators import ranking as R
+from trawl.operators import results as D
 from trawl.operators.spec import DEFAULT_FIELD
 from trawl.operators.store import TextIndex
 from trawl.operators.variants import with_states
@@ -19,12 +20,16 @@ from trawl.operators.variants import with_states
 @dataclass(frozen=True)
 class SearchResult:
     """``hits``: the pages (``query_id, rank, doc_id, score``); ``matches``: all of
-    them; ``num_found``: per query, counted before paging and visibility."""
+    them; ``num_found``: per query, counted before paging and visibility; ``wanted``:
+    the words asked for; ``terms``: with fuzzy and wildcard words looked up, for
+    highlighting; ``facets``: value counts over all matches."""
 
     hits: DataFrame
     matches: DataFrame
     num_found: DataFrame
     wanted: DataFrame
+    terms: DataFrame | None = None
+    facets: DataFrame | None = None
 
 
 def predicate(query: M.SearchQuery, current: dict[str, str] | None = None,
@@ -65,14 +70,16 @@ def _any(clauses: list[Column]) -> Column:
     return clauses[0]
 
 
-def paged(matches: DataFrame, queries: Sequence[M.SearchQuery], offset: int = -1, limit: int = -1) -> DataFrame:
+def paged(matches: DataFrame, queries: Sequence[M.SearchQuery], offset: int = -1, limit: int = -1,
+          order: Sequence[Column] = ()) -> DataFrame:
     """Every query's own page."""
+    order = [*order] or R.by_score()
     bounds = {q.query_id: R.page_bounds(q.start, q.limit, offset, limit) for q in queries}
     pages = set(bounds.values())
     if len(pages) == 1:
         first, last = pages.pop()
-        return R.ranked(matches, R.by_score(), first, last)
-    ranked = R.ranked(matches, R.by_score(), 1, max(last for _, last in bounds.values()))
+        return R.ranked(matches, order, first, last)
+    ranked = R.ranked(matches, order, 1, max(last for _, last in bounds.values()))
     rows = matches.sparkSession.createDataFrame(
         [(k, *b) for k, b in bounds.items()], "query_id string, __first long, __last long")
     return ranked.join(rows, "query_id").where("rank BETWEEN __first AND __last").select(*ranked.columns)
@@ -83,12 +90,16 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
            current: dict[str, str] | None = None, multi: Iterable[str] = (),
            offset: int = -1, limit: int = -1,
            boosts: Sequence[tuple[Column, float]] = (),
+           order: Sequence[Column] = (), pins: DataFrame | None = None, facets: Sequence[str] = (),
            hook: Callable[[DataFrame], DataFrame] | None = None) -> SearchResult:
     """Search for a batch of queries with distinct ids, each with its own page and filters.
 
     ``query_fields`` are boosted fields searched instead of the default field,
     each part scoring its best field. ``boosts`` add to the score of documents
-    that meet a predicate. ``hook`` may rework the page of hits.
+    that meet a predicate. ``order`` sorts by columns of the documents instead of the
+    score, with ties in id order; ``pins`` are elevation rules (see ``ranking.elevate``) that
+    come before it. ``facets`` names document columns to count. ``hook`` may rework the page
+    of hits, such as by a gate.
     """
     ids = [q.query_id for q in queries]
     if len(set(ids)) < len(ids):
@@ -97,7 +108,7 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
     worded = [q for q in queries if q.terms]
     rows = M.query_rows(spark, worded)
     wanted = M.wanted_terms(rows, query_fields, dict(index.analyzers))
-    matches = None
+    matches = terms = None
     if worded:
         fuzzy = any(t[3] for q in worded for t in q.terms)
         wild = any(c in t[2] for q in worded for t in q.terms for c in "*?")
@@ -108,9 +119,8 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
         used = index.only_fields({f for _, _, fields in calls for f in fields})
         vocab = index.only_fields({f for _, expand, fields in calls if expand for f in fields})
         phrases = M.may_have_phrases(text for text, _, _ in calls)
-        matches = M.match(
-            used, wanted, kinds, phrases, best_field=bool(query_fields), expand_with=vocab
-        )
+        terms = M.all_expanded(wanted, vocab, kinds)
+        matches = M.match(used, wanted, kinds, phrases, best_field=bool(query_fields), terms=terms)
     blank = [q.query_id for q in queries if not q.terms]
     if blank:
         every = M.match_all(index.documents, blank)
@@ -118,5 +128,16 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
     matches = filtered(matches, index.documents, queries, current, multi)
     if boosts:
         matches = M.boosted(matches, index.documents, boosts)
-    hits = paged(matches, queries, offset, limit)
-    return SearchResult(hook(hits) if hook else hits, matches, R.num_found(matches, ids), wanted)
+    listed, keys = matches, [*order, F.col("doc_id").asc()] if order else R.by_score()
+    if pins is not None:
+        texts = spark.createDataFrame(
+            [(q.query_id, " ".join(t[2] for t in q.terms)) for q in queries], "query_id string, text string")
+        listed, keys = R.elevate(matches, index.documents, pins, texts), [F.col("pin").asc_nulls_last(), *keys]
+    shown = listed.columns
+    if order:
+        others = [c for c in index.documents.columns if c not in shown]
+        listed = listed.join(index.documents.select("doc_id", *others), "doc_id")
+    hits = paged(listed, queries, offset, limit, keys).select(*shown, "rank")
+    counts = D.facets(matches, index.documents, facets) if facets else None
+    return SearchResult(
+        hook(hits) if hook else hits, matches, R.num_found(matches, ids), wanted, terms, counts)

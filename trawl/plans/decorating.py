@@ -17,8 +17,8 @@ from trawl.plans.searching import PAGE, Q, TEXT, WORDS, all_matches, item_querie
 SELECT 'q' AS query_id, 'source' AS field, source AS value, count(*) AS count
 FROM hits JOIN documents USING (doc_id) GROUP BY source""")
 def facet_field(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read(spark, sf, "documents")
-    return D.facets(all_matches(spark, sf), docs, ["source"])
+    query_ = Q("q").add_search_term(WORDS)
+    return search(document_index(spark, sf), [query_], facets=["source"]).facets
 
 
 @query("facet_multi", """SELECT 'q' AS query_id, field, value, count(*) AS count FROM (
@@ -54,6 +54,26 @@ def highlight(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("highlight_expanded", rf"""WITH {S.terms(TEXT)},
+want AS (SELECT list(DISTINCT term) AS words FROM terms WHERE term LIKE 'thane%' OR term = 'anea'),
+hits AS (SELECT doc_id FROM terms GROUP BY 1
+  HAVING bool_or(term LIKE 'thane%') AND bool_or(term = 'anea')),
+runs AS (SELECT doc_id, unnest(ts) AS t, generate_subscripts(ts, 1) AS i FROM (
+  SELECT doc_id, regexp_extract_all(text, '[\p{{L}}\p{{M}}\p{{N}}]+|[^\p{{L}}\p{{M}}\p{{N}}]+') AS ts
+  FROM hits JOIN documents USING (doc_id)) AS x),
+pieces AS (SELECT doc_id, i, unnest(ps) AS p, generate_subscripts(ps, 1) AS j FROM (
+  SELECT doc_id, i, CASE WHEN list_contains(words, {S.fold('lower(t)')}) OR NOT regexp_matches(t, '[\p{{L}}\p{{N}}]') THEN [t]
+    ELSE regexp_extract_all(t, '{S.PARTS_CASE}|.') END AS ps FROM runs, want) AS y)
+SELECT doc_id, string_agg(CASE WHEN list_contains(words, {S.fold('lower(p)')}) THEN '<em>' || p || '</em>' ELSE p END,
+  '' ORDER BY i, j) AS marked FROM pieces, want GROUP BY 1""")
+def highlight_expanded(spark: SparkSession, sf: str) -> DataFrame:
+    """What a wildcard stands for is marked, in the whole texts of all matches."""
+    found = search(document_index(spark, sf), [Q("q").add_search_term("thane* anea")])
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    rows = found.matches.join(docs, "doc_id").join(D.highlight_terms(found.terms), "query_id")
+    return rows.select("doc_id", D.mark_terms(F.col("text"), F.col("words")).alias("marked"))
+
+
 @query("highlight_query", r"""WITH p AS (
   SELECT item_id, regexp_extract_all(text, '"[^"]*"|\S+') AS ps FROM benchmark)
 SELECT CAST(item_id AS VARCHAR) AS query_id, array_to_string(ps, ' ') AS hl_query FROM p""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trawl.operators import gates as G
@@ -280,13 +282,17 @@ SELECT 'q' AS query_id, direction, doc_id, site, rank FROM (
 WHERE rank <= 10""")
 def sort_field(spark: SparkSession, sf: str) -> DataFrame:
     """Sorted by a field that some matches lack: those come last both ways."""
-    docs = read(spark, sf, "documents").select("doc_id", F.when(F.col("lang") == "en", F.col("source")).alias("site"))
-    rows = all_matches(spark, sf).join(docs, "doc_id").select("query_id", "doc_id", "site")
-    asc = R.page(rows, order=[R.sort_key("site"), F.col("doc_id").asc()])
-    desc = R.page(rows, order=[R.sort_key("site", True), F.col("doc_id").asc()])
-    return asc.withColumn("direction", F.lit("asc")).unionByName(
-        desc.withColumn("direction", F.lit("desc"))
-    )
+    site = F.when(F.col("lang") == "en", F.col("source"))
+    index = document_index(spark, sf)
+    index = replace(index, documents=index.documents.withColumn("site", site))
+
+    def sorted_page(direction: str) -> DataFrame:
+        key = R.sort_key("site", descending=direction == "desc")
+        hits = search(index, [Q("q").add_search_term(WORDS)], order=[key]).hits
+        return hits.join(index.documents.select("doc_id", "site"), "doc_id").select(
+            "query_id", F.lit(direction).alias("direction"), "doc_id", "site", "rank")
+
+    return sorted_page("asc").unionByName(sorted_page("desc"))
 
 
 @query("sort_random", f"""WITH {words_sql()}
@@ -317,10 +323,8 @@ def elevate(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", (F.col("toxic") == 1).alias("excluded"),
         F.col("doc_id").alias("pin"),
     )
-    queries = M.query_rows(spark, [Q("q").add_search_term(WORDS)])
-    docs = read(spark, sf, "documents")
-    both = R.elevate(all_matches(spark, sf), docs, rules, queries)
-    return R.ranked(both, R.by_elevation(), 1, 100)
+    pinned = Q("q").add_search_term(WORDS).set_limit(100)
+    return search(document_index(spark, sf), [pinned], pins=rules).hits
 
 
 PAGE = """ranked AS (
@@ -332,8 +336,10 @@ SELECT 'q' AS query_id, doc_id, score, rank FROM ranked
 WHERE rank <= 25 AND doc_id * 2 IN (SELECT ID FROM acl WHERE principal = 'en')""")
 def page_visible(spark: SparkSession, sf: str) -> DataFrame:
     """Hits the principal may not see leave the page, which then is short."""
-    hits = R.page(all_matches(spark, sf), limit=25).withColumn("ID", F.col("doc_id") * 2)
-    return G.viewable(hits, None, "en", acl(spark, sf)).drop("ID")
+    def gate(hits: DataFrame) -> DataFrame:
+        return G.viewable(hits.withColumn("ID", F.col("doc_id") * 2), None, "en", acl(spark, sf)).drop("ID")
+
+    return search(document_index(spark, sf), [Q("q").add_search_term(WORDS).set_limit(25)], hook=gate).hits
 
 
 @query("hydrate_hits", f"""WITH {words_sql()}, {PAGE}
