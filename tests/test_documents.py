@@ -5,11 +5,13 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from trawl.functions import analysis as A
 from trawl.functions import values as V
 from trawl.operators import criteria as C
 from trawl.operators import documents as D
 from trawl.operators import gates as G
 from trawl.operators import variants as W
+from trawl.operators.indexes import index_of
 from trawl.operators.spec import IndexSpec, restrict_classes
 from trawl.sources.changes import write_sites
 from trawl.sources.classes import ClassDef, ClassTree, has_many, has_one, many_many
@@ -246,3 +248,27 @@ def test_range_on_dates(spark):
     since = C.Range(datetime.datetime(2011, 12, 31), None)
     assert ids(rows.where(C.require({"d": [until]}))) == [1]
     assert ids(rows.where(C.exclude({"d": [since]}))) == [1, 3]
+
+
+def test_index_of_a_specification(spark):
+    """Several values, copies, an analyzer of its own, and objects without any text."""
+    shelves = spark.createDataFrame([(1, "Top Shelf", "<b>Oak</b>"), (2, None, None)], "ID long, name string, info string")
+    books = spark.createDataFrame(
+        [(1, 1, "Red book"), (2, 1, "red sea"), (3, 2, None)], "ID long, ShelfID long, title string")
+    tree = ClassTree([
+        ClassDef("Shelf", shelves, types={"info": "HTMLText"}, relations=(has_many("Books", "Book", "ShelfID"),)),
+        ClassDef("Book", books)])
+    spec = IndexSpec(tree).add_class("Shelf").add_fulltext_field("name").add_fulltext_field("info")
+    spec.add_fulltext_field("Books.title").add_analyzer("name", A.chain(A.keyword))
+    spec.add_copy_field("Shelf_Books_title", "titles")
+    index = index_of(spec)
+    rows = sorted((r.field, r.term, r.doc_id, r.val_no) for r in index.postings.collect() if r.field != "_text")
+    one = "1-Shelf-[]"
+    assert rows == [
+        ("Shelf_Books_title", "book", one, 1), ("Shelf_Books_title", "red", one, 1),
+        ("Shelf_Books_title", "red", one, 2), ("Shelf_Books_title", "sea", one, 2),
+        ("Shelf_info", "oak", one, 0), ("Shelf_name", "Top Shelf", one, 0),
+        ("titles", "book", one, 1), ("titles", "red", one, 1), ("titles", "red", one, 2), ("titles", "sea", one, 2)]
+    everything = {(r.term, r.source) for r in index.postings.where("field = '_text'").collect()}
+    assert {("oak", "Shelf_info"), ("shelf", "Shelf_name"), ("sea", "Shelf_Books_title")} <= everything
+    assert {r.doc_id for r in index.documents.collect()} == {one, "2-Shelf-[]"}

@@ -8,10 +8,11 @@ from trawl.functions import analysis as A
 from trawl.functions.stemming import stem_table
 from trawl.operators import postings as P
 from trawl.operators import store
+from trawl.operators.indexes import index_of
 from trawl.operators.sizing import scratch_folder
 from trawl.plans import sqltext as S
 from trawl.plans.registry import query
-from trawl.plans.sample import document_index, read
+from trawl.plans.sample import content_spec, document_index, read
 from trawl.operators.search import search
 from trawl.plans.searching import CONTENT_TEXT, HITS, Q, TEXT, WORDS
 
@@ -180,3 +181,35 @@ def search_stemmed(spark: SparkSession, sf: str) -> DataFrame:
     text = P.TextSource("_text", documents.select("doc_id", "text"), "text_stem")
     index = store.build(documents.drop("text"), [text])
     return search(index, [Q("q").add_search_term("aneas thons")]).matches
+
+
+REVERSED = "SELECT 'Document_text' AS field, doc_id * 2 AS doc_id, 0 AS val_no, text FROM documents"
+CLEAN = f"""SELECT 'x' AS field, doc_id * 2 AS doc_id, 0 AS val_no, {S.strip_html('text')} AS text FROM documents
+UNION ALL SELECT 'x', page_id * 2 + 1, 0, {S.strip_html('html')} FROM pages"""
+
+
+@query("index_of_spec", f"""WITH {S.words(REVERSED, 'own')}, {S.terms(CLEAN)},
+{S.terms("SELECT 'y' AS field, page_id * 2 + 1 AS doc_id, 0 AS val_no, " + S.strip_html('html') + " AS text FROM pages", name='html')},
+every AS (
+  SELECT 'Document_text' AS field, doc_id, reverse(lower(w)) AS term FROM own
+  UNION ALL SELECT 'Page_html', doc_id, term FROM html
+  UNION ALL SELECT '_text', doc_id, term FROM terms UNION ALL SELECT 'everything', doc_id, term FROM terms WHERE doc_id % 2 = 1)
+SELECT field, term, doc_id || '-Content-[]' AS doc_id, count(*) AS tf FROM every GROUP BY 1, 2, 3""")
+def index_of_spec(spark: SparkSession, sf: str) -> DataFrame:
+    """All postings of a specification: an analyzer of its own, an HTML field, default and explicit copies."""
+    spec = content_spec(spark, sf)
+    spec.add_analyzer("text", A.chain(A.whitespace, A.lower, lambda slots: F.transform(slots, F.reverse)))
+    spec.add_copy_field("Page_html", "everything")
+    rows = index_of(spec).postings
+    return rows.groupBy("field", "term", "doc_id").agg(F.sum("tf").alias("tf"))
+
+
+@query("search_of_spec", f"""WITH {S.terms(CONTENT_TEXT)},
+total AS (SELECT (SELECT count(*) FROM documents) + (SELECT count(*) FROM pages) AS n),
+{S.scored([[('_text', w, 1.0)] for w in WORDS.split()])}
+SELECT 'q' AS query_id, doc_id || '-Content-[]' AS doc_id, score FROM hits JOIN documents d ON d.doc_id * 2 = hits.doc_id
+WHERE lang = 'en'""".replace("SELECT 'q' AS query_id, doc_id ||", "SELECT 'q' AS query_id, hits.doc_id ||"))
+def search_of_spec(spark: SparkSession, sf: str) -> DataFrame:
+    """A search of an index built from a specification alone, filtered by one of its fields."""
+    asked = Q("q").add_search_term(WORDS).add_filter("Document_lang", "en")
+    return search(index_of(content_spec(spark, sf)), [asked]).matches
