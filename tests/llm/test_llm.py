@@ -271,6 +271,15 @@ def test_language(spark):
     assert {r["lang_pred"] for r in language.identify(rows(spark), empty).collect()} == {"und"}
 
 
+def test_language_sample_counts_distinct_texts(spark):
+    copied = [(f"copied text {i % 20} of it", "aa") for i in range(10_000)]
+    large = [(f"text number {i}", "bb") for i in range(3000)]
+    docs = spark.createDataFrame(copied + large, "text string, lang string")
+    n = {r["lang"]: r["count"] for r in language.sample_rows(docs, "text", "lang").groupBy("lang").count().collect()}
+    assert n["aa"] == 20 and 300 < n["bb"] < 500
+    assert language.train(docs).languages == ["aa", "bb"]
+
+
 def test_quality(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     good = ["plain words go here and on and on", "some other plain text to read"] * 30

@@ -33,14 +33,16 @@ LETTER = regex.compile(r"\p{L}")
 
 
 def sample_rows(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPLE) -> DataFrame:
-    """``lang`` and ``text`` of about ``sample`` distinct texts of each language, chosen by hash."""
+    """``lang`` and ``text`` of about ``sample`` distinct texts of each language, chosen by hash. What a
+    text's chance is follows from the distinct texts of its language, so copies don't change it."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
+    distinct = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    sizes = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
     if len(sizes) > LANGUAGES:
         raise ValueError(f"over {LANGUAGES} languages")
     chosen = F.lit(False)
     for lang, n in sizes.items():
-        chosen = chosen | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("text"), F.lit(max(1, n))) < sample))
+        chosen = chosen | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("text"), F.lit(n)) < sample))
     return rows.where(chosen).dropDuplicates(["lang", "text"])
 
 
