@@ -4,7 +4,8 @@ Each stage takes the documents that its predecessor kept and calls one operator;
 written as Parquet and read again before the next. All stages but the last return the columns of
 the documents they get.
 
-1. language: documents without a letter, of which no language can be told, go.
+1. language: documents without a letter, of which no language can be told, go. All others stay, also
+   when no document is labelled and so no language is learned.
 2. lines: lines that at least five documents share stay in the one with the largest id only.
 3. near_duplicates: of each group linked by near fingerprints the smallest id stays.
 4. decontaminate: documents of which benchmark windows cover at least a twentieth go.
@@ -26,8 +27,8 @@ from trawl.llm.common import read, saved
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     model = language.train(docs.where(~held_out | F.col("doc_id").isNull()))
-    marked = language.identify(docs, model, lang_out="__lang", score_out="__score")
-    return marked.where(F.col("__lang") != language.UNKNOWN).select(docs.columns)
+    marked = language.identify(docs, model, lang_out="__lang", score_out="__score", lettered_out="__lettered")
+    return marked.where("__lettered").select(docs.columns)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -307,6 +307,15 @@ def test_pipeline(spark):
     assert kept.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_lettered_documents_stay_without_labels(spark, lang):
+    docs = rows(spark, TEXTS).withColumn("lang", F.lit(lang).cast("string"))
+    kept = corpus_pipeline.keep_known_languages(spark, docs, SF)
+    assert kept.columns == docs.columns
+    lettered = {i for i, t in enumerate(TEXTS) if t and re.search("[A-Za-z]", t)}
+    assert {r["doc_id"] for r in kept.collect()} == lettered
+
+
 def test_queries_are_whole(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in ("op3_bottom_k_sketch", "op4_wu_manber", "op6_bootstrapped_pii"):

@@ -180,20 +180,25 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred",
-             score_out: str = "score", drop: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` with the predicted language and its probability among the learned ones."""
+             score_out: str = "score", drop: tuple[str, ...] = (), lettered_out: str | None = None) -> DataFrame:
+    """``docs`` with the predicted language and its probability among the learned ones; if
+    ``lettered_out`` is named, also with whether the text has a letter, learned or not."""
+    fields = [T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())]
+    if lettered_out is not None:
+        fields.append(T.StructField(lettered_out, T.BooleanType()))
+
     def start():
         def step(texts: pa.Array):
             lettered = np.array([t is not None and LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+            also = [] if lettered_out is None else [pa.array(lettered)]
             if not model.languages:
-                return [pa.array([UNKNOWN] * len(texts)), pa.array(np.zeros(len(texts)))]
+                return [pa.array([UNKNOWN] * len(texts)), pa.array(np.zeros(len(texts))), *also]
             bits = model.code_lengths(*utf8(texts))
             best = bits.argmin(1)
             share = 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
             return [pa.array([model.languages[i] if ok else UNKNOWN for i, ok in zip(best, lettered)], pa.string()),
-                    pa.array(np.where(lettered, share, 0.0))]
+                    pa.array(np.where(lettered, share, 0.0)), *also]
 
         return step
 
-    return add_columns(docs, [T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())],
-                       [text_col], start, drop, 1 << 20)
+    return add_columns(docs, fields, [text_col], start, drop, 1 << 20)
