@@ -280,6 +280,24 @@ def test_language_sample_counts_distinct_texts(spark):
     assert language.train(docs).languages == ["aa", "bb"]
 
 
+def test_language_of_many_labels(spark):
+    letters = "abcdefghijklmnop"
+    words = {f"l{k:03}": [f"{letters[k // 16]}{letters[k % 16]}{c}{letters[k % 16]}" for c in letters] for k in range(100)}
+    rng = random.Random(9)
+    texts = [(lang, " ".join(rng.choices(own, k=60))) for lang, own in words.items() for _ in range(6)]
+    docs = spark.createDataFrame([(i, t, lang, None, 1) for i, (lang, t) in enumerate(texts)], SCHEMA)
+    model = language.train(docs.where("doc_id % 6 <> 0"))
+    assert model.languages == sorted(words)
+    out = language.identify(docs.where("doc_id % 6 = 0"), model).collect()
+    assert len(out) == 100 and all(r["lang"] == r["lang_pred"] for r in out)
+    # one block after the other gives what all code lengths together give
+    data, offsets = language.utf8(language.pa.array([t for _, t in texts[::7]] + ["", "Ж!", "abca" * 90]))
+    bits = model.code_lengths(data, offsets)
+    best, share = model.best(data, offsets)
+    assert bits.shape[1] == 100 and (best == bits.argmin(1)).all()
+    assert np.allclose(share, 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1))
+
+
 def test_quality(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     good = ["plain words go here and on and on", "some other plain text to read"] * 30

@@ -6,6 +6,10 @@ seen in the longer one (method C). Once learned, the counts are frozen, so what
 only on its longest context in the tree, and a text's exact code length under each language is a
 sum of table entries. The language with the shortest code is predicted.
 
+The tables are sparse: of each order, the costs of the bytes seen in a context and what the escape from
+it costs. Languages are in blocks; a text is scored by one block after the other, of which
+the shortest code and the sum of the probabilities are kept, so there may be any number of languages.
+
 Counts are learned from a bounded sample of labelled rows, ``SAMPLE`` distinct texts a language on
 average, counted in tasks. Null texts and texts without a letter are ``und`` with score 0, and so
 is everything if no row is labelled. Rows are predicted alone: ties, repeats and other columns don't
@@ -19,13 +23,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from trawl.llm.common import add_columns, utf8
+from trawl.llm.common import add_columns, saved, utf8
+from trawl.operators.sizing import BROADCAST_ROWS, within
 
-#: Distinct texts a language to learn from, on average; languages at most.
+#: Distinct texts a language to learn from, on average.
 SAMPLE = 400
-LANGUAGES = 64
-#: Contexts of three bytes kept, the most frequent first.
-CONTEXTS = 8192
+#: Languages in a block.
+TOGETHER = 8
+ORDERS = (0, 1, 2, 3)
 UNKNOWN = "und"
 PAD = 10
 STEP = 1 << 18
@@ -36,14 +41,11 @@ def sample_rows(labelled: DataFrame, text_col: str, lang_col: str, sample: int =
     """``lang`` and ``text`` of about ``sample`` distinct texts of each language, chosen by hash. What a
     text's chance is follows from the distinct texts of its language, so copies don't change it."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    distinct = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
-    sizes = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"over {LANGUAGES} languages")
-    chosen = F.lit(False)
-    for lang, n in sizes.items():
-        chosen = chosen | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("text"), F.lit(n)) < sample))
-    return rows.where(chosen).dropDuplicates(["lang", "text"])
+    sizes = saved(rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+                  .groupBy("lang").agg(F.count("*").alias("n")), "sizes")
+    if within(sizes, BROADCAST_ROWS):
+        sizes = F.broadcast(sizes)
+    return rows.join(sizes, "lang").where(F.pmod(F.xxhash64("text"), F.col("n")) < sample).select("lang", "text").distinct()
 
 
 def _before(data: np.ndarray, offsets: np.ndarray, back: int) -> np.ndarray:
@@ -74,70 +76,98 @@ def _count_grams(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-class Model:
-    """Code lengths in bits by context, byte class and language."""
+class Index:
+    """Row numbers of distinct 32-bit keys, in a table with linear probing."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, (3 * len(keys)).bit_length())
+        self.shift, self.last = np.uint32(32 - bits), (1 << bits) - 1
+        self.keys, self.rows = np.zeros(1 << bits, np.uint32), np.full(1 << bits, -1, np.int32)
+        left, at = np.arange(len(keys)), self._home(keys)
+        while len(left):
+            # of those that want a free place, one gets it
+            free = np.flatnonzero(self.rows[at] < 0)
+            places, first = np.unique(at[free], return_index=True)
+            self.rows[places], self.keys[places] = left[free[first]], keys[left[free[first]]]
+            left, at = np.delete(left, free[first]), np.delete(at, free[first]) + 1 & self.last
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint32(0x9E3779B1) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' rows, -1 for those not held."""
+        at = self._home(keys)
+        out = self.rows[at]
+        other = np.flatnonzero((self.keys[at] != keys) & (out >= 0))
+        at = at[other]
+        while len(other):
+            at = at + 1 & self.last
+            out[other] = self.rows[at]
+            more = (self.keys[at] != keys[other]) & (out[other] >= 0)
+            other, at = other[more], at[more]
+        return out
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], contexts: int = CONTEXTS):
-        self.languages = sorted(counts)
-        if not counts:
-            return
-        L = len(self.languages)
-        grams = np.concatenate([counts[lang][0] for lang in self.languages])
-        n = np.concatenate([counts[lang][1] for lang in self.languages]).astype(np.float64)
-        lang = np.repeat(np.arange(L), [len(counts[x][0]) for x in self.languages])
-        symbols = np.stack([grams >> 24 & 255, grams >> 16 & 255, grams >> 8 & 255, grams & 255])
-        # bytes never seen share class 0
-        used = np.unique(symbols)
-        self.classes = np.zeros(256, np.int64)
-        self.classes[used] = np.arange(1, len(used) + 1)
-        A = self.A = len(used) + 1
-        c3, c2, c1, b = self.classes[symbols]
-        cost = np.full((1, A, L), 1 / 256)
-        self.states = np.zeros(A**3, np.int32)
-        tables, total = [], 0
-        for order, key in ((0, c1 * 0), (1, c1), (2, c2 * A + c1), (3, (c3 * A + c2) * A + c1)):
-            found, place = np.unique(key, return_inverse=True)
-            if order == 3 and len(found) > contexts:
-                weight = np.bincount(place, n)
-                kept = np.sort(np.argsort(-weight, kind="stable")[:contexts])
-                new = np.full(len(found), -1)
-                new[kept] = np.arange(len(kept))
-                found, place = found[kept], new[place]
-            held = place >= 0
-            count = np.zeros((len(found), A, L))
-            np.add.at(count, (place[held], b[held], lang[held]), n[held])
-            if order:
-                shorter = self._state_of_suffix(found, order, A)
-                below = np.concatenate(tables)[shorter]
-            else:
-                below = np.repeat(cost, len(found), 0)
-            tables.append(_escape(count, below))
-            self._place(found, order, A, total)
-            total += len(found)
-        self.bits = (-np.log2(np.concatenate(tables))).astype(np.float32).reshape(total * A, L)
-
-    def _state_of_suffix(self, found: np.ndarray, order: int, A: int) -> np.ndarray:
-        return self.states[found % A ** (order - 1)] if order > 1 else np.zeros(len(found), np.int64)
-
-    def _place(self, found: np.ndarray, order: int, A: int, total: int) -> None:
-        """Contexts that end like a found one lead to it, until a longer one does."""
-        if order == 0:
-            return
-        by_end = self.states.reshape(A ** (3 - order), A**order)
-        by_end[:, found] = total + np.arange(len(found))
+
+class Block:
+    """Code lengths in bits under a few languages. ``cost`` has them for the bytes that any of the
+    languages has in a context, ``escape`` what is added to the shorter context's for all others;
+    the last row of both, of what isn't held, is zero."""
+
+    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
+        L = len(counts)
+        self.grams, self.contexts, self.cost, self.escape = [], [], [], []
+        held, below = np.zeros(0, np.int64), np.zeros((0, L))
+        for order in ORDERS:
+            mask = (1 << 8 * (order + 1)) - 1
+            own = [np.unique(grams & mask, return_inverse=True) for grams, _ in counts]
+            grams = np.unique(np.concatenate([x for x, _ in own]))
+            count = np.zeros((len(grams), L))
+            for i, ((found, place), (_, n)) in enumerate(zip(own, counts)):
+                count[np.searchsorted(grams, found), i] = np.bincount(place, n, len(found))
+            contexts, place = np.unique(grams >> 8, return_inverse=True)
+            # all bytes of a longer context are also held for the shorter one
+            below = below[np.searchsorted(held, grams & mask >> 8)] if order else np.full((len(grams), L), 1 / 256)
+            total, distinct, rest = np.zeros((3, len(contexts), L))
+            np.add.at(total, place, count)
+            np.add.at(distinct, place, count > 0)
+            np.add.at(rest, place, below * (count > 0))
+            leave = np.where(total == 0, 1, distinct / np.maximum(total + distinct, 1) / np.maximum(1 - rest, 1e-9))
+            below = np.where(count > 0, count / np.maximum(total + distinct, 1)[place], leave[place] * below)
+            held = grams
+            self.grams.append(Index(grams.astype(np.uint32)))
+            self.contexts.append(Index(contexts.astype(np.uint32)))
+            self.cost.append(_bits(below))
+            self.escape.append(_bits(leave))
+        self.held = contexts
+
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        """Cost of bytes, each the lowest of a number that has the three before it above."""
+        row = self.grams[3].find(grams)
+        out = self.cost[3][row]
+        left = np.flatnonzero(row < 0)
+        grams = grams[left]
+        for order in (3, 2, 1):
+            if not len(left):
+                return out
+            out[left] += self.escape[order][self.contexts[order].find(grams >> np.uint32(8))]
+            grams = grams & np.uint32((1 << 8 * order) - 1)
+            row = self.grams[order - 1].find(grams)
+            out[left] += self.cost[order - 1][row]
+            left, grams = left[row < 0], grams[row < 0]
+        out[left] += self.escape[0][0] + 8
+        return out
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits of each text under each language."""
-        out = np.zeros((len(offsets) - 1, len(self.languages)))
-        A = self.A
+        out = np.zeros((len(offsets) - 1, self.cost[0].shape[1]))
         for a in range(0, len(data), STEP):
             # three bytes more in front give the contexts of the first bytes
             b, lead = min(a + STEP, len(data)), max(0, a - 3)
             own = np.clip(offsets, lead, b) - lead
             part = data[lead:b]
-            p1, p2, p3 = (self.classes[_before_cut(part, own, offsets, lead, k)] for k in (1, 2, 3))
-            at = self.states[(p3 * A + p2) * A + p1].astype(np.int64) * A + self.classes[part]
-            bits = self.bits[at[a - lead:]]
+            grams = part.astype(np.uint32)
+            for back in (1, 2, 3):
+                grams |= _before_cut(part, own, offsets, lead, back).astype(np.uint32) << np.uint32(8 * back)
+            bits = self.bits(grams[a - lead:])
             ends = np.clip(offsets, a, b) - a
             full = np.flatnonzero(np.diff(ends) > 0)
             if len(full):
@@ -145,6 +175,42 @@ class Model:
         return out
 
 
+class Model:
+    """The languages in order, and their tables in blocks."""
+
+    A = 256
+
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
+        self.languages = sorted(counts)
+        self.blocks = [Block([counts[lang] for lang in self.languages[a:a + TOGETHER]])
+                       for a in range(0, len(self.languages), TOGETHER)]
+
+    @property
+    def bits(self) -> np.ndarray:
+        """Cost of every byte in every context of three bytes, by language: a table to look at."""
+        contexts = np.unique(np.concatenate([block.held for block in self.blocks])).astype(np.uint32)
+        grams = (contexts[:, None] << np.uint32(8) | np.arange(self.A, dtype=np.uint32)).ravel()
+        return np.concatenate([block.bits(grams) for block in self.blocks], 1)
+
+    def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Bits of each text under each language."""
+        return np.concatenate([block.code_lengths(data, offsets) for block in self.blocks], 1)
+
+    def best(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The language of each text's shortest code, and its probability among all."""
+        n = len(offsets) - 1
+        least, total, place = np.full(n, np.inf), np.zeros(n), np.zeros(n, np.int64)
+        for k, block in enumerate(self.blocks):
+            bits = block.code_lengths(data, offsets)
+            shortest = bits.min(1)
+            place = np.where(shortest < least, k * TOGETHER + bits.argmin(1), place)
+            now = np.minimum(least, shortest)
+            total *= np.exp2(np.maximum(now - least, -1000))
+            total += np.exp2(np.maximum(now[:, None] - bits, -1000)).sum(1)
+            least = now
+        return place, 1 / total
+
+
 def _before_cut(part, own, offsets, lead, back):
     """As ``_before``, for bytes cut out of a longer array: only true text starts are padded."""
     out = np.full(len(part), PAD, np.uint8)
@@ -157,26 +223,32 @@ def _before_cut(part, own, offsets, lead, back):
     return out
 
 
-def _escape(count: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """Probabilities by context, class and language, from counts and the shorter contexts'."""
-    total, seen = count.sum(1, keepdims=True), count > 0
-    distinct = seen.sum(1, keepdims=True)
-    rest = np.maximum(1 - (below * seen).sum(1, keepdims=True), 1e-9)
-    escaped = distinct / np.maximum(total + distinct, 1) * below / rest
-    return np.where(total == 0, below, np.where(seen, count / np.maximum(total + distinct, 1), escaped))
+def _bits(probabilities: np.ndarray) -> np.ndarray:
+    return np.concatenate([-np.log2(probabilities), np.zeros((1, probabilities.shape[1]))]).astype(np.float32)
+
+
+def _in_arrays(counts: DataFrame) -> DataFrame:
+    """``lang``, and ``grams`` and ``n`` as binary arrays: few rows to collect."""
+    def run(batches):
+        for batch in batches:
+            langs = batch.column(0).dictionary_encode()
+            order = np.argsort(langs.indices.to_numpy(), kind="stable")
+            grams, n = (batch.column(i).to_numpy()[order] for i in (1, 2))
+            cuts = np.cumsum(np.bincount(langs.indices.to_numpy(), minlength=len(langs.dictionary)))[:-1]
+            yield pa.RecordBatch.from_arrays([
+                langs.dictionary.cast(pa.string()), *(pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (grams, n))],
+                names=["lang", "grams", "n"])
+
+    return counts.mapInArrow(run, "lang string, grams binary, n binary")
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     counts: dict[str, tuple[list, list]] = {}
-    for r in _count_grams(sample_rows(labelled, text_col, lang_col, sample)).toLocalIterator():
+    for r in _in_arrays(_count_grams(sample_rows(labelled, text_col, lang_col, sample))).toLocalIterator():
         grams, n = counts.setdefault(r["lang"], ([], []))
-        grams.append(r["gram"])
-        n.append(r["n"])
-    in_order = {}
-    for lang, (grams, n) in counts.items():
-        order = np.argsort(grams)
-        in_order[lang] = np.array(grams)[order], np.array(n)[order]
-    return Model(in_order)
+        grams.append(np.frombuffer(r["grams"], np.int64))
+        n.append(np.frombuffer(r["n"], np.int64))
+    return Model({lang: (np.concatenate(grams), np.concatenate(n)) for lang, (grams, n) in counts.items()})
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred",
@@ -193,9 +265,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: st
             also = [] if lettered_out is None else [pa.array(lettered)]
             if not model.languages:
                 return [pa.array([UNKNOWN] * len(texts)), pa.array(np.zeros(len(texts))), *also]
-            bits = model.code_lengths(*utf8(texts))
-            best = bits.argmin(1)
-            share = 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
+            best, share = model.best(*utf8(texts))
             return [pa.array([model.languages[i] if ok else UNKNOWN for i, ok in zip(best, lettered)], pa.string()),
                     pa.array(np.where(lettered, share, 0.0)), *also]
 
