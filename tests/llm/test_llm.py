@@ -89,6 +89,23 @@ def test_id_files(spark):
     assert idfiles.read_ids(spark, empty).count() == 0
 
 
+def test_id_files_hold_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(6)
+    pieces = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "|>", "<", " ", "Foo", "bar.", "É", "e", "\u0301", "ΑΣ", ","]
+    texts = TEXTS + ["foo <|endoftext|> bar", "a.<|endoftext|>.", "<|startoftext|><|endoftext|>", "<|EndOfText|>"]
+    texts += ["".join(rng.choices(pieces, k=rng.randint(1, 12))) for _ in range(200)]
+    rows(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r["doc_id"]: r for r in queries.QUERIES["op2_simple8b_ids"](spark, str(tmp_path)).collect()}
+    start = 0
+    for i, text in enumerate(texts):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [1]
+        got = (out[i]["start"], out[i]["n_tokens"], out[i]["ids_crc32"])
+        assert got == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), text
+        start += len(ids)
+
+
 def test_sketches(spark):
     texts = TEXTS + [" ".join(f"w{i}" for i in range(2000))]
     got = sketches.edited_with_next(rows(spark, texts), parts=3)

@@ -10,6 +10,9 @@ A word's top 4 bits say how many ids of how many bits follow from its lowest bit
 is an escape: the next word is one id of over 60 bits. Blocks hold a fixed number of ids and begin
 at a known word, so all blocks of a segment are packed and unpacked side by side.
 
+Added tokens of the vocabulary (``<|endoftext|>``), spelled exactly so in a text, are one id each, as
+the library has it, or are encoded like any other characters, as ``write_ids`` is told.
+
 A null text has only the end id. Null document ids come first, equal ones in text order; each row
 keeps its own entry. An empty table gives no entries. Other columns aren't stored.
 """
@@ -163,13 +166,35 @@ class WordEncoder:
 
     TOGETHER = 400
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         self.tokenizer = _tokenizer(path)
+        self.added, self.spelled, self.cut = {}, [], None
+        if added_tokens:
+            self._cut_at_added()
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.restart()
 
+    def _cut_at_added(self) -> None:
+        """The library looks for added tokens in the raw text, before anything else, and treats what is
+        between them as texts of their own. As words, they are marked with a space in front."""
+        tokens = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in tokens.values()):
+            raise ValueError("added tokens that aren't found exactly as spelled")
+        self.added = {" " + t.content: i for i, t in tokens.items()}
+        self.spelled = sorted((t.content for t in tokens.values()), key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.spelled)) + ")")
+
+    def _words(self, text: str | None) -> list[str]:
+        text = text or ""
+        pieces = self.cut.split(text) if any(token in text for token in self.spelled) else [text]
+        words = WORD.findall(pieces[0].encode().lower().decode())
+        for token, piece in zip(pieces[1::2], pieces[2::2]):
+            words.append(" " + token)
+            words += WORD.findall(piece.encode().lower().decode())
+        return words
+
     def restart(self) -> None:
         self.numbers, self.parts = Numbers(), Numbers()
         self.flat, self.ends = Growing(np.int32), Growing(np.int64)
@@ -192,8 +217,10 @@ class WordEncoder:
             sizes[group] = np.diff(lasts, prepend=-1)
             order += group
             found.append(ids)
-        alone += [i for i, part in enumerate(parts) if not part.isalpha()]
-        each = self._encode([parts[i] for i in alone])
+        marked = [i for i, part in enumerate(parts) if part in self.added]
+        alone += [i for i, part in enumerate(parts) if not part.isalpha() and part not in self.added]
+        each = self._encode([parts[i] for i in alone]) + [np.array([self.added[parts[i]]], np.int32) for i in marked]
+        alone += marked
         sizes[alone] = [len(x) for x in each]
         order = np.array(order + alone, np.int64)
         starts = np.zeros(len(parts), np.int64)
@@ -224,7 +251,7 @@ class WordEncoder:
         """All ids, and their number for each text."""
         if len(self.numbers) >= WORDS:
             self.restart()
-        numbers = [self.numbers.of(WORD.findall(text.encode().lower().decode() if text else "")) for text in texts]
+        numbers = [self.numbers.of(self._words(text)) for text in texts]
         new, self.numbers.new = self.numbers.new, []
         if new:
             self._learn(new)
@@ -242,15 +269,16 @@ SCHEMA = T.StructType([
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int,
-              id_col: str = "doc_id", text_col: str = "text") -> None:
+              id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> None:
     """Tokenize ``docs``, end each document with ``end_id`` and write the ids in ascending order of
-    ``id_col`` to ``path``. Texts are sorted before they are tokenized, so that the sort's
+    ``id_col`` to ``path``. With ``added_tokens``, those of the vocabulary are told apart in the texts, as
+    the library does unless ``encode_special_tokens`` is set. Texts are sorted before they are tokenized, so that the sort's
     sampling doesn't tokenize them a second time."""
     ordered = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")) \
         .repartitionByRange("d").sortWithinPartitions("d", "t")
 
     def run(batches):
-        encoder, before, part = WordEncoder(tokenizer), 0, TaskContext.get().partitionId()
+        encoder, before, part = WordEncoder(tokenizer, added_tokens), 0, TaskContext.get().partitionId()
         doc_ids, counts, parts = [], [], []
 
         def row():

@@ -34,7 +34,8 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simple8b_ids")
 def op2_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "ids")
-    idfiles.write_ids(read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    idfiles.write_ids(read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1,
+                      added_tokens=True)
     return idfiles.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
