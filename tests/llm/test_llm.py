@@ -165,6 +165,25 @@ def test_contamination(spark, block):
     assert none.agg(F.sum("n_hit")).first()[0] == 0
 
 
+def test_contamination_holds_one_block_at_a_time(spark, monkeypatch):
+    repeated = [(1, "one repeated item of some words")] * 50
+    items = repeated + [(i, f"item {i} of some length, number {i}") for i in range(2, 12)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    held, add_hits = [], contamination._add_hits
+
+    def watched(docs, own, *rest):
+        plan = docs._jdf.queryExecution().optimizedPlan().toString()
+        held.append((sorted(own), plan.count("MapInArrow")))
+        return add_hits(docs, own, *rest)
+
+    monkeypatch.setattr(contamination, "_add_hits", watched)
+    docs = rows(spark, ["a one repeated item of some words b", "item 7 of some length, number 7", "none"])
+    out = {r["doc_id"]: r["item_ids"] for r in contamination.find_contamination(docs, bench, block_bytes=100).collect()}
+    assert out == {0: ["1"], 1: ["7"], 2: []}
+    assert len(held) > 1 and all(steps == 0 for _, steps in held)  # each begins with what was written
+    assert sorted(x for own, _ in held for x in own) == sorted({(str(i), t.encode()) for i, t in items})
+
+
 def brute_fingerprint(text):
     w = (text or "").encode().lower().split()
     sh = [b" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from trawl.llm.common import add_columns, ends_to_offsets, utf8
+from trawl.llm.common import add_columns, ends_to_offsets, saved, utf8
 
 WINDOW = 13
 #: Bytes of item texts searched for in one pass; a longer benchmark is searched in blocks.
@@ -142,15 +142,19 @@ def find_contamination(
     words) and ``contaminated`` (at least a twentieth of the words is hit).
 
     Item texts reach the tasks in blocks of bounded size; each block is a pass over the rows that
-    adds to what the passes before have found."""
+    adds to what the passes before have found. A pass is written before the next block is collected, so
+    driver and tasks hold one block at a time. Repeated items are held once."""
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"),
-                             F.col(item_text).cast("binary").alias("t")).where("t IS NOT NULL")
+                             F.col(item_text).cast("binary").alias("t")).where("t IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-total // block_bytes))
     found = docs
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block)
-        found = _add_hits(found, [(r["i"], bytes(r["t"])) for r in own.collect()], text_col, drop if block + 1 == blocks else (), block > 0)
+        last = block + 1 == blocks
+        found = _add_hits(found, [(r["i"], bytes(r["t"])) for r in own.collect()], text_col, drop if last else (), block > 0)
+        if not last:
+            found = saved(found, "hits")
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
 
 
