@@ -348,6 +348,16 @@ def test_quality(spark):
     assert {r["score"] for r in quality.with_scores(docs, quality.train(docs, labels.limit(0))).collect()} == {0.5}
 
 
+def test_quality_learns_one_row_an_id(spark, monkeypatch):
+    learned = []
+    monkeypatch.setattr(quality.Classifier, "fit", classmethod(lambda cls, texts, labels: learned.extend(zip(texts, labels)) or cls(None)))
+    docs = rows(spark, [f"copy {i % 3}" for i in range(300)] + ["other", None], [1] * 300 + [2, 3])
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in (1, 2, 3)], "doc_id bigint, quality int, toxic int")
+    quality.train(docs, marks)
+    least = min(("copy 0", "copy 1", "copy 2"), key=lambda t: xxhash.xxh64_intdigest(t, 42) - (1 << 64) * (xxhash.xxh64_intdigest(t, 42) >> 63))
+    assert sorted(learned) == sorted([(least, 1), ("other", 0)])
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     assert out and all(r["round_trip"] for r in out)

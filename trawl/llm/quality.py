@@ -138,12 +138,14 @@ class WordScores:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", sample: int = SAMPLE) -> Classifier:
     """Learn from up to ``sample`` rows of ``labels``, chosen by a hash of the id. That bounded
-    number of ids is what is broadcast to find their texts."""
+    number of ids is what is broadcast to find their texts, of which each id has one, that of the least
+    hash."""
     chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("y")).dropDuplicates(["__id"]) \
         .orderBy(F.xxhash64("__id"), "__id").limit(sample)
     rows = docs.where(F.octet_length(text_col) <= SAMPLE_BYTES).select(F.col(id_col).alias("__id"), F.col(text_col).alias("t")) \
-        .join(F.broadcast(chosen), "__id").select("t", "y", "__id")
+        .join(F.broadcast(chosen), "__id") \
+        .groupBy("__id").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t", "y")).alias("least")).select("least.t", "least.y")
     rows = sorted(rows.collect(), key=lambda r: (zlib.crc32(r["t"].encode()), r["t"], r["y"]))
     return Classifier.fit([r["t"] for r in rows], [r["y"] for r in rows])
 
