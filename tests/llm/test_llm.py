@@ -334,6 +334,23 @@ def test_language_of_many_labels(spark):
     assert np.allclose(share, 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1))
 
 
+def test_language_keeps_all_contexts():
+    def counts(text, times):
+        data, offsets = language.utf8(language.pa.array([text]))
+        gram = data.astype(np.int64)
+        for back in (1, 2, 3):
+            gram |= language._before(data, offsets, back).astype(np.int64) << 8 * back
+        grams, n = np.unique(gram, return_counts=True)
+        return grams, n * times
+
+    rng = random.Random(8)
+    large = counts("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60_000)), 100)
+    small = "Ünï ñandú, 日本語 και Жук " * 3
+    alone, both = language.Model({"small": counts(small, 1)}), language.Model({"large": large, "small": counts(small, 1)})
+    data, offsets = language.utf8(language.pa.array([small]))
+    assert np.allclose(both.code_lengths(data, offsets)[:, 1], alone.code_lengths(data, offsets)[:, 0], rtol=1e-5)
+
+
 def test_quality(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     good = ["plain words go here and on and on", "some other plain text to read"] * 30
