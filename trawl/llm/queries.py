@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trawl.llm import bpe, contamination, idfiles, language, lines, pii, quality, shards, simhash, sketches
+from trawl.llm import (bpe, contamination, hmm, idfiles, language, lines, negatives, pii, quality, shards, simhash, sketches,
+                       whitening)
 from trawl.llm.common import read, scratch_folder
 
 QUERIES: dict = {}
@@ -129,3 +130,39 @@ def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_scores(docs, classifier, drop=("text",)).select(
         "doc_id", (_remainder(5) == 0).alias("held_out"), "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op11_hmm_scores")
+def op11_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = hmm.score_texts(read(spark, sf_dir, "documents"), learn=_remainder(7) != 2)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op12_jacobi_davidson_whitening")
+def op12_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_anchor_lists", """
+    WITH vectors AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    ), scored AS (
+      SELECT a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS same, list_inner_product(a.x, v.x)::BIGINT AS score
+      FROM vectors a JOIN vectors v ON a.vec_id <> v.vec_id WHERE a.vec_id % 50 = 0
+    ), positives AS (
+      SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, s.id AS negative_id, p.positive_score, s.score AS negative_score
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+      AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+    WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id)
+    QUALIFY row_number() OVER w <= 3
+""")
+def op13_anchor_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
