@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from trawl.operators import lookups as L
 from trawl.operators import matching as M
 from trawl.operators import postings as P
 from trawl.operators import ranking as R
@@ -190,7 +191,7 @@ def test_near_terms_is_exact(spark):
     asked = words[::9] + ["abcabcabcab", "x", "xy"]
     vocab = spark.createDataFrame([("f", w, 1) for w in words], "field string, term string, df long")
     wanted = spark.createDataFrame([("f", w) for w in asked], "field string, term string")
-    got = {(r.word, r.term, r.distance) for r in M.near_terms(wanted, vocab).collect()}
+    got = {(r.word, r.term, r.distance) for r in L.near(wanted, L.pieces(vocab)).collect()}
     expected = {(a, w, distance(a, w)) for a in asked for w in words if distance(a, w) <= 2}
     assert got == expected
 
@@ -201,7 +202,7 @@ def test_wildcards_are_exact(spark):
     asked = ["a*", "*a", "*ab*", "a?b*", "?", "*", "ab", "*%*", "_*", "??a*b", "*b?"]
     vocab = spark.createDataFrame([("f", w, 1) for w in words], "field string, term string, df long")
     wanted = spark.createDataFrame([("f", w) for w in asked], "field string, term string")
-    got = {(r.word, r.term) for r in M.wildcard_terms(wanted, vocab).collect()}
+    got = {(r.word, r.term) for r in L.matching(wanted, L.rotations(vocab)).collect()}
     assert got == {(a, w) for a in asked for w in words if fnmatch.fnmatchcase(w, a)}
 
 
@@ -268,7 +269,7 @@ def test_elevation(spark):
 def test_spelling(spark):
     index = corpus(spark)
     wanted = M.wanted_terms(M.query_rows(spark, [Q().add_search_term("quikc brown foxx")]))
-    fixed = results.suggestions(wanted, index.vocab)
+    fixed = results.suggestions(wanted, index)
     assert {r.word: r.suggestion for r in fixed.collect()} == {"quikc": "quick", "foxx": "fox"}
     collation = results.collate(wanted, fixed).first().collation
     assert collation == "+quick +brown +fox"

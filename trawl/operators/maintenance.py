@@ -20,6 +20,13 @@ def _class_map(tree: ClassTree, value) -> Column:
     return F.create_map(*pairs)
 
 
+def based(feed: DataFrame, tree: ClassTree) -> DataFrame:
+    """Writes with the base class of their object and how deep their own class is below it."""
+    depth = F.try_element_at(_class_map(tree, lambda n: len(tree.ancestry(n))), F.col("class"))
+    base = F.try_element_at(_class_map(tree, tree.base), F.col("class"))
+    return feed.withColumns({"base": base, "depth": depth})
+
+
 def coalesce_writes(feed: DataFrame, tree: ClassTree, state: Sequence[str] = ()) -> DataFrame:
     """One row per object and state: most specific class, last value of each
     ``class:field``, first command.
@@ -27,12 +34,10 @@ def coalesce_writes(feed: DataFrame, tree: ClassTree, state: Sequence[str] = ())
     Grouped by field first, so an object written very often is reduced on the map
     side and the second group holds one row per distinct field only.
     """
-    depth = F.try_element_at(_class_map(tree, lambda n: len(tree.ancestry(n))), F.col("class"))
-    base = F.try_element_at(_class_map(tree, tree.base), F.col("class"))
     key = ["id", "base", *state]
     named = F.transform_keys("fields", lambda k, _: F.concat("class", F.lit(":"), k))
-    rows = feed.select(
-        "seq", "id", base.alias("base"), *state, "class", depth.alias("depth"), "command",
+    rows = based(feed, tree).select(
+        "seq", *key, "class", "depth", "command",
         F.explode_outer(named).alias("field", "value"),
     )
     per_field = rows.groupBy(*key, "field").agg(

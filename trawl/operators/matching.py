@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from trawl.functions.analysis import ALT, GAP
 from trawl.functions.folding import ascii_fold
 from trawl.functions.profiles import PROFILES, query_slots
-from trawl.operators.sizing import checked_broadcast
+from trawl.operators import lookups as L
 from trawl.operators.spec import DEFAULT_FIELD
 from trawl.operators.store import TextIndex, Wanted
 
@@ -27,7 +27,6 @@ QUERY_SCHEMA = (
     "query_id string, call int, text string, fuzzy boolean,"
     " fields array<string>, boosts map<string,double>"
 )
-MAX_EDITS = 2
 
 
 @dataclass
@@ -169,99 +168,6 @@ def wanted_terms(queries: DataFrame, default_fields: dict[str, float] | None = N
 
 # Vocabulary expansion -------------------------------------------------------
 
-def _segments(term: Column) -> Column:
-    """A word cut into ``MAX_EDITS + 1`` pieces as (number, start, text)."""
-    n = F.length(term)
-    k = MAX_EDITS + 1
-    size = F.floor(n / k)
-    cuts = []
-    for i in range(k):
-        # the last pieces take the remainder of the division
-        short = F.lit(k) - n % k
-        start = F.when(F.lit(i) <= short, size * i).otherwise(size * i + (F.lit(i) - short))
-        length = size + F.when(F.lit(i) >= short, 1).otherwise(0)
-        cuts.append(F.struct(
-            F.lit(i).alias("piece"), start.cast("int").alias("start"),
-            length.cast("int").alias("length"),
-        ))
-    return F.array(*cuts)
-
-
-def near_terms(wanted: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Pairs of a wanted word and a vocabulary term within ``MAX_EDITS`` edits.
-
-    Two words within k edits share one of the k+1 pieces of either, shifted by at
-    most k characters (the pass-join property), so candidates come from an
-    equi-join on (length, piece number, piece text); the distance is then checked.
-    Returns ``field, word, term, df, distance``.
-    """
-    cut = vocab.select("field", "term", "df", F.explode(_segments(F.col("term"))).alias("s")).select(
-        "field", "term", "df", F.length("term").alias("len"), F.col("s.piece").alias("piece"),
-        F.expr("substring(term, s.start + 1, s.length)").alias("text"),
-    )
-    words = wanted.select("field", F.col("term").alias("word")).distinct()
-    probes = (
-        words.select("*", F.explode(F.sequence(
-            F.greatest(F.length("word") - MAX_EDITS, F.lit(1)), F.length("word") + MAX_EDITS
-        )).alias("len"))
-        .select("*", F.explode(_segments(F.rpad(F.lit(""), F.col("len"), F.lit("x")))).alias("s"))
-        .select("*", F.explode(F.sequence(
-            F.greatest(F.col("s.start") - MAX_EDITS, F.lit(0)), F.col("s.start") + MAX_EDITS
-        )).alias("at"))
-        .where("at + s.length <= length(word)")
-        .select("field", "word", "len", F.col("s.piece").alias("piece"),
-                F.expr("substring(word, at + 1, s.length)").alias("text"))
-        .distinct()
-    )
-    distance = F.levenshtein("word", "term", MAX_EDITS)
-    return (
-        cut.join(checked_broadcast(probes), ["field", "len", "piece", "text"])
-        .select("field", "word", "term", "df").distinct()
-        .withColumn("distance", distance)
-        .where(F.col("distance") >= 0)
-    )
-
-
-def _like(pattern: Column) -> Column:
-    escaped = F.regexp_replace(pattern, r"([\\%_])", r"\\$1")
-    return F.translate(escaped, "*?", "%_")
-
-
-def wildcard_terms(wanted: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Vocabulary terms each wildcard word stands for: ``field, word, term, df``.
-
-    A pattern is looked up by up to three literal leading characters, else by as
-    many trailing ones (the reversed-term lookup), else by its first literal
-    character anywhere; LIKE then decides. Only ``*`` alone meets every term.
-    """
-    reach = 3
-    words = wanted.select("field", F.col("term").alias("word")).distinct()
-    head = F.left(F.regexp_extract("word", r"^[^*?]*", 0), F.lit(reach))
-    tail = F.right(F.regexp_extract("word", r"[^*?]*$", 0), F.lit(reach))
-    inner = F.left(F.regexp_replace("word", r"[*?]", ""), F.lit(1))
-    keyed = words.withColumn(
-        "key",
-        F.when(head != "", F.concat(F.lit("^"), head))
-        .when(tail != "", F.concat(F.lit("$"), tail))
-        .otherwise(F.concat(F.lit("~"), inner)),
-    )
-    sizes = range(1, reach + 1)
-    term = F.col("term")
-    keys = F.concat(
-        F.array(*[F.concat(F.lit("^"), F.left(term, F.lit(i))) for i in sizes]),
-        F.array(*[F.concat(F.lit("$"), F.right(term, F.lit(i))) for i in sizes]),
-        F.transform(F.split(term, ""), lambda c: F.concat(F.lit("~"), c)),
-        F.array(F.lit("~")),
-    )
-    indexed = vocab.select("field", "term", "df", F.explode(F.array_distinct(keys)).alias("key"))
-    return (
-        indexed.join(checked_broadcast(keyed), ["field", "key"])
-        .withColumn("pattern", _like(F.col("word")))
-        .where(F.expr("term LIKE pattern"))
-        .select("field", "word", "term", "df")
-    )
-
-
 TERM = ["query_id", "part", "field", "weight", "n_idx", "idx", "term"]
 
 
@@ -269,10 +175,10 @@ def expanded(wanted: DataFrame, index: TextIndex, kind: str) -> DataFrame:
     """Wanted terms with fuzzy and wildcard words replaced by vocabulary terms."""
     if kind == "term":
         return wanted.where(F.col("kind") == "term").select(*TERM)
-    lookup = {"fuzzy": near_terms, "wildcard": wildcard_terms}[kind]
     some = wanted.where(F.col("kind") == kind).withColumnRenamed("term", "word")
-    found = lookup(some.withColumnRenamed("word", "term"), index.vocab).select("field", "word", "term")
-    return some.join(found, ["field", "word"]).select(*TERM)
+    words = some.select("field", F.col("word").alias("term"))
+    found = L.near(words, index.pieces) if kind == "fuzzy" else L.matching(words, index.rotations)
+    return some.join(found.select("field", "word", "term"), ["field", "word"]).select(*TERM)
 
 
 def all_expanded(wanted: DataFrame, index: TextIndex, kinds: Sequence[str]) -> DataFrame:
@@ -345,7 +251,7 @@ def part_hits(index: TextIndex, wanted: Wanted, phrases: bool = True) -> DataFra
 
 def match(index: TextIndex, wanted: DataFrame, kinds: Sequence[str] = ("term", "fuzzy", "wildcard"),
           phrases: bool = True, best_field: bool = False,
-          expand_with: TextIndex | None = None, terms: DataFrame | None = None) -> DataFrame:
+          expand_with: TextIndex | None = None, terms: Wanted | None = None) -> DataFrame:
     """``query_id, doc_id, score``: documents in which every part of a query matches.
 
     ``kinds`` names the kinds of words the batch holds; a caller that knows some are
@@ -356,8 +262,8 @@ def match(index: TextIndex, wanted: DataFrame, kinds: Sequence[str] = ("term", "
     """
     needed = wanted.groupBy("query_id").agg(F.count_distinct("part").alias("n_parts"))
     if terms is None:
-        terms = all_expanded(wanted, expand_with or index, kinds)
-    hits = part_hits(index, Wanted.of(terms, derived=set(kinds) != {"term"}), phrases)
+        terms = Wanted.of(all_expanded(wanted, expand_with or index, kinds), derived=set(kinds) != {"term"})
+    hits = part_hits(index, terms, phrases)
     over_fields = F.max("score") if best_field else F.sum("score")
     # one shuffle for the three groupings; a document has a row a part, field and term by now
     per_document = (

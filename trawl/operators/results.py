@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trawl.functions.analysis import PARTS_CASE
 from trawl.functions.folding import ascii_fold
-from trawl.operators.matching import near_terms
+from trawl.operators import lookups as L
+from trawl.operators.sizing import materialised
+from trawl.operators.store import TextIndex, Wanted
 
 TOKEN = r"[\p{L}\p{M}\p{N}]+"
 TOKENS = rf"{TOKEN}|[^\p{{L}}\p{{M}}\p{{N}}]+"
@@ -99,20 +101,24 @@ def excerpt(snippets: Iterable[Column]) -> Column:
 
 # Spelling -----------------------------------------------------------------
 
-def suggestions(wanted: DataFrame, vocab: DataFrame) -> DataFrame:
+def suggestions(wanted: DataFrame, index: TextIndex) -> DataFrame:
     """Best correction of each query word the vocabulary lacks.
 
     Ordered by distance, then document frequency, then the term itself. Returns
-    ``field, word, suggestion, distance, df``.
+    ``field, word, suggestion, distance, df``. Of a published index only the rows of the
+    words and of their candidates are read, of any other the vocabulary is made once.
     """
-    words = wanted.select("field", "term").distinct()
-    unknown = words.join(vocab, ["field", "term"], "left_anti")
-    near = near_terms(unknown, vocab)
+    vocab = index.vocab if index.tables else materialised(index.vocab)
+    pieces = index.pieces if index.tables else L.pieces(vocab)
+    words = Wanted.of(wanted.select("field", "term").distinct())
+    unknown = words.frame.join(words.cut(vocab), ["field", "term"], "left_anti")
+    near = Wanted.of(L.near(unknown, pieces), derived=True)
+    counted = near.frame.join(near.cut(vocab).select("field", "term", "df"), ["field", "term"])
     best = F.min_by(
         F.struct("term", "distance", "df"), F.struct("distance", -F.col("df"), "term")
     )
     return (
-        near.groupBy("field", "word").agg(best.alias("b"))
+        counted.groupBy("field", "word").agg(best.alias("b"))
         .select("field", "word", F.col("b.term").alias("suggestion"), "b.distance", "b.df")
     )
 

@@ -13,7 +13,8 @@ from trawl.operators import matching as M
 from trawl.operators import ranking as R
 from trawl.operators import results as D
 from trawl.operators.spec import DEFAULT_FIELD
-from trawl.operators.store import TextIndex
+from trawl.operators.store import TextIndex, Wanted
+from trawl.operators.valuefilters import by_values, on_values
 from trawl.operators.variants import with_states
 
 
@@ -33,33 +34,45 @@ class SearchResult:
 
 
 def predicate(query: M.SearchQuery, current: dict[str, str] | None = None,
-              multi: Iterable[str] = ()) -> Column | None:
-    """All filters of one query as a Column; None when it has none."""
-    required = with_states(query.required, current or {})
+              multi: Iterable[str] = (), columns: Iterable[str] | None = None) -> Column | None:
+    """A query's filters on the documents' own columns, all of them if ``columns`` isn't given, as one Column; None
+    when it has none."""
+    required, excluded = with_states(query.required, current or {}), query.excluded
+    if columns is not None:
+        required, excluded = ({n: v for n, v in f.items() if n in columns} for f in (required, excluded))
     clauses = []
     if query.classes:
         clauses.append(C.classes(query.classes))
     if required:
         clauses.append(C.require(required, multi))
-    if query.excluded:
-        clauses.append(C.exclude(query.excluded, multi))
+    if excluded:
+        clauses.append(C.exclude(excluded, multi))
     clauses += [c.column() for c in query.criteria]
     return reduce(lambda a, b: a & b, clauses) if clauses else None
 
 
-def filtered(matches: DataFrame, documents: DataFrame, queries: Sequence[M.SearchQuery],
+def filtered(matches: DataFrame, index: TextIndex, queries: Sequence[M.SearchQuery],
              current: dict[str, str] | None = None, multi: Iterable[str] = ()) -> DataFrame:
-    """Apply every query's filters. One query's filter reaches the document scan;
-    those of a batch are chosen by ``query_id`` after a single join."""
-    predicates = {q.query_id: predicate(q, current, multi) for q in queries}
-    active = {k: p for k, p in predicates.items() if p is not None}
+    """Apply every query's filters. Those on fields of the values table are joins with it. Of those on documents, a
+    predicate that all queries share reaches the document scan; in a batch equal predicates are one, chosen by
+    its number after a single join."""
+    documents = index.documents
+    matches = by_values(matches, index.values, on_values(queries, documents.columns, current or {}))
+    columns = None if index.values is None else documents.columns
+    groups: dict[str, list[M.SearchQuery]] = {}
+    for q in queries:
+        groups.setdefault(repr((q.classes, q.required, q.excluded, q.criteria)), []).append(q)
+    numbered = [(predicate(own[0], current, multi, columns), own) for own in groups.values()]
+    active = [(p, own) for p, own in numbered if p is not None]
     if not active:
         return matches
-    if len(predicates) == 1:
-        return M.only(matches, documents, next(iter(active.values())))
-    free = ~F.col("query_id").isin(list(active))
-    chosen = _any([free, *((F.col("query_id") == k) & p for k, p in active.items())])
-    return matches.join(documents, "doc_id").where(chosen).select(*matches.columns)
+    if len(numbered) == 1:
+        return M.only(matches, documents, active[0][0])
+    rows = [(q.query_id, i) for i, (_, own) in enumerate(active) for q in own]
+    of_query = matches.sparkSession.createDataFrame(rows, "query_id string, __filter int")
+    chosen = _any([F.col("__filter").isNull(), *((F.col("__filter") == i) & p for i, (p, _) in enumerate(active))])
+    return (matches.join(F.broadcast(of_query), "query_id", "left").join(documents, "doc_id")
+            .where(chosen).select(*matches.columns))
 
 
 def _any(clauses: list[Column]) -> Column:
@@ -119,13 +132,14 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
         used = index.only_fields({f for _, _, fields in calls for f in fields})
         vocab = index.only_fields({f for _, expand, fields in calls if expand for f in fields})
         phrases = M.may_have_phrases(text for text, _, _ in calls)
-        terms = M.all_expanded(wanted, vocab, kinds)
-        matches = M.match(used, wanted, kinds, phrases, best_field=bool(query_fields), terms=terms)
+        found = Wanted.of(M.all_expanded(wanted, vocab, kinds), derived=kinds != ["term"])
+        terms = found.frame
+        matches = M.match(used, wanted, kinds, phrases, best_field=bool(query_fields), terms=found)
     blank = [q.query_id for q in queries if not q.terms]
     if blank:
         every = M.match_all(index.documents, blank)
         matches = every if matches is None else matches.unionByName(every)
-    matches = filtered(matches, index.documents, queries, current, multi)
+    matches = filtered(matches, index, queries, current, multi)
     if boosts:
         matches = M.boosted(matches, index.documents, boosts)
     listed, keys = matches, [*order, F.col("doc_id").asc()] if order else R.by_score()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from trawl.operators import documents as D
 from trawl.operators import gates as G
@@ -11,13 +11,14 @@ from trawl.operators import reindex as X
 from trawl.operators import store
 from trawl.operators.sizing import scratch_folder
 from trawl.operators.spec import IndexSpec, restrict_classes
-from trawl.operators.variants import LIVE, STAGE, Variant, combinations, state_excluded
+from trawl.operators.variants import LIVE, STAGE, SUBSITE, Variant, combinations, state_excluded
 from trawl.plans.fields import CONTENT, STATED
 from trawl.plans.registry import query
 from trawl.plans.sample import (
     anyone_can_view, content_spec, read, show_in_search, site_variant, stage_variant, tree,
 )
-from trawl.sources.changes import SCHEMA, stream_changes
+from trawl.sources.changes import SCHEMA, stream_changes, with_states
+from trawl.streaming import log as L
 from trawl.streaming import maintain as T
 
 # Events as writes: signups and purchases insert customers, clicks update their
@@ -293,6 +294,89 @@ def stream_update(spark: SparkSession, sf: str) -> DataFrame:
     return T.current_view(spark, f"{folder}/log").select("_documentid", "ID", "Customer_c_name")
 
 
+STATE_SCHEMA = SCHEMA + ", at timestamp"
+STREAMED = """written AS (
+  SELECT DISTINCT user_id * 14 AS id, CASE WHEN event_type IN ('purchase', 'error') THEN 'Live' ELSE 'Stage' END AS stage,
+    unnest(CASE WHEN event_type = 'view' THEN [CAST(user_id % 4 + 1 AS VARCHAR)]
+      WHEN event_type = 'click' AND user_id % 4 <> 0 THEN [CAST(user_id % 4 AS VARCHAR)] ELSE ['1', '2', '3', '4'] END) AS site
+  FROM events),
+staled AS (SELECT id || '-Content-{"_subsite":"' || site || '","_versionedstage":"' || stage || '"}' AS _documentid FROM written)"""
+
+
+def staged_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as writes of document tables: purchases and errors write the live one. Views name a page's site, clicks
+    a file's."""
+    kind = F.col("event_type")
+    table = F.when(kind.isin("purchase", "error"), F.lit(f"Document_{LIVE}")).otherwise(F.lit("Document"))
+    site = F.col("user_id") % 4
+    fields = (
+        F.when(kind == "view", F.create_map(F.lit("SubsiteID"), (site + 1).cast("string")))
+        .when(kind == "click", F.create_map(F.lit("FileSubsiteID"), site.cast("string")))
+        .otherwise(F.create_map(F.lit("text"), F.get_json_object("props", "$.k")))
+    )
+    return read(spark, sf, "events").select(
+        F.col("event_id").alias("seq"), table.alias("table"), F.lit("Document").alias("class"),
+        (F.col("user_id") * 14).alias("id"), F.lit("update").alias("command"), fields.alias("fields"), F.col("ts").alias("at"))
+
+
+@query("stream_states", f"""WITH {STATED}, {STREAMED}
+SELECT s._documentid, CASE WHEN k._documentid IS NOT NULL AND {VERDICT} THEN 'upsert' ELSE 'delete' END AS op, 1 AS n
+FROM staled s LEFT JOIN keyed k USING (_documentid)""")
+def stream_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Writes of staged tables and of sites, held over several micro-batches and a restart: one operation for each
+    object and state, when all has been quiet."""
+    folder = scratch_folder(spark, "states")
+    rows = staged_feed(spark, sf)
+    spec, variants = content_spec(spark, sf), [stage_variant(), site_variant()]
+
+    def documents(session: SparkSession) -> DataFrame:
+        return current_documents(session, sf)
+
+    def go_on() -> None:
+        stream = stream_changes(spark, f"{folder}/changes", STATE_SCHEMA, files_per_batch=1)
+        stated = with_states(stream, STAGE, ["Document"], SUBSITE, ["Document"], all_sites=["1", "2", "3", "4"])
+        T.maintain_quiet(stated, spec, variants, documents, f"{folder}/log", f"{folder}/checkpoint",
+                         quiet="1000 days", draft_excluded=False).awaitTermination()
+
+    part = F.ntile(4).over(Window.orderBy("n"))  # of some days each: few rows are numbered
+    days = rows.groupBy(F.to_date("at").alias("day")).agg(F.count("*").alias("n")).select("day", part.alias("part"))
+    parts = rows.withColumn("day", F.to_date("at")).join(F.broadcast(days), "day").drop("day")
+    for those in ("part <= 2", "part > 2"):
+        parts.where(those).repartition(2, "part").drop("part").write.mode("append").parquet(f"{folder}/changes")
+        go_on()
+    later = rows.agg((F.max("at") + F.expr("INTERVAL 1001 DAYS")).alias("at"))
+    names = [c for c in rows.columns if c != "at"]
+    later.select(*[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in names], "at").write.mode("append").parquet(f"{folder}/changes")
+    go_on()
+    return L.log_of(spark, f"{folder}/log").groupBy("_documentid").agg(
+        F.max("op").alias("op"), F.count("*").cast("int").alias("n"))
+
+
+@query("log_compacted", """SELECT kind, c_custkey || '-Party-[]' AS _documentid, c_custkey AS ID, c_name AS Customer_c_name
+FROM customer, (VALUES ('compacted'), ('whole')) AS k(kind)
+WHERE c_custkey <> 0 AND c_custkey IN (SELECT user_id FROM events WHERE event_type <> 'view')""")
+def log_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The view of a log that was compacted twice, once more but for its pointer, and went on; and of its whole rows."""
+    folder = scratch_folder(spark, "compacted")
+    spec, rows = customer_spec(spark, sf), feed(spark, sf)
+
+    def customers(session: SparkSession) -> DataFrame:
+        return D.build_documents(customer_spec(session, sf)).withColumn("indexable", F.col("ID") != 0)
+
+    for third in range(3):
+        rows.where(F.col("seq") % 3 == third).repartition(2).write.mode("append").parquet(f"{folder}/changes")
+        T.maintain(stream_changes(spark, f"{folder}/changes", SCHEMA, files_per_batch=1), spec, [],
+                   customers, f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
+        if third < 2:
+            L.compact(spark, f"{folder}/log")
+        else:
+            rows.limit(0).write.parquet(f"{folder}/log/{L.SNAPSHOTS}/upto=99-cut")
+    kept = ["_documentid", "ID", "Customer_c_name"]
+    whole = store.latest(L.log_of(spark, f"{folder}/log"), seq="__order")
+    return T.current_view(spark, f"{folder}/log").select(F.lit("compacted").alias("kind"), *kept).unionByName(
+        whole.select(F.lit("whole").alias("kind"), *kept))
+
+
 # Reindexing -----------------------------------------------------------------
 
 BATCH = 21

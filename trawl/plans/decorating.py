@@ -118,7 +118,7 @@ collated AS (
 
 def corrected(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     wanted = M.wanted_terms(M.query_rows(spark, [Q("q").add_search_term(MISSPELT)]))
-    return wanted, D.suggestions(wanted, document_index(spark, sf).vocab)
+    return wanted, D.suggestions(wanted, document_index(spark, sf))
 
 
 @query("spell_suggest", f"WITH {SPELL} SELECT '_text' AS field, word, suggestion, distance, df FROM fixed")

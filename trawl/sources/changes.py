@@ -7,6 +7,8 @@ variant the write belongs to.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trawl.operators.variants import DRAFT, LIVE
@@ -38,6 +40,26 @@ def table_stage(table: Column) -> Column:
     return F.when(table.rlike(f"^.*_{LIVE}$"), F.lit(LIVE)).otherwise(F.lit(DRAFT))
 
 
+def with_states(feed: DataFrame, stage: str | None = None, staged: Sequence[str] = (), site: str | None = None,
+                sited: Sequence[str] = (), page_key: str = "SubsiteID", file_key: str = "FileSubsiteID",
+                all_sites: Sequence[str] = ()) -> DataFrame:
+    """Writes in the states they are for: a row for each.
+
+    The stage, in column ``stage``, follows from the table of ``staged`` classes and their live suffix; the
+    sites, in column ``site``, from the fields of ``sited`` ones, every site where these say nothing. Writes of
+    other classes have no such state.
+    """
+    cls = table_class(F.col("table"))
+    none = F.lit(None).cast("string")
+    rows = feed
+    if stage is not None:
+        rows = rows.withColumn(stage, F.when(cls.isin(*staged), table_stage(F.col("table"))).otherwise(none))
+    if site is not None:
+        sites = write_sites(F.col("fields"), page_key, file_key, list(all_sites))
+        rows = rows.withColumn(site, F.explode(F.when(cls.isin(*sited), sites).otherwise(F.array(none))))
+    return rows
+
+
 def write_sites(fields: Column, page_key: str, file_key: str, all_sites: list[str]) -> Column:
     """Sites a write is for: a page's own site; a file's site unless it is the main
     one, whose files are everywhere; every site when the write does not say."""
