@@ -87,14 +87,16 @@ def main() -> None:
     root = tempfile.mkdtemp(prefix="bench-")
     index = timed("build_and_publish", lambda: store.publish(document_index(spark, SF), root, 1))
 
-    labelled = read(spark, SF, "documents").join(read(spark, SF, "labels"), "doc_id")
-    rewritten = labelled.where("quality = 0").select("doc_id", F.concat(F.lit("thon "), "text").alias("text"))
-    timed("publish_changes", lambda: store.publish_changes(
-        index, rewritten.drop("text"), [P.TextSource("_text", rewritten)], labelled.where("toxic = 1"), root, 2))
+    # one document in a hundred is rewritten, half as many go
+    docs = read(spark, SF, "documents").select("doc_id", "text")
+    rewritten = docs.where("doc_id % 100 = 7").select("doc_id", F.concat(F.lit("thon "), "text").alias("text"))
+    timed("publish_changes_1_percent", lambda: store.publish_changes(
+        index, rewritten.drop("text"), [P.TextSource("_text", rewritten)], docs.where("doc_id % 200 = 8"), root, 2))
 
     def batch(n: int):
         wanted = M.wanted_terms(word_pairs(spark, n))
-        return lambda: drain(R.page(M.match(index, wanted, ("term",))))
+        # plain words: none of the kinds that are looked up
+        return lambda: drain(R.page(M.match(index, wanted.where("kind = 'term'"), ("term",))))
 
     timed("batch_1000_queries", batch(1000), 2)
     one = [Q("q").add_search_term("anea thon").add_filter("lang", "en")]

@@ -11,8 +11,9 @@ from trawl.operators import reindex as X
 from trawl.operators import store
 from trawl.operators.spec import IndexSpec
 from trawl.operators.variants import STAGE, Variant
-from trawl.sources.changes import SCHEMA, stream_changes
+from trawl.sources.changes import SCHEMA, stream_changes, with_states
 from trawl.sources.classes import ClassDef, ClassTree
+from trawl.streaming import log as L
 from trawl.streaming import maintain as T
 from test_documents import classes
 
@@ -130,6 +131,97 @@ def test_stream_equals_batch_and_rebuild(spark, tmp_path):
     assert as_rows(streamed) == as_rows(batch) == as_rows(D.build_documents(spec))
 
 
+def test_writes_are_held_until_quiet(spark, tmp_path):
+    """One write an object and state over several micro-batches and a restart, as the batch gives."""
+    spec = IndexSpec(classes(spark)).add_class("Box").add_fulltext_field("Field1")
+    stage = Variant("_versionedstage", ("Stage", "Live"), ("Box",))
+    none = {k: "" for k in ()}
+    rows = [
+        (1, "Box", "Box", 1, "insert", {"Field1": "a"}, "2024-01-01 00:00:00"),
+        (4, "Box", "Box", 1, "update", {"Field2": "late number"}, "2024-01-01 00:01:00"),
+        (3, "Box_Live", "Box", 1, "update", {"Field1": "c"}, "2024-01-01 00:01:00"),
+        (2, "Box", "Box", 1, "delete", none, "2024-01-01 00:02:00"),
+        (5, "Box", "Box", 2, "insert", {"Field1": "b"}, "2024-01-01 00:05:00"),
+        (6, "Box", "Box", 2, "update", {"Field1": "d"}, "2024-01-01 00:12:00"),
+    ]
+    schema = SCHEMA + ", at string"
+    made = [(s, t, c, i, cmd, f, at) for s, t, c, i, cmd, f, at in rows]
+    tick = [(None, None, None, None, None, None, "2024-01-02 00:00:00")]
+    merged = []
+
+    def documents(session):
+        return D.build_documents(spec, [stage]).withColumn("indexable", F.lit(True))
+
+    log = T.writes_log
+
+    def kept(writes, *args):
+        merged.extend(writes.collect())
+        return log(writes, *args)
+
+    def go_on(rows):
+        for row in rows:
+            spark.createDataFrame([row], schema).withColumn("at", F.col("at").cast("timestamp")).coalesce(1) \
+                .write.mode("append").parquet(str(tmp_path / "changes"))
+        stream = stream_changes(spark, str(tmp_path / "changes"), SCHEMA + ", at timestamp", files_per_batch=1)
+        T.maintain_quiet(with_states(stream, "_versionedstage", ["Box"]), spec, [stage], documents, str(tmp_path / "log"),
+                         str(tmp_path / "checkpoint"), quiet="10 minutes", draft_excluded=False).awaitTermination()
+
+    T.writes_log = kept
+    try:
+        go_on(made[:3])
+        assert merged == []
+        go_on(made[3:])
+        go_on(tick)
+    finally:
+        T.writes_log = log
+    got = sorted((r["id"], r["_versionedstage"], r["class"], r["command"], r["seq"], r["deleted"], tuple(sorted(r["fields"].items()))) for r in merged)
+    batch = spark.createDataFrame(made, schema)
+    whole = M.coalesce_writes(with_states(batch, "_versionedstage", ["Box"]), spec.tree, ["_versionedstage"]).collect()
+    expected = [(r["id"], r["_versionedstage"], r["class"], r["command"], r["seq"], r["deleted"], tuple(sorted(r["fields"].items()))) for r in whole]
+    assert got == sorted(expected) and len(got) == 3
+
+
+def test_states_of_writes(spark):
+    rows = [(1, "Box_Live", "Box", 1, "update", {"SubsiteID": "2"}), (2, "Box", "Box", 1, "update", {"FileSubsiteID": "0"}),
+            (3, "Box", "Box", 1, "update", {"FileSubsiteID": "1"}), (4, "Other_Live", "Other", 1, "update", {})]
+    out = with_states(spark.createDataFrame(rows, SCHEMA), "stage", ["Box"], "site", ["Box"], all_sites=["0", "1"])
+    assert sorted((r["seq"], r["stage"], r["site"]) for r in out.collect()) == [
+        (1, "Live", "2"), (2, "Stage", "0"), (2, "Stage", "1"), (3, "Stage", "1"), (4, None, None)]
+    assert with_states(spark.createDataFrame(rows, SCHEMA)).columns == spark.createDataFrame(rows, SCHEMA).columns
+
+
+def test_log_compaction(spark, tmp_path):
+    path = str(tmp_path / "log")
+
+    def batch(n, *rows):
+        spark.createDataFrame(rows, "_documentid string, op string, seq long, x int").write.mode("overwrite").parquet(f"{path}/batch={n}")
+
+    def both():
+        whole = store.latest(L.log_of(spark, path), seq="__order").drop("__order", "batch")
+        pick = lambda f: sorted(tuple(r[c] for c in ("_documentid", "op", "seq", "x")) for r in f.collect())
+        assert pick(L.current_view(spark, path)) == pick(whole)
+        return {r[0]: r[3] for r in pick(whole)}
+
+    batch(0, ("a", "upsert", 5, 1), ("b", "upsert", 6, 1))
+    assert L.compact(spark, path) is None and both() == {"a": 1, "b": 1}
+    # a later batch counts though its numbers are lower
+    batch(1, ("a", "delete", 2, None), ("c", "upsert", 3, 2))
+    assert L.compact(spark, path) == 0 and both() == {"b": 1, "c": 2}
+    batch(2, ("a", "upsert", 1, 9), ("b", "delete", 1, None))
+    assert both() == {"a": 9, "c": 2}
+    # cut off before its pointer
+    batch(3, ("d", "upsert", 1, 4))
+    L._write_snapshot(spark.range(3), f"{path}/{L.SNAPSHOTS}/upto=2-cut")
+    assert both() == {"a": 9, "c": 2, "d": 4}
+    assert L.compact(spark, path) == 2 and L.compact(spark, path) is None and both() == {"a": 9, "c": 2, "d": 4}
+    # the newest batch may be written again
+    batch(3, ("d", "delete", 2, None), ("a", "upsert", 2, 10))
+    assert both() == {"a": 10, "c": 2}
+    later = L.current_view(spark, path)
+    plan = later._jdf.queryExecution().executedPlan().toString()
+    assert any("batch" in p.split("]")[0] for p in plan.split("PartitionFilters")[1:])
+
+
 # Reindexing -----------------------------------------------------------------
 
 VARIANT = Variant("_testvariant", ("0", "1", "2"), ("Item",), lambda s: s == F.col("Variant").cast("string"))

@@ -13,7 +13,7 @@ from trawl.operators import postings as P
 from trawl.operators import ranking as R
 from trawl.operators import results
 from trawl.operators import sizing, store
-from trawl.operators.criteria import MISSING, Range
+from trawl.operators.criteria import MISSING, PRESENT, Range
 from trawl.operators.search import search
 
 TEXTS = [
@@ -131,6 +131,117 @@ def test_changes_reach_a_published_index(spark, tmp_path):
         store.publish_changes(whole, *texts([]), ids(1), str(tmp_path), 6)
 
 
+def scans(frame):
+    """The filters of the plan's scans, those on partitions and those pushed down."""
+    frame.collect()
+    lines = [x for x in frame._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    return tuple(" ".join(x.split(name)[1].split("]")[0] for x in lines) for name in ("PartitionFilters", "PushedFilters"))
+
+
+def test_lookups_of_a_published_index_are_pruned(spark, tmp_path):
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choice("bcdfghk") for _ in range(rng.randint(2, 9))) for _ in range(600)})
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    index = store.publish(store.build(docs.drop("text"), [P.TextSource("_text", docs)]), str(tmp_path), 1)
+    gone = spark.createDataFrame([(i,) for i in range(0, 600, 7)], "doc_id long")
+    index = store.publish_changes(index, docs.limit(0).drop("text"), [P.TextSource("_text", docs.limit(0))], gone, str(tmp_path), 2)
+    left = [w for i, w in enumerate(words) if i % 7]
+    held = {r.term for r in index.vocab.collect()}
+    assert held == set(left)
+    for pattern in ("bc*", "*bc", "*bcd*", "b?d*", "*b*h", "?", "b*", "*g?"):
+        asked = spark.createDataFrame([("_text", pattern)], "field string, term string")
+        found = L.matching(asked, index.rotations)
+        assert {r.term for r in found.collect()} & held == {w for w in left if fnmatch.fnmatchcase(w, pattern)}
+        partitions, pushed = scans(found)
+        assert "StringStartsWith(key" in pushed and ("bucket" in partitions or pattern in ("?", "*b*h", "*g?"))
+    asked = spark.createDataFrame([("_text", words[8]), ("_text", "bcdfkg")], "field string, term string")
+    found = L.near(asked, index.pieces)
+    assert {(r.word, r.term) for r in found.collect() if r.term in held} == {
+        (a, w) for a in (words[8], "bcdfkg") for w in left if distance(a, w) <= 2}
+    partitions, pushed = scans(found)
+    assert "In(key" in pushed and "bucket" in partitions
+    some = spark.createDataFrame([(5,), (6,)], "doc_id long")
+    found = store.forward_of(index, some)
+    assert {(r.doc_id, r.term) for r in found.collect()} == {(5, words[5]), (6, words[6])}
+    partitions, pushed = scans(found)
+    assert "In(doc_id" in pushed and "bucket" in partitions
+
+
+def test_many_keys_are_looked_up_by_joins(spark, monkeypatch):
+    vocab = spark.createDataFrame([("f", w, 1) for w in ("alpha", "alpine", "beta", "ab")], "field string, term string, df long")
+    wanted = spark.createDataFrame([("f", w) for w in ("alp*", "*a", "b*", "*")], "field string, term string")
+    few = sorted(L.matching(wanted, L.rotations(vocab)).collect())
+    monkeypatch.setattr(L, "LITERAL_BEGINNINGS", 1)
+    assert sorted(L.matching(wanted, L.rotations(vocab)).collect()) == few
+    monkeypatch.setattr(L, "LITERAL_KEYS", 1)
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 1)
+    assert sorted(L.matching(wanted, L.rotations(vocab)).collect()) == few and len(few) == 9
+    near = L.near(wanted.limit(0).unionByName(spark.createDataFrame([("f", "alpa")], wanted.schema)), L.pieces(vocab))
+    assert {r.term for r in near.collect()} == {"alpha"}
+
+
+def test_values_are_filtered_by_joins(spark, tmp_path):
+    """Every filter of many values against a plain scan, on a lazy, a published and a changed index."""
+    rng = random.Random(6)
+    rows = {i: [(f, rng.choice(["1", "2.0", "30", "x", "007"])) for f in "abb" for _ in range(rng.randint(0, 2))] for i in range(60)}
+
+    def parts(rows):
+        docs = spark.createDataFrame([(i, "word") for i in rows], "doc_id long, text string")
+        values = spark.createDataFrame([(i, f, v) for i, own in rows.items() for f, v in own], "doc_id long, field string, value string")
+        return docs.drop("text"), [P.TextSource("_text", docs)], values
+
+    lazy = store.build(*parts(rows))
+    disk = store.publish(lazy, str(tmp_path), 1)
+    new = {i: [("a", "x"), ("b", "2.0")] for i in range(5)} | {70: [("b", "1")], 71: []}
+    docs, sources, values = parts(new)
+    gone = spark.createDataFrame([(9,), (10,)], "doc_id long")
+    changed = store.publish_changes(disk, docs, sources, gone, str(tmp_path), 2, values)
+    now = {i: own for i, own in (rows | new).items() if i not in (9, 10)}
+
+    def number(v):
+        try:
+            return float(v)
+        except ValueError:
+            return None
+
+    tests = {
+        "x": lambda v: v == "x", 2: lambda v: number(v) == 2, Range(2, 40): lambda v: number(v) is not None and 2 <= number(v) <= 40,
+        Range("2", None): lambda v: v >= "2", PRESENT: lambda v: True,
+    }
+    cases = {
+        "one": ({"a": ["x"]}, {}), "two": ({"a": ["x", 2], "b": [Range(2, 40)]}, {}), "none": ({"a": [MISSING]}, {}),
+        "either": ({"b": [MISSING, "x"]}, {}), "not": ({}, {"a": ["x", Range("2", None)]}), "has": ({"a": [PRESENT]}, {"b": [2]}),
+        "must": ({}, {"a": [MISSING, 2]}), "free": ({}, {}), "all": ({"b": [MISSING, PRESENT]}, {}),
+    }
+
+    def holds(own, field, values):
+        held = [v for f, v in own if f == field]
+        return any((not held) if t is MISSING else any(tests[t](v) for v in held) for t in values)
+
+    queries = []
+    for name, (required, excluded) in cases.items():
+        q = Q(name).add_search_term("word") if name != "two" else Q(name)
+        for f, v in required.items():
+            q.add_filter(f, v)
+        for f, v in excluded.items():
+            q.add_exclude(f, v)
+        queries.append(q)
+    for index, held in ((lazy, rows), (disk, rows), (changed, now)):
+        got = {(r.query_id, r.doc_id) for r in search(index, queries).matches.collect()}
+        assert got == {(n, i) for n, (req, exc) in cases.items() for i, own in held.items()
+                       if all(holds(own, f, v) for f, v in req.items()) and not any(holds(own, f, v) for f, v in exc.items())}
+
+
+def test_equal_filters_of_a_batch_are_one(spark):
+    queries = [Q(f"q{i}").add_search_term("quick").add_filter("lang", "en") for i in range(40)]
+    queries += [Q(f"r{i}").add_search_term("quick").add_filter("size", Range(0, 15)) for i in range(40)] + [Q("free").add_search_term("quick")]
+    result = search(corpus(spark), queries).matches
+    rows = {(r.query_id, r.doc_id) for r in result.collect()}
+    assert rows == {(f"q{i}", d) for i in range(40) for d in (1, 3)} | {(f"r{i}", d) for i in range(40) for d in (0, 1)} | {
+        ("free", d) for d in (0, 1, 2, 3, 8)}
+    assert result._jdf.queryExecution().optimizedPlan().toString().count("__filter#") < 20
+
+
 def test_an_empty_index_is_published(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     disk = store.publish(store.build(docs.drop("text"), [P.TextSource("_text", docs)]), str(tmp_path), 1)

@@ -96,13 +96,13 @@ def near(wanted: DataFrame, table: DataFrame) -> DataFrame:
 # Rotations ------------------------------------------------------------------
 
 def rotations(vocab: DataFrame) -> DataFrame:
-    """``field, term, key``: all rotations of a term and its end. Any literal run of a pattern, the one
+    """``field, key``: all rotations of a term and its end. Any literal run of a pattern, the one
     over the end included, is the beginning of a rotation of every term that matches."""
-    ended = F.concat("term", F.lit(END))
-    turned = F.transform(
-        F.sequence(F.lit(1), F.length("term") + 1),
-        lambda i: F.concat(F.substring(ended, i, F.length("term") + 1), F.substring(ended, F.lit(1), i - 1)))
-    return vocab.select("field", "term", F.explode(turned).alias("key"))
+    turned = F.concat(F.expr("substring(term, i)"), F.lit(END), F.expr("left(term, i - 1)"))
+    return (
+        vocab.select("field", "term", F.explode(F.sequence(F.lit(1), F.length("term") + 1)).alias("i"))
+        .select("field", turned.alias("key"))
+    )
 
 
 def head(key: Column) -> Column:
@@ -140,7 +140,8 @@ def matching(wanted: DataFrame, table: DataFrame) -> DataFrame:
 
     table, asked = _cut(table, asked, begins, HEAD)
     both = F.array_distinct(F.array(head(F.col("key")), F.left("key", F.lit(1))))
-    rows = table.select("field", "term", F.explode(both).alias("head"))
+    term = F.concat(F.substring_index("key", END, -1), F.substring_index("key", END, 1))
+    rows = table.select("field", term.alias("term"), F.explode(both).alias("head"))
     return (
         rows.join(asked.withColumn("head", head(F.col("key"))), ["field", "head"])
         .withColumn("pattern", like(F.col("word"))).where(F.expr("term LIKE pattern"))

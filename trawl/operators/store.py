@@ -57,7 +57,7 @@ LAYOUTS = {
     "vocab": Layout(lambda: bucket(F.col("term")), ("field", "bucket"), ("term",), "term string, df long, len int"),
     "forward": Layout(_document_bucket, ("bucket",), ("doc_id", "field", "term"), "doc_id {key}, field string, term string"),
     "pieces": Layout(lambda: L.hashed(F.col("key")), ("field", "bucket"), ("key",), "term string, key string"),
-    "rotations": Layout(lambda: L.hashed(L.head(F.col("key"))), ("field", "bucket"), ("key",), "term string, key string"),
+    "rotations": Layout(lambda: L.hashed(L.head(F.col("key"))), ("field", "bucket"), ("key",), "key string"),
     "values": Layout(lambda: bucket(F.col("value")), ("field", "bucket"), ("value", "doc_id"),
                      "value string, number double, doc_id {key}"),
 }
@@ -257,12 +257,13 @@ def _write_generation(index: TextIndex, root: str, spread: Iterable[str], change
     if not index.sources or index.spread:  # else a posting is a document and term already
         own = own.distinct()
 
-    def terms():
-        _write(change(P.vocabulary(written, spread)), root, "vocab")
-        new = _read(spark, root, "vocab", key).where("df > 0")
-        _at_once(lambda: _write(L.pieces(new), root, "pieces"), lambda: _write(L.rotations(new), root, "rotations"))
-
-    _at_once(lambda: _write(own, root, "forward"), terms)
+    vocab = P.vocabulary(written, spread).persist()
+    terms = vocab.select("field", "term")
+    try:
+        _at_once(lambda: _write(own, root, "forward"), lambda: _write(change(vocab), root, "vocab"),
+                 lambda: _write(L.pieces(terms), root, "pieces"), lambda: _write(L.rotations(terms), root, "rotations"))
+    finally:
+        vocab.unpersist()
 
 
 def publish(index: TextIndex, path: str, generation: int) -> TextIndex:

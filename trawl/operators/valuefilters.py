@@ -118,13 +118,13 @@ def _passing(values: DataFrame, numbers: Mapping[tuple, int]) -> DataFrame:
 
 
 def _cut(values: DataFrame, equal: list[tuple[int, str, str]]) -> DataFrame:
-    from trawl.operators.store import BUCKETS
+    from trawl.operators import store
     fields, texts = {f for _, f, _ in equal}, {v for _, _, v in equal}
     if len(texts) > LITERALS:
         return values.where(F.col("field").isin(*fields))
     kept = F.col("field").isin(*fields) & F.col("value").isin(*texts)
     if "bucket" in values.columns:
-        kept = kept & F.col("bucket").isin(*{zlib.crc32(v.encode()) % BUCKETS for v in texts})
+        kept = kept & F.col("bucket").isin(*{zlib.crc32(v.encode()) % store.BUCKETS for v in texts})
     return values.where(kept)
 
 

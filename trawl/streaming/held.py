@@ -41,7 +41,8 @@ class Merge(StatefulProcessor):
             latest = max(latest, row["__ms"])
             own = (row["class"], row["depth"], row["command"], row["seq"], row["seq"], row["command"] == "delete")
             known = own if known is None else _merged(known, own)
-            for field, value in row["fields"] or ():
+            for entry in row["fields"] or ():
+                field, value = entry["field"], entry["value"]
                 if field not in changed or changed[field][1] <= row["seq"]:
                     changed[field] = (value, row["seq"])
         for field, (value, seq) in changed.items():
@@ -57,11 +58,10 @@ class Merge(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         cls, _, command, _, seq, deleted = self.known.get()
-        entry = Row("field", "value")
-        fields = [entry(k[0], v[0]) for k, v in self.fields.iterator()]
+        fields = [(k[0], v[0]) for k, v in self.fields.iterator()]
         self.known.clear()
         self.fields.clear()
-        yield Row(*self.columns)(*key, cls, command, seq, deleted, fields)
+        yield Row(*self.columns)(*key, cls, command, seq, deleted, [k for k, _ in fields], [v for _, v in fields])
 
     def close(self) -> None:
         pass
@@ -86,8 +86,10 @@ def held_writes(stream: DataFrame, tree: ClassTree, state: Sequence[str], quiet:
     types = {f.name: f.dataType for f in rows.schema.fields}
     out = T.StructType([*(T.StructField(k, types[k]) for k in key), T.StructField("class", T.StringType()),
                         T.StructField("command", T.StringType()), T.StructField("seq", T.LongType()),
-                        T.StructField("deleted", T.BooleanType()), T.StructField("fields", types["fields"])])
+                        T.StructField("deleted", T.BooleanType()), T.StructField("names", T.ArrayType(T.StringType())),
+                        T.StructField("values", T.ArrayType(T.StringType()))])
     # not filtered before: Spark would do so below the watermark
     merged = rows.groupBy(*key).transformWithState(
         statefulProcessor=Merge(quiet_ms, out.names), outputStructType=out, outputMode="Update", timeMode="EventTime")
-    return merged.withColumn("fields", F.map_from_entries(F.array_sort("fields")))
+    entries = F.array_sort(F.arrays_zip("names", "values"))
+    return merged.withColumn("fields", F.map_from_entries(entries)).drop("names", "values")
