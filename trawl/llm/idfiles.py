@@ -157,6 +157,14 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+def _runs(text: str) -> list[str]:
+    text = text.encode().lower().decode()
+    # split() also cuts at these four, which aren't White_Space
+    if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+        return WORD.findall(text)
+    return text.split()
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library. The vocabulary's normalizer and splitter work on
     each run of anything but white space alone, so distinct runs are encoded once. It lower-cases
@@ -189,10 +197,10 @@ class WordEncoder:
     def _words(self, text: str | None) -> list[str]:
         text = text or ""
         pieces = self.cut.split(text) if any(token in text for token in self.spelled) else [text]
-        words = WORD.findall(pieces[0].encode().lower().decode())
+        words = _runs(pieces[0])
         for token, piece in zip(pieces[1::2], pieces[2::2]):
             words.append(" " + token)
-            words += WORD.findall(piece.encode().lower().decode())
+            words += _runs(piece)
         return words
 
     def restart(self) -> None:
