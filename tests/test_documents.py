@@ -272,3 +272,21 @@ def test_index_of_a_specification(spark):
     everything = {(r.term, r.source) for r in index.postings.where("field = '_text'").collect()}
     assert {("oak", "Shelf_info"), ("shelf", "Shelf_name"), ("sea", "Shelf_Books_title")} <= everything
     assert {r.doc_id for r in index.documents.collect()} == {one, "2-Shelf-[]"}
+
+
+def test_failed_values_are_written_beside_documents(spark, tmp_path):
+    """One pass gives documents, failures and counts; absent values and those of other classes don't fail."""
+    rows = spark.createDataFrame(
+        [(1, "7", "2024-01-01"), (2, "x", "nonsense"), (3, None, None), (4, "", "20240102")], "ID long, Size string, Made string")
+    spec = IndexSpec(ClassTree([ClassDef("Item", rows)])).add_class("Item")
+    spec.add_filter_field("Size", "Int").add_filter_field("Made", "Date")
+    checked = D.write_checked(D.build_documents(spec, errors=True), str(tmp_path / "docs"))
+    failed = sorted((r["_documentid"], r["field"], r["raw"], r["reason"]) for r in checked.errors.collect())
+    assert failed == [("2-Item-[]", "Item_Made", "nonsense", "not a tdate"), ("2-Item-[]", "Item_Size", "x", "not a tint"),
+                      ("4-Item-[]", "Item_Size", "", "not a tint")]
+    assert (checked.n_documents, checked.n_errors) == (4, 3)
+    plain = D.build_documents(spec)
+    assert checked.documents.columns == plain.columns
+    assert sorted(map(str, checked.documents.collect())) == sorted(map(str, plain.collect()))
+    none = D.write_checked(D.build_documents(spec, gate=F.lit(False), errors=True), str(tmp_path / "none"))
+    assert (none.n_documents, none.n_errors, none.errors.count()) == (0, 0, 0)

@@ -9,9 +9,10 @@ array; filters, facets and text analysis all read the long form.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from trawl.functions.values import convert
 from trawl.operators.spec import FieldSpec, Hop, IndexSpec
@@ -50,9 +51,21 @@ def follow(tree: ClassTree, roots: DataFrame, hops: Sequence[Hop], leaves: Seque
     raise ValueError("a relation path needs at least one step")
 
 
+ERRORS = "_errors"
+
+
+def _failure(spec: FieldSpec, raw: Column, inside: Column) -> Column:
+    """What could not be converted to the type of its field; null if it could or was absent."""
+    kind = spec.index_type()
+    failed = inside & raw.isNotNull() & convert(raw, kind).isNull()
+    return F.when(failed, F.struct(F.lit(spec.name).alias("field"), raw.cast("string").alias("raw"),
+                                   F.lit(f"not a {kind}").alias("reason")))
+
+
 def _attach_single(tree: ClassTree, rows: DataFrame, hops: Sequence[Hop],
-                   specs: Sequence[FieldSpec]) -> DataFrame:
-    """Left-join has_one targets straight onto the rows, one join per step."""
+                   specs: Sequence[FieldSpec], errors: bool = False) -> DataFrame:
+    """Left-join has_one targets straight onto the rows, one join per step. With ``errors`` the
+    raw values stay beside them."""
     own = rows.columns
     link = F.col(hops[0].relation.key)
     for i, hop in enumerate(hops):
@@ -60,13 +73,15 @@ def _attach_single(tree: ClassTree, rows: DataFrame, hops: Sequence[Hop],
         target = tree.rows(hop.relation.target)
         if last:
             carried = [convert(F.col(s.field), s.index_type()).alias(s.name) for s in specs]
+            carried += [F.col(s.field).alias(f"__raw_{s.name}") for s in specs if errors]
         else:
             carried = [F.col(hops[i + 1].relation.key).alias(f"__link{i}")]
         target = target.select(F.col("ID").alias("__target"), *carried)
         rows = rows.join(target, link == F.col("__target"), "left").drop("__target")
         link = F.col(f"__link{i}")
     guarded = {s.name: F.when(class_is(*s.origin), F.col(s.name)) for s in specs}
-    return rows.select(*own, *[expr.alias(n) for n, expr in guarded.items()])
+    raw = [F.col(f"__raw_{s.name}") for s in specs if errors]
+    return rows.select(*own, *raw, *[expr.alias(n) for n, expr in guarded.items()])
 
 
 def _by_path(specs: Sequence[FieldSpec]) -> dict[tuple[Hop, ...], list[FieldSpec]]:
@@ -90,10 +105,11 @@ def _class_rows(spec: IndexSpec, base: str) -> DataFrame:
 
 
 def build_documents(spec: IndexSpec, variants: Sequence[Variant] = (),
-                    gate: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+                    gate: Column | None = None, keep: Sequence[str] = (), errors: bool = False) -> DataFrame:
     """One row per object and state, with every single-valued field of the index.
 
-    ``gate`` drops rows that may not be indexed; ``keep`` passes raw columns on.
+    ``gate`` drops rows that may not be indexed; ``keep`` passes raw columns on. A value that
+    can't be converted is absent; with ``errors`` each row lists its own (``write_checked``).
     """
     frames = []
     for base in spec.base_classes():
@@ -103,15 +119,23 @@ def build_documents(spec: IndexSpec, variants: Sequence[Variant] = (),
         rows = rows.withColumn("base", F.lit(base))
         singles = [f for f in spec.fields().values() if not f.multi_valued and base in f.base]
         for hops, specs in _by_path([f for f in singles if f.hops]).items():
-            rows = _attach_single(spec.tree, rows, hops, specs)
+            rows = _attach_single(spec.tree, rows, hops, specs, errors)
         rows = fan_out(rows, variants).withColumn("state", state_json(variants))
-        fields = []
+        fields, failures = [], []
         for f in singles:
             if f.hops:
                 fields.append(F.col(f.name))
+                raw = F.col(f"__raw_{f.name}")
             elif f.field in rows.columns:
-                value = convert(F.col(f.field), f.index_type())
-                fields.append(F.when(class_is(*f.origin), value).alias(f.name))
+                raw = F.col(f.field)
+                fields.append(F.when(class_is(*f.origin), convert(raw, f.index_type())).alias(f.name))
+            else:
+                continue
+            if errors:
+                failures.append(_failure(f, raw, class_is(*f.origin)))
+        if errors:
+            none = F.array().cast("array<struct<field:string,raw:string,reason:string>>")
+            fields.append((F.filter(F.array(*failures), F.isnotnull) if failures else none).alias(ERRORS))
         frames.append(rows.select(
             document_id(F.col("ID"), F.col("base"), F.col("state")).alias("_documentid"),
             "ID", "ClassName", "ClassHierarchy", "base", "state",
@@ -121,6 +145,28 @@ def build_documents(spec: IndexSpec, variants: Sequence[Variant] = (),
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+@dataclass(frozen=True)
+class Checked:
+    """Documents as written, the values that failed (``_documentid, field, raw, reason``), and how many documents and
+    failures the writing pass has counted."""
+
+    documents: DataFrame
+    errors: DataFrame
+    n_documents: int
+    n_errors: int
+
+
+def write_checked(built: DataFrame, path: str) -> Checked:
+    """Write documents that were built with ``errors`` once. One pass makes the documents, their failures and
+    the counts; a retried task counts once."""
+    spark, seen = built.sparkSession, Observation()
+    built.observe(seen, F.count("*").alias("documents"), F.coalesce(F.sum(F.size(ERRORS)), F.lit(0)).alias("errors")) \
+        .write.parquet(path)
+    written, counts = spark.read.schema(built.schema).parquet(path), seen.get
+    failed = written.select("_documentid", F.explode(ERRORS).alias("e")).select("_documentid", "e.*")
+    return Checked(written.drop(ERRORS), failed, counts["documents"], counts["errors"])
+
+
 def build_values(spec: IndexSpec, gate: Column | None = None) -> DataFrame | None:
     """Multi-valued fields, long: ``base, ID, field, value_id, value`` (as strings)."""
     frames = []

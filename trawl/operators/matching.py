@@ -295,11 +295,15 @@ def only(hits: DataFrame, documents: DataFrame, predicate: Column) -> DataFrame:
     return hits.join(allowed, "doc_id")
 
 
-def boosted(hits: DataFrame, documents: DataFrame, boosts: Sequence[tuple[Column, float]]) -> DataFrame:
-    """Add a weight to the score of documents that meet a predicate."""
+def boosted(hits: DataFrame, documents: DataFrame, boosts: Sequence[tuple[Column, float | Column]]) -> DataFrame:
+    """Add a weight to the score of documents that meet a predicate. A weight may also be a function
+    of the documents' fields; where it has no value it adds nothing."""
+    def of(weight: float | Column) -> Column:
+        return F.coalesce(weight.cast("double"), F.lit(0.0)) if isinstance(weight, Column) else F.lit(float(weight))
+
     extra = reduce(
         lambda a, b: a + b,
-        (F.when(p, F.lit(float(w))).otherwise(F.lit(0.0)) for p, w in boosts),
+        (F.when(p, of(w)).otherwise(F.lit(0.0)) for p, w in boosts),
     )
     added = documents.select("doc_id", extra.alias("extra"))
     return hits.join(added, "doc_id").select(

@@ -102,7 +102,7 @@ def search(index: TextIndex, queries: Sequence[M.SearchQuery],
            query_fields: dict[str, float] | None = None,
            current: dict[str, str] | None = None, multi: Iterable[str] = (),
            offset: int = -1, limit: int = -1,
-           boosts: Sequence[tuple[Column, float]] = (),
+           boosts: Sequence[tuple[Column, float | Column]] = (),
            order: Sequence[Column] = (), pins: DataFrame | None = None, facets: Sequence[str] = (),
            hook: Callable[[DataFrame], DataFrame] | None = None) -> SearchResult:
     """Search for a batch of queries with distinct ids, each with its own page and filters.

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trawl.functions import analysis as A
+from trawl.functions.phrases import phrase_synonyms
 from trawl.functions.profiles import PROFILES
 from trawl.operators.postings import in_parallel, term_count
+from trawl.operators.sizing import materialised, scratch_folder
 from trawl.plans import sqltext as S
 from trawl.plans.registry import query
 from trawl.plans.sample import read
+from trawl.sources.rulefiles import read_synonyms
 
 
 def shown(slots: Column) -> Column:
@@ -157,6 +160,47 @@ terms AS (SELECT doc_id, i - 1 AS pos, unnest({_sample_rules(_expand)}) AS term
     )
 
 
+RULE_PAIRS, RULE_WORDS = 9000, 1000
+LOW = f"""{S.words(S.DOCUMENTS)},
+low AS (SELECT doc_id, i, lower(w) AS w, lead(lower(w)) OVER (PARTITION BY doc_id ORDER BY i) AS following FROM tok),
+pairs AS (SELECT DISTINCT w, following FROM low WHERE regexp_full_match(w, '[a-m][a-z]*')
+  AND regexp_full_match(following, '[n-z][a-z]*') ORDER BY w, following LIMIT {RULE_PAIRS}),
+single AS (SELECT DISTINCT w FROM pairs ORDER BY w LIMIT {RULE_WORDS})"""
+
+
+def synonym_file(spark: SparkSession, sf: str) -> str:
+    """Rules made of the documents' own words: pairs become three words, some words that begin them one other."""
+    low = F.transform(A.whitespace(F.col("text")), F.lower)
+    two = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(
+        F.element_at("w", i).alias("w"), F.element_at("w", i + 1).alias("following")))
+    pairs = (
+        read(spark, sf, "documents").select(low.alias("w")).where(F.size("w") > 1).select(F.explode(two).alias("p")).select("p.*")
+        .where(F.col("w").rlike("^[a-m][a-z]*$") & F.col("following").rlike("^[n-z][a-z]*$")).distinct()
+        .orderBy("w", "following").limit(RULE_PAIRS)
+    )
+    pairs = materialised(pairs)
+    lines = pairs.select(F.concat_ws(" ", "w", "following", F.lit("=>"), F.reverse("w"), F.lit("mid"), F.reverse("following")).alias("value"))
+    words = pairs.select("w").distinct().orderBy("w").limit(RULE_WORDS)
+    path = scratch_folder(spark, "rules")
+    lines.unionByName(words.select(F.concat("w", F.lit(" => only")).alias("value"))).write.text(path)
+    return path
+
+
+@query("analyze_synonyms_file", f"""WITH {LOW},
+marked AS (SELECT l.*, p.w IS NOT NULL AS two, s.w IS NOT NULL AS one FROM low l
+  LEFT JOIN pairs p ON l.w = p.w AND l.following = p.following LEFT JOIN single s ON l.w = s.w),
+sides AS (SELECT doc_id, i, CASE WHEN coalesce(lag(two) OVER (PARTITION BY doc_id ORDER BY i), false) THEN []
+  WHEN two THEN [reverse(w), 'mid', reverse(following)] WHEN one THEN ['only'] ELSE [w] END AS side FROM marked),
+placed AS (SELECT *, coalesce(sum(len(side)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin
+  FROM sides),
+terms AS (SELECT doc_id, begin + generate_subscripts(side, 1) - 1 AS pos, unnest(side) AS term FROM placed)
+{S.listing(S.DOCUMENTS)}""")
+def analyze_synonyms_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten thousand rules of one and of two words, read from a file: the longest match, and where its words stand."""
+    rules_text = read_synonyms(spark, synonym_file(spark, sf))
+    return over_documents(A.chain(A.whitespace, A.lower, phrase_synonyms(rules_text)))(spark, sf)
+
+
 @query("analyze_path", """WITH parts AS (
   SELECT page_id AS doc_id, url,
          list_filter(string_split(url, '/'), lambda p: p <> '') AS ps FROM pages),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trawl.functions import values as V
 from trawl.operators import documents as D
 from trawl.operators import store
+from trawl.operators.sizing import scratch_folder
 from trawl.operators.spec import IndexSpec
 from trawl.operators.variants import LIVE, STAGE, SUBSITE, state_json
 from trawl.plans.registry import query
@@ -283,6 +284,24 @@ def field_error_null(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+ERRORS_SQL = """failed AS (
+  SELECT o_orderkey || '-Order-[]' AS _documentid, 'Order_o_orderpriority' AS field, o_orderpriority AS raw, 'not a tint' AS reason
+  FROM orders WHERE o_orderpriority IS NOT NULL AND try_cast(o_orderpriority AS BIGINT) IS NULL
+  UNION ALL SELECT o_orderkey || '-Order-[]', 'Order_Customer_c_mktsegment', c_mktsegment, 'not a tdouble'
+  FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment IS NOT NULL AND try_cast(c_mktsegment AS DOUBLE) IS NULL)"""
+
+
+@query("field_errors", f"""WITH {ERRORS_SQL}
+SELECT *, (SELECT count(*) FROM failed) AS n_errors, (SELECT count(*) FROM orders) AS n_documents FROM failed""")
+def field_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Values that no conversion reads, beside the documents that go on without them, counted by the same pass."""
+    spec = IndexSpec(tree(spark, sf, "Party", "Customer", "Order", "Nation", "Region", "Supplier")).add_class("Order")
+    spec.add_filter_field("o_orderpriority", "Int").add_filter_field("o_totalprice", "Double")
+    spec.add_filter_field("Customer.c_mktsegment", "Double").add_filter_field("Customer.c_acctbal", "Double")
+    checked = D.write_checked(D.build_documents(spec, errors=True), f"{scratch_folder(spark, 'checked')}/documents")
+    return checked.errors.withColumns({"n_errors": F.lit(checked.n_errors).cast("long"), "n_documents": F.lit(checked.n_documents).cast("long")})
+
+
 # Documents ------------------------------------------------------------------
 
 @query("doc_build", f"""WITH {STATED}

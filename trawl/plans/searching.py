@@ -159,6 +159,15 @@ def search_boost_query(spark: SparkSession, sf: str) -> DataFrame:
     return search(document_index(spark, sf), [q], boosts=boosts).matches
 
 
+@query("search_boost_value", f"""WITH {words_sql()}
+SELECT 'q' AS query_id, doc_id, round(score + coalesce(CASE WHEN n_chars > 0 THEN ln(n_chars) / 10 END, 0.0)
+  + CASE WHEN lang = 'en' THEN n_chars / 100000.0::DOUBLE ELSE 0.0 END, 6) AS score FROM hits JOIN documents USING (doc_id)""")
+def search_boost_value(spark: SparkSession, sf: str) -> DataFrame:
+    """A field's value adds to the score, for all documents and for some."""
+    boosts = [(F.lit(True), F.when(F.col("n_chars") > 0, F.ln("n_chars") / 10)), (F.col("lang") == "en", F.col("n_chars") / 100000.0)]
+    return search(document_index(spark, sf), [Q("q").add_search_term(WORDS)], boosts=boosts).matches
+
+
 @query("search_match_all", "SELECT 'q' AS query_id, doc_id, 1.0 AS score FROM documents WHERE lang <> 'es'")
 def search_match_all(spark: SparkSession, sf: str) -> DataFrame:
     q = Q("q").add_exclude("lang", "es")
