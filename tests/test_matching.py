@@ -262,10 +262,26 @@ def test_expanded_and_folded_words_are_marked(spark):
     words = results.highlight_terms(got.terms)
     text = F.lit("Café PowerShot, firefly-FIRE 4x4 cafés")
     row = got.matches.join(words, "query_id").select(results.mark_terms(text, F.col("words")).alias("m")).first()
-    assert row.m == ("<em>Café</em> <em>Power</em>Shot, <em>firefly</em>-<em>FIRE</em> "
+    assert row.m == ("<em>Café</em> <em>Power</em>Shot, <em>firefly-FIRE</em> "
                      "<em>4</em>x<em>4</em> cafés")
 
 
+def test_joined_runs_and_html_are_marked(spark):
+    words = F.array(*map(F.lit, ("wifi", "fire", "44", "cafe", "powershot", "ab")))
+    cases = {
+        "Wi-Fi and WI - FI": "<em>Wi-Fi</em> and WI - FI", "(wi.fi)": "(<em>wi.fi</em>)", "wifi's Power_Shot2": "<em>wifi</em>'s <em>Power_Shot</em>2",
+        "4.4 4x4 a-b": "<em>4.4</em> 4x4 <em>a-b</em>", "fire-fly Fire/fire": "<em>fire</em>-fly <em>Fire</em>/<em>fire</em>", "": "", "-": "-",
+    }
+    html = {
+        "<p class='fire'>Fire <b>wi</b>fi Wi-<i>Fi</i></p>": "<p class='fire'><em>Fire</em> <b>wi</b>fi Wi-<i>Fi</i></p>",
+        "<!-- fire --><script>fire</script>caf&eacute; &amp; x&lt;fire": "<!-- fire --><script>fire</script><em>caf&eacute;</em> &amp; x&lt;<em>fire</em>",
+        "a < fire, AT&T wi-fi": "a < <em>fire</em>, AT&T <em>wi-fi</em>", "": "", "Caf&#233;s (caf&#233;)": "Caf&#233;s (<em>caf&#233;</em>)",
+    }
+    for given, fn in ((cases, results.mark_terms), (html, results.mark_html)):
+        rows = spark.createDataFrame([(t,) for t in given], "t string").select("t", fn(F.col("t"), words).alias("m")).collect()
+        assert {r.t: r.m for r in rows} == given
+
+
 def test_order_pins_and_facets_of_a_search(spark):
     rules = spark.createDataFrame(
         [("quick", 9, False, 1), ("quick", 3, True, None), ("other", 4, False, 1)],

@@ -8,12 +8,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trawl.functions.analysis import PARTS_CASE
 from trawl.functions.folding import ascii_fold
+from trawl.functions.markup import strip_html
 from trawl.operators import lookups as L
 from trawl.operators.sizing import materialised
 from trawl.operators.store import TextIndex, Wanted
 
 TOKEN = r"[\p{L}\p{M}\p{N}]+"
 TOKENS = rf"{TOKEN}|[^\p{{L}}\p{{M}}\p{{N}}]+"
+PUNCTUATION = r"[^\p{L}\p{M}\p{N}\s]"
+#: Runs joined over punctuation, and those of one kind within them.
+TOKENS_JOINED = rf"{TOKEN}(?:{PUNCTUATION}+{TOKEN})*|[^\p{{L}}\p{{M}}\p{{N}}]+"
+KINDS = rf"[\p{{L}}\p{{M}}]+(?:{PUNCTUATION}+[\p{{L}}\p{{M}}]+)*|\p{{N}}+(?:{PUNCTUATION}+\p{{N}}+)*|{PUNCTUATION}+"
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,7});"
+WITH_REFERENCES = rf"(?:{TOKEN})?(?:{REFERENCE}(?:{TOKEN})?)+"
+# punctuation in front of a reference doesn't take it along
+TOKENS_HTML = rf"{WITH_REFERENCES}|{TOKEN}(?:[^\p{{L}}\p{{M}}\p{{N}}\s&]+{TOKEN})*|[^\p{{L}}\p{{M}}\p{{N}}&]+|&"
+MARKUP = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[!/]?[a-zA-Z][^>]*>"
 EMPHASIS = ("<em>", "</em>")
 
 
@@ -66,20 +76,50 @@ def mark(text: Column, words: Column) -> Column:
 
 
 def mark_terms(text: Column, words: Column) -> Column:
-    """Wrap whatever the analysis of plain text makes one of ``words``: whole runs of letters and
-    digits, else their parts at changes of case or to digits, compared folded and in lower case.
-    Runs joined over punctuation are not marked."""
-    def marked(token: Column) -> Column:
-        found = F.array_contains(words, ascii_fold(F.lower(token)))
-        return F.when(found, F.concat(F.lit(EMPHASIS[0]), token, F.lit(EMPHASIS[1])))
-
-    def run(token: Column) -> Column:
-        pieces = F.regexp_extract_all(token, F.lit(f"{PARTS_CASE}|."), F.lit(0))
-        parts = F.transform(pieces, lambda p: F.coalesce(marked(p), p))
-        return F.coalesce(marked(token), F.array_join(parts, ""))
-
-    tokens = F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0))
-    return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(TOKEN), run(t)).otherwise(t)), "")
+    """Wrap whatever the analysis of plain text makes one of ``words``, compared folded and in lower case:
+    whole runs of letters and digits, their parts at changes of case or to digits, and parts of one kind
+    that the analysis joins over punctuation (``Wi-Fi`` for ``wifi``), from the first to the last."""
+    return _each(text, TOKENS_JOINED, lambda t: F.when(t.rlike(TOKEN), _chunk(t, words)).otherwise(t))
+
+
+def mark_html(html: Column, words: Column) -> Column:
+    """The same in the text of an HTML page: tags, comments, scripts and styles stay as they are, and what they
+    part is never one word. A word with references (``caf&eacute;``) is compared decoded as a whole, else by what
+    is between them."""
+    def word(t: Column) -> Column:
+        apart = _each(t, f"{REFERENCE}|[^&]+|&", lambda p: F.when(F.startswith(p, F.lit("&")), p).otherwise(_chunk(p, words)))
+        with_references = F.coalesce(_marked(t, strip_html(t), words), apart)
+        return F.when(F.contains(t, F.lit("&")), with_references).when(t.rlike(TOKEN), _chunk(t, words)).otherwise(t)
+
+    def segment(s: Column) -> Column:
+        return F.when(F.startswith(s, F.lit("<")), s).otherwise(_each(s, TOKENS_HTML, word))
+
+    return _each(html, f"{MARKUP}|[^<]+|<", segment)
+
+
+def _each(text: Column, pattern: str, fn) -> Column:
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), fn), "")
+
+
+def _marked(shown: Column, compared: Column, words: Column) -> Column:
+    found = F.array_contains(words, ascii_fold(F.lower(compared)))
+    return F.when(found, F.concat(F.lit(EMPHASIS[0]), shown, F.lit(EMPHASIS[1])))
+
+
+def _run(token: Column, words: Column) -> Column:
+    """A run of letters and digits, or its parts."""
+    parts = _each(token, f"{PARTS_CASE}|.", lambda p: F.coalesce(_marked(p, p, words), p))
+    return F.coalesce(_marked(token, token, words), parts)
+
+
+def _chunk(chunk: Column, words: Column) -> Column:
+    """Runs with punctuation between them: parts of one kind that follow each other are also compared joined."""
+    def kind(k: Column) -> Column:
+        joined = _marked(k, F.regexp_replace(k, PUNCTUATION, ""), words)
+        apart = _each(k, TOKENS, lambda t: F.when(t.rlike(TOKEN), _run(t, words)).otherwise(t))
+        return F.coalesce(F.when(k.rlike(TOKEN), joined), apart)
+
+    return F.when(chunk.rlike(PUNCTUATION), _each(chunk, KINDS, kind)).otherwise(_run(chunk, words))
 
 
 def snippet(text: Column, words: Column, around: int = 5) -> Column:

@@ -74,6 +74,24 @@ def highlight_expanded(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", D.mark_terms(F.col("text"), F.col("words")).alias("marked"))
 
 
+@query("highlight_html", rf"""WITH cut AS (
+  SELECT page_id, regexp_extract_all(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[!/]?[a-zA-Z][^>]*>|[^<]+|<') AS ss
+  FROM pages),
+segments AS (SELECT page_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS i FROM cut),
+runs AS (SELECT page_id, i, s, unnest(ts) AS t, generate_subscripts(ts, 1) AS j FROM (
+  SELECT *, CASE WHEN s LIKE '<%' THEN [s] ELSE regexp_extract_all(s,
+    '&(?:#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|[a-zA-Z][a-zA-Z0-9]{{1,7}});|[\p{{L}}\p{{M}}\p{{N}}]+|[^\p{{L}}\p{{M}}\p{{N}}&]+|&') END AS ts FROM segments) AS x),
+pieces AS (SELECT page_id, i, j, s LIKE '<%' AS tag, unnest(ps) AS p, generate_subscripts(ps, 1) AS k FROM (
+  SELECT *, CASE WHEN s LIKE '<%' OR t LIKE '&%' OR {S.fold('lower(t)')} IN ('anea', 'thon', 'de', 'la') THEN [t]
+    ELSE regexp_extract_all(t, '(?s){S.PARTS_CASE}|.') END AS ps FROM runs) AS y),
+shown AS (SELECT *, CASE WHEN NOT tag AND {S.fold('lower(p)')} IN ('anea', 'thon', 'de', 'la') THEN '<em>' || p || '</em>' ELSE p END AS m FROM pieces)
+SELECT page_id, string_agg(m, '' ORDER BY i, j, k) AS marked FROM shown GROUP BY 1""")
+def highlight_html(spark: SparkSession, sf: str) -> DataFrame:
+    """Words marked in the text of all pages, their markup and references untouched."""
+    words = F.array(*map(F.lit, ("anea", "thon", "de", "la")))
+    return read(spark, sf, "pages").select("page_id", D.mark_html(F.col("html"), words).alias("marked"))
+
+
 @query("highlight_query", r"""WITH p AS (
   SELECT item_id, regexp_extract_all(text, '"[^"]*"|\S+') AS ps FROM benchmark)
 SELECT CAST(item_id AS VARCHAR) AS query_id, array_to_string(ps, ' ') AS hl_query FROM p""")
