@@ -7,8 +7,9 @@ several runs, they are compacted into one of the next level, so a batch meets fe
 
 A line's key is the line with white space stripped at both ends and A-Z lower-cased, as 128 bits of
 hash. Null or empty texts are one empty line. Rows without an id count as no document and keep all
-lines; rows with equal ids are one document. A line that one document repeats counts once. An empty
-table gives no rows; columns named like an output are replaced.
+lines; rows with equal ids are one document. A line that one document repeats counts once. What a text
+costs grows in proportion to its lines, dropped ones too. An empty table gives no rows; columns named
+like an output are replaced.
 """
 
 from __future__ import annotations
@@ -95,23 +96,25 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """``docs`` with ``out_col``, the text without its repeated lines, ``n_lines`` before dropping and
     ``n_dropped``. With ``out_col`` the text column itself, texts are replaced."""
-    lines = split_lines(F.col(text_col))
-    long = F.filter(F.transform(lines, line_key), lambda key: F.char_length(key) >= min_chars)
-    entries = saved(docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("doc"), F.explode(F.array_distinct(F.transform(long, _hashes))).alias("h"),
-    ).select("doc", "h.h1", "h.h2"), "entries")
-    repeated = repeated_lines(entries, batches, min_docs)
-    gone = entries.distinct().join(repeated, ["h1", "h2"]).where("doc <> top").groupBy(F.col("doc").alias("__doc")).agg(
-        F.collect_list(F.struct("h1", "h2")).alias("__gone"))
-
-    def stays(line: Column) -> Column:
-        key = line_key(line)
-        return (F.char_length(key) < min_chars) | ~F.array_contains(F.col("__gone"), _hashes(key))
-
-    kept = docs.join(gone, docs[id_col] == F.col("__doc"), "left").withColumn("__lines", split_lines(F.col(text_col)))
-    kept = kept.withColumn("__kept", F.when(F.col("__gone").isNull(), F.col("__lines")).otherwise(F.filter("__lines", stays)))
+    numbered = F.transform(split_lines(F.col(text_col)), lambda line, i: F.struct(i.alias("line"), line_key(line).alias("key")))
+    long = F.filter(numbered, lambda entry: F.char_length(entry["key"]) >= min_chars)
+    # the text's hash is taken before the explode, so that no text is copied for each of its lines
+    hashed = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("text"),
+        F.transform(long, lambda entry: F.struct(entry["line"].alias("line"), _hashes(entry["key"]).alias("h"))).alias("lines"))
+    entries = saved(hashed.select("doc", "text", F.explode_outer("lines").alias("e")).where("e IS NOT NULL")
+                    .select("doc", "text", "e.line", "e.h.h1", "e.h.h2"), "entries")
+    repeated = repeated_lines(entries.select("doc", "h1", "h2"), batches, min_docs)
+    # equal texts of one id have the same lines to drop
+    gone = entries.join(repeated, ["h1", "h2"]).where("doc <> top").groupBy(
+        F.col("doc").alias("__doc"), F.col("text").alias("__text")).agg(F.collect_set("line").alias("__gone"))
+    same = (docs[id_col] == F.col("__doc")) & (F.xxhash64(docs[text_col]) == F.col("__text"))
+    kept = docs.join(gone, same, "left").withColumn("__lines", split_lines(F.col(text_col)))
+    # line numbers are a hashed set; a line is then read by its number
+    numbers = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
+    left = F.transform(numbers, lambda i: F.get("__lines", i))
     return kept.withColumns({
-        out_col: F.when(F.col("__gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join("__kept", "\n")),
+        out_col: F.when(F.col("__gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(left, "\n")),
         "n_lines": F.size("__lines").cast("long"),
-        "n_dropped": (F.size("__lines") - F.size("__kept")).cast("long"),
-    }).drop("__doc", "__gone", "__lines", "__kept")
+        "n_dropped": F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__lines") - F.size(numbers)).cast("long"),
+    }).drop("__doc", "__text", "__gone", "__lines")
