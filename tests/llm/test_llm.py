@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -246,6 +247,19 @@ def test_personal_data(spark):
     assert pii.find_personal_data(rows(spark, [])).count() == 0
 
 
+def test_personal_data_of_a_text_of_very_many_addresses():
+    text = " ".join(f"mail user{i}@mail.example.com or ask ID-{i:06d} +1 (234) 555-0101x" for i in range(100_000))
+    start = time.monotonic()
+    spans = pii.base_spans(text)
+    found = pii.candidates(text, spans)
+    assert time.monotonic() - start < 60
+    assert sum(s[0] == "email" for s in spans) == 100_000 and len(found) >= 200_000
+    part = text[:20_000]
+    spans = pii.base_spans(part)
+    free = [(c["start"], c["end"]) for c in pii.candidates(part, spans) if c["seed"] is None]
+    assert free and all(b <= x or y <= a for a, b in free for _, x, y in spans)
+
+
 def test_shards(spark):
     texts = TEXTS + ["y" * (i % 50) for i in range(500)]
     out = shards.shard(rows(spark, texts).repartition(5), shards=8, parts=6).orderBy("doc_id").collect()
@@ -283,6 +297,26 @@ def test_line_runs(spark):
     assert lines.drop_repeated_lines(rows(spark, [])).count() == 0
 
 
+def test_line_runs_of_a_text_of_very_many_lines(spark):
+    shared = [f"shared line {k} that is longer than forty characters" for k in range(50_000)]
+    own = [f"own line {k} that is longer than forty characters" for k in range(100_000)]
+    texts = ["\n".join(own + shared + shared)] + ["\n".join(shared)] * 4
+    start = time.monotonic()
+    out = {r["doc_id"]: r for r in lines.drop_repeated_lines(rows(spark, texts)).collect()}
+    assert time.monotonic() - start < 60
+    assert (out[0]["kept"], out[0]["n_lines"], out[0]["n_dropped"]) == ("\n".join(own), 200_000, 100_000)
+    assert [out[i]["n_dropped"] for i in range(1, 5)] == [50_000] * 3 + [0] and out[4]["kept"] == texts[4]
+
+
+def test_line_runs_of_repeated_ids(spark):
+    line = "a line that is certainly longer than forty characters"
+    texts = [line] * 5 + ["x\n" + line, line, line + "\ny", line]
+    out = lines.drop_repeated_lines(rows(spark, texts, [0, 1, 2, 3, 4, 4, 1, 1, 1])).collect()
+    got = sorted((r["doc_id"], r["text"], r["kept"]) for r in out)
+    assert got == sorted((i, t, t if i == 4 else "\n".join(x for x in t.split("\n") if x != line))
+                         for i, t in zip([0, 1, 2, 3, 4, 4, 1, 1, 1], texts))
+
+
 def test_language(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     learned = docs.where("doc_id % 3 <> 1")

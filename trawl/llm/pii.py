@@ -9,7 +9,9 @@ on. In the end the patterns discover identifiers that no base pattern matches, n
 and never over them.
 
 The graph is kept in tables and scored by joins and sums; no pattern's or instance's links are
-gathered in one place. Null texts are empty and have no spans. Rows are told apart by id and text, so
+gathered in one place. A context is read from the 80 characters before an identifier and the 40 after
+it, so a longer word there counts by its nearer part. What a text costs grows in proportion to its
+length. Null texts are empty and have no spans. Rows are told apart by id and text, so
 rows with equal ids keep their own spans, and equal rows have equal ones. Empty tables give no rows.
 """
 
@@ -83,11 +85,15 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     """Identifiers with their contexts: base spans, and tokens that overlap none."""
     found = [(a, b, kind) for kind, a, b in spans]
     if "@" in text or _DIGIT.search(text):
+        begun, reach = 0, 0  # base spans that begin before the token ends, and how far they go
         for m in _TOKEN.finditer(text):
             token = m[0].strip(_EDGE)
             a = m.start() + m[0].find(token)
             b = a + len(token)
-            if len(token) >= TOKEN_CHARS and _TOKEN.match(token) and not any(x < b and a < y for _, x, y in spans):
+            while begun < len(spans) and spans[begun][1] < b:
+                reach = max(reach, spans[begun][2])
+                begun += 1
+            if len(token) >= TOKEN_CHARS and _TOKEN.match(token) and reach <= a:
                 found.append((a, b, None))
     out = []
     for a, b, kind in found:
