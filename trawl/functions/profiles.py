@@ -8,6 +8,7 @@ from pyspark.sql import Column
 
 from trawl.functions import analysis as A
 from trawl.functions.markup import strip_html
+from trawl.functions.metaphone import phonetic_codes
 from trawl.functions.stemming import porter
 
 
@@ -55,7 +56,7 @@ PROFILES: dict[str, Profile] = {
     "textSpellHtml": _same(A.chain(A.standard, *_SPELL, char_filter=strip_html)),
     "lowercase": _same(A.chain(A.keyword, A.lower)),
     "alphaOnlySort": _same(A.chain(A.keyword, A.lower, A.trim, A.pattern_replace("[^a-z]"))),
-    "phonetic": _same(A.chain(A.standard, A.phonetic)),
+    "phonetic": _same(A.chain(A.standard, phonetic_codes)),
     "text_path": _same(A.chain(A.path_hierarchy)),
     "string": _same(A.chain(A.keyword)),
 }

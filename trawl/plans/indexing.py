@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trawl.functions import analysis as A
+from trawl.functions import analysis as A, metaphone
 from trawl.functions.stemming import stem_table
 from trawl.operators import postings as P
 from trawl.operators import store
@@ -117,6 +117,48 @@ def analyze_phonetic(spark: SparkSession, sf: str) -> DataFrame:
     return vocab.select("term", "df", code.alias("code"))
 
 
+def _metaphone_place() -> str:
+    """What the rules say of a place in a word: its codes and how many letters they use up."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def denied(pattern: str) -> bool:
+        return pattern.startswith("!")
+
+    by_letter = ""
+    for rule in metaphone.TABLE:
+        tests = []
+        if rule.before:
+            given = rule.before.lstrip("!")
+            given = f"[{given}]" if denied(rule.before) and given not in ("WI", "^M") else given
+            tests.append(f"{'NOT ' if denied(rule.before) else ''}regexp_matches(before, {quoted(f'(?:{given})$')})")
+        after = f"[^{rule.after[1:]}]" if denied(rule.after) else rule.after
+        here = quoted(f"^({rule.letters})(?:{after})")
+        tests.append(f"regexp_matches(rest, {here})")
+        if rule.flag:
+            tests.append(f"{'NOT ' if denied(rule.flag) else ''}has_{rule.flag.lstrip('!')}")
+        by_letter += (f"WHEN {' AND '.join(tests)} THEN {{'p': {quoted(rule.primary)}, 's': {quoted(rule.secondary)}, "
+                      f"'k': length(regexp_extract(rest, {here}, 1))}}\n")
+    return f"CASE {by_letter} END"
+
+
+@query("analyze_double_metaphone", f"""WITH RECURSIVE {S.terms(TEXT)},
+vocab AS (SELECT term, count(DISTINCT doc_id) AS df FROM terms GROUP BY 1),
+words AS (SELECT term, upper(term) AS w, {", ".join(f"regexp_matches(upper(term), '{pattern}') AS has_{flag}" for flag, pattern in metaphone.FLAGS)} FROM vocab),
+places AS (SELECT *, substr(w, 1, i - 1) AS before, substr(w, i) || '~' AS rest FROM (SELECT *, unnest(range(1, length(w) + 1)) AS i FROM words) AS x),
+ruled AS (SELECT term, i, {_metaphone_place()} AS x FROM places),
+walk AS (SELECT term, i, x FROM ruled WHERE i = 1
+  UNION ALL SELECT r.term, r.i, r.x FROM walk w JOIN ruled r ON r.term = w.term AND r.i = w.i + w.x.k),
+codes AS (SELECT term, substr(string_agg(x.p, '' ORDER BY i), 1, 4) AS p, substr(string_agg(x.s, '' ORDER BY i), 1, 4) AS s FROM walk GROUP BY 1)
+SELECT term, df, CASE WHEN p = '' AND s = '' THEN term WHEN p = '' OR p = s THEN s WHEN s = '' THEN p ELSE p || ' ' || s END AS codes
+FROM vocab JOIN codes USING (term)""")
+def analyze_double_metaphone(spark: SparkSession, sf: str) -> DataFrame:
+    """Both double metaphone codes of every vocabulary term; a term without one is its own."""
+    vocab = document_index(spark, sf).vocab
+    slot = F.try_element_at(metaphone.phonetic_codes(F.array("term")), F.lit(1))
+    return vocab.select("term", "df", F.replace(slot, F.lit(A.ALT), F.lit(" ")).alias("codes"))
+
+
 @query("index_publish", f"""WITH {S.terms(TEXT)}
 SELECT 'documents' AS "table", count(*) AS n FROM documents
 UNION ALL SELECT 'postings', count(*) FROM (SELECT DISTINCT term, doc_id FROM terms) AS p
