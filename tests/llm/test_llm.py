@@ -435,3 +435,11 @@ def test_queries_are_whole(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in ("op3_bottom_k_sketch", "op4_wu_manber", "op6_bootstrapped_pii"):
         assert queries.QUERIES[name](spark, SF).count() == n
+
+
+def test_pipeline_encodes_without_a_second_copy_of_the_texts(spark, monkeypatch):
+    read_by, add_columns = [], bpe.add_columns
+    monkeypatch.setattr(bpe, "add_columns", lambda frame, *rest: read_by.append(frame.columns) or add_columns(frame, *rest))
+    out = corpus_pipeline.encode(spark, rows(spark, TEXTS), SF)
+    assert "text" in read_by[0] and "text" not in read_by[1]
+    assert [r["round_trip"] for r in out.collect()] == [True] * len(TEXTS)
