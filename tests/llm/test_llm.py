@@ -437,6 +437,13 @@ def test_queries_are_whole(spark):
         assert queries.QUERIES[name](spark, SF).count() == n
 
 
+def test_rank_table_has_a_place_for_each_pair(vocab):
+    offsets, table = bpe.displaced(vocab.pairs)
+    for pair, rank in vocab.pairs.items():
+        assert table[offsets[pair >> 16] + (pair & 65_535)] == pair >> 16 << 32 | rank
+    assert sum(entry is not None for entry in table) == len(vocab.pairs)
+
+
 def test_pipeline_encodes_without_a_second_copy_of_the_texts(spark, monkeypatch):
     read_by, add_columns = [], bpe.add_columns
     monkeypatch.setattr(bpe, "add_columns", lambda frame, *rest: read_by.append(frame.columns) or add_columns(frame, *rest))

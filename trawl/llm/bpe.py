@@ -31,8 +31,10 @@ WORDS, CHUNKS = 500_000, 150_000
 #: Words with more symbols are merged with a heap instead: the fold's work grows with the square.
 LONG = 512
 NO_RANK = 2**31 - 1
-#: Places over which left ids are spread, and the factor that spreads them.
-SPREAD, MIX = 1 << 16, 40_503
+#: Marks an element that a merge drops.
+GONE = -1
+#: Offsets among which left ids choose at first, the factor that spreads them, and choices before there are more.
+SPREAD, MIX, TRIES = 1 << 19, 40_503, 10_000
 #: The White_Space code points, which \s stands for in the tokenizer's pattern.
 SPACE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 
@@ -60,22 +62,45 @@ def pair_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
     return out
 
 
+def displaced(pairs: dict[int, int]) -> tuple[list, list]:
+    """Each left id's offset, and the entries ``left id << 32 | rank`` at offset plus right id.
+    The longest rows choose first among offsets that meet no taken place; a table too
+    small for that is doubled."""
+    rows: dict[int, list[int]] = {}
+    for pair in pairs:
+        rows.setdefault(pair >> 16, []).append(pair & 65_535)
+    spread = SPREAD
+    while True:
+        offsets, taken = [None] * 65_536, np.zeros(spread + 65_536, bool)
+        for left in sorted(rows, key=lambda x: (-len(rows[x]), x)):
+            rights = np.array(rows[left])
+            tries = (left * MIX + k * MIX for k in range(TRIES))
+            offset = next((at % spread for at in tries if not taken[at % spread + rights].any()), None)
+            if offset is None:
+                break
+            offsets[left] = offset
+            taken[offset + rights] = True
+        else:
+            break
+        spread *= 2
+    table: list[int | None] = [None] * (spread + 65_536)
+    for pair, rank in pairs.items():
+        table[offsets[pair >> 16] + (pair & 65_535)] = pair >> 16 << 32 | rank
+    return offsets, table
+
+
 def rank_map(pairs: dict[int, int]):
-    """The literal rank map as a function of two id Columns; null where a pair has no rank.
+    """The literal rank table as a function of two id Columns; ``NO_RANK`` where a pair has none.
 
-    A map literal would be searched from its start, so it is dealt into an array of small
-    maps: the left id, spread over the array, plus the right id is a pair's place there."""
-    places: list[dict[int, int] | None] = [None] * (SPREAD + 65_536)
-    for pair, rank in pairs.items():
-        left, right = pair >> 16, pair & 65_535
-        place = left * MIX % SPREAD + right
-        places[place] = {**(places[place] or {}), left: rank}
+    A map literal would be searched from its start, and many small maps are slow to send to
+    every task, so the pairs are in one array, each at a place of its own."""
     # Folded once while planning; a literal per number would take a call each.
-    maps = F.from_json(F.lit(json.dumps(places, separators=(",", ":"))), "array<map<string,bigint>>")
-    maps = maps.cast("array<map<bigint,bigint>>")
+    offsets, table = (F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<bigint>") for x in displaced(pairs))
 
     def rank(left: Column, right: Column) -> Column:
-        return F.element_at(F.get(maps, (left * MIX % SPREAD + right).cast("int")), left)
+        # another left id's entry differs in its high bits, which is over any rank; least passes over null
+        entry = table[offsets[left] + right]
+        return F.least(entry.bitwiseXOR(F.shiftleft(left, 32)), F.lit(NO_RANK).cast("bigint"))
 
     return rank
 
@@ -107,36 +132,45 @@ def fold_merges(elements: Column, rank) -> Column:
     merged until no pair has a rank.
 
     An element holds the rank of its pair with the next one, its place in the word and its
-    id, in this order of bits, so that the array's least element is the next merge. A merge
-    changes that element and the one before it and drops the one after it."""
-    def merge(acc: Column, at: Column) -> Column:
-        this, left = F.get(acc, at - 1), F.get(acc, at - 2)
-        token = F.shiftright(this, 32)  # a joined token's id is its rank
-        merged = F.struct(token.alias("l"), _token(F.get(acc, at + 1)).alias("r"),
-                          (this.bitwiseAND(F.lit(0xFFFF0000)) + token).alias("base"))
-        before = F.struct(_token(left).alias("l"), token.alias("r"),
-                          left.bitwiseAND(F.lit(0xFFFFFFFF)).alias("base"))
-        changed = F.when(at > 1, F.array(before, merged)).otherwise(F.array(merged))
-        return F.concat(
-            F.slice(acc, 1, F.greatest(at - 2, F.lit(0))),
-            F.transform(changed, lambda e: F.coalesce(rank(e["l"], e["r"]), F.lit(NO_RANK)) * 2**32 + e["base"]),
-            F.slice(acc, at + 2, F.size(elements)))
+    id, in this order of bits, so that the array's least element is the next merge and says
+    where it is. A merge changes that element and the one before it, drops the one after it and
+    moves the others up. All this is one pass over the array and a removal, as slices, joins
+    and searches of small arrays cost several times as much."""
+    def ranked(left: Column, right: Column, base: Column) -> Column:
+        return F.shiftleft(rank(left, right), 32).bitwiseOR(base)
+
+    def merge(acc: Column, least: Column, gone: Column) -> Column:
+        token = F.shiftright(least, 32)  # a joined token's id is its rank
+        merged = ranked(token, _token(F.get(acc, gone + 1)), least.bitwiseAND(F.lit(0xFFFF0000)).bitwiseOR(token))
+
+        def changed(e: Column, i: Column) -> Column:
+            return (F.when(i > gone, e - 0x10000).when(i == gone, F.lit(GONE)).when(e == least, merged)
+                    .when(i < gone - 2, e).otherwise(ranked(_token(e), token, e.bitwiseAND(F.lit(0xFFFFFFFF)))))
+
+        return F.array_remove(F.transform(acc, changed), F.lit(GONE))
+
+    def after(least: Column) -> Column:
+        return (F.shiftright(least, 16).bitwiseAND(F.lit(0xFFFF)) + 1).cast("int")
 
     def step(acc: Column, _: Column) -> Column:
-        least = F.array_min(acc)
-        place = F.array(F.array_position(acc, least).cast("int"))
-        return F.when(least >= NO_RANK * 2**32, acc).otherwise(F.transform(place, lambda at: merge(acc, at))[0])
+        # an array of one element stands for a local name
+        return F.transform(F.array(F.array_min(acc)), lambda least: F.when(least >= NO_RANK * 2**32, acc).otherwise(
+            F.transform(F.array(after(least)), lambda gone: merge(acc, least, gone))[0]))[0]
 
     folded = F.aggregate(F.sequence(F.lit(1), F.size(elements) - 1), elements, step,
-                         lambda acc: F.transform(acc, _token))
-    return (F.when(F.size(elements) < 2, F.transform(elements, _token))
-            .when(F.size(elements) > LONG, F.transform(elements, lambda e: -1 - _token(e))).otherwise(folded))
+                         lambda acc: F.transform(acc, _id))
+    return (F.when(F.size(elements) < 2, F.transform(elements, _id))
+            .when(F.size(elements) > LONG, F.transform(elements, lambda e: -1 - _id(e))).otherwise(folded))
 
 
 def _token(element: Column) -> Column:
     return element.bitwiseAND(F.lit(0xFFFF))
 
 
+def _id(element: Column) -> Column:
+    return _token(element).cast("int")
+
+
 def heap_merges(ids: list[int], pairs: dict[int, int]) -> list[int]:
     """The same for a very long word, with a heap of candidate pairs."""
     ids, n = list(ids), len(ids)
