@@ -8,12 +8,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F, types as T
 
 import corpus_pipeline
-from trawl.llm import bpe, contamination, idfiles, language, lines, pii, quality, queries, shards, simhash, sketches
+from trawl.llm import bpe, common, contamination, idfiles, language, lines, pii, quality, queries, shards, simhash, sketches
 from trawl.operators.sizing import scratch_folder
 
 SF = "/root/testdata/sf0.001"
@@ -450,3 +451,22 @@ def test_pipeline_encodes_without_a_second_copy_of_the_texts(spark, monkeypatch)
     out = corpus_pipeline.encode(spark, rows(spark, TEXTS), SF)
     assert "text" in read_by[0] and "text" not in read_by[1]
     assert [r["round_trip"] for r in out.collect()] == [True] * len(TEXTS)
+
+
+def test_python_gets_batches_of_bounded_bytes(spark):
+    # a slice's buffer is the whole batch's
+    def start():
+        def step(texts):
+            return [pa.array([texts.buffers()[2].size] * len(texts), pa.int64())]
+
+        return step
+
+    texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("0123456789"), 1000).alias("text"))
+    held = common.add_columns(texts, [T.StructField("held", T.LongType())], ["text"], start).agg(F.max("held"), F.count("*")).first()
+    assert held[0] <= 2 * common.BATCH_BYTES and held[1] == 3000
+
+
+def test_bpe_plan_holds_the_rank_table_once(spark, vocab):
+    encoded = bpe.encode(rows(spark), vocab, decoded_col="decoded")
+    plan = encoded._jdf.queryExecution().logical().toString()
+    assert plan.count("from_json") <= 2

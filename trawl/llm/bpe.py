@@ -89,20 +89,25 @@ def displaced(pairs: dict[int, int]) -> tuple[list, list]:
     return offsets, table
 
 
-def rank_map(pairs: dict[int, int]):
-    """The literal rank table as a function of two id Columns; ``NO_RANK`` where a pair has none.
+def with_ranks(pairs: dict[int, int], use) -> Column:
+    """What ``use`` makes of the literal rank table, given to it as a function of two id Columns;
+    ``NO_RANK`` where a pair has none.
 
     A map literal would be searched from its start, and many small maps are slow to send to
-    every task, so the pairs are in one array, each at a place of its own."""
+    every task, so the pairs are in one array, each at a place of its own. It is large, so the plan
+    has it once, as the only element of an array that is passed to all lookups."""
     # Folded once while planning; a literal per number would take a call each.
-    offsets, table = (F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<bigint>") for x in displaced(pairs))
+    tables = (F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<bigint>") for x in displaced(pairs))
 
-    def rank(left: Column, right: Column) -> Column:
-        # another left id's entry differs in its high bits, which is over any rank; least passes over null
-        entry = table[offsets[left] + right]
-        return F.least(entry.bitwiseXOR(F.shiftleft(left, 32)), F.lit(NO_RANK).cast("bigint"))
+    def found(both: Column) -> Column:
+        def rank(left: Column, right: Column) -> Column:
+            # another left id's entry differs in its high bits, which is over any rank; least passes over null
+            entry = both["table"][both["offsets"][left] + right]
+            return F.least(entry.bitwiseXOR(F.shiftleft(left, 32)), F.lit(NO_RANK).cast("bigint"))
 
-    return rank
+        return use(rank)
+
+    return F.transform(F.array(F.struct(next(tables).alias("offsets"), next(tables).alias("table"))), found)[0]
 
 
 class Vocabulary:
@@ -282,9 +287,11 @@ def _number_words(ranks: dict[bytes, int], pattern: str, words_held: int):
     return start
 
 
-def _gather_ids(pairs: dict[int, int], spell=None):
+def _gather_ids(ranks: dict[bytes, int], spell=None):
     def start():
         flat = starts = lengths = None
+        # several times as large as the ranks, and only very long words need them
+        pairs = functools.cache(lambda: pair_ranks(ranks))
 
         def learn(words: pa.Array) -> None:
             """The ids of the words that these rows hold first."""
@@ -294,7 +301,7 @@ def _gather_ids(pairs: dict[int, int], spell=None):
             ends = ends - ends[0]
             if len(ids) and ids.min() < 0:
                 each = [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
-                each = [np.array(heap_merges((-1 - x).tolist(), pairs)) if len(x) and x[0] < 0 else x for x in each]
+                each = [np.array(heap_merges((-1 - x).tolist(), pairs())) if len(x) and x[0] < 0 else x for x in each]
                 ids, ends = np.concatenate(each), ends_to_offsets([len(x) for x in each])
             starts.append(flat.n + ends[:-1])
             lengths.append(np.diff(ends))
@@ -351,14 +358,14 @@ def encode(
         T.StructField("__words", T.ArrayType(T.ArrayType(T.LongType()))),
         T.StructField("__fresh", T.BooleanType()),
     ], [text_col], _number_words(vocab.ranks, vocab.pattern, words_held), drop)
-    rank = rank_map(vocab.pairs)
-    folded = numbered.withColumn("__words", F.transform("__words", lambda w: fold_merges(w, rank)))
+    folded = numbered.withColumn("__words", with_ranks(
+        vocab.pairs, lambda rank: F.transform("__words", lambda w: fold_merges(w, rank))))
     fields = [T.StructField(ids_col, T.BinaryType()), T.StructField(count_col, T.LongType())]
     if decoded_col:
         fields.append(T.StructField(decoded_col, T.BinaryType()))
     return add_columns(
         folded, fields, ["__places", "__words", "__fresh"],
-        _gather_ids(vocab.pairs, _speller(vocab) if decoded_col else None),
+        _gather_ids(vocab.ranks, _speller(vocab) if decoded_col else None),
         ("__places", "__words", "__fresh"), 1 << 20)
 
 

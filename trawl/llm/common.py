@@ -1,7 +1,7 @@
 """Helpers of the operators: added columns in Arrow batches, task dictionaries, shared folders.
 
-Rows pass through ``add_columns`` in slices of bounded text size, so that one batch of
-long texts doesn't decide how much memory a task needs.
+Rows pass through ``add_columns`` in batches and slices of bounded text size, so that one batch
+of long texts doesn't decide how much memory a task needs.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from trawl.operators.sizing import scratch_folder
 
 SLICE_BYTES = 1 << 20
+#: Bytes of rows that a task gathers for its Python worker, unless the session says how many. Spark's
+#: own bound of 64 MB leaves most tasks one batch, held by the executor beside its heap and by the worker.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark, sf_dir: str, table: str) -> DataFrame:
@@ -70,9 +73,15 @@ def add_columns(
             del step
             give_back()
 
+    bound_batches(frame.sparkSession)
     return frame.mapInArrow(run, schema)
 
 
+def bound_batches(spark) -> None:
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def give_back() -> None:
     """Return freed memory to the system: Spark keeps a task's Python worker for later tasks."""
     gc.collect()
