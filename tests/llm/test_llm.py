@@ -470,3 +470,37 @@ def test_bpe_plan_holds_the_rank_table_once(spark, vocab):
     encoded = bpe.encode(rows(spark), vocab, decoded_col="decoded")
     plan = encoded._jdf.queryExecution().logical().toString()
     assert plan.count("from_json") <= 2
+
+
+def test_words_are_encoded_as_by_the_library():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), idfiles.WordEncoder(path, added_tokens=True)
+    letters = "abz\xdf\xe9\xf6\xf7\xf8\xffAZ\xc9\xd7\xaa\xb5̸́İΣи日" + "1१'.,$%<=>|_-*&^`~\xb4"
+    rng = random.Random(8)
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(4000)] + ["caf\xe9$$$", "re%%%'s", "it's...", "<|endoftext|>"]
+    texts = [None, "", " \n", "\x1cone"] + [" ".join(words[a:a + 5]) + rng.choice(["", " ", " "]) for a in range(0, len(words), 5)]
+    for part in (texts[4:-1], texts):  # with and without what Arrow can't cut
+        ids, counts = encoder.encode(pa.array(part))
+        each = np.split(ids, np.cumsum(counts)[:-1])
+        for text, got in zip(part, each, strict=True):
+            assert got.tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_words_that_end_with_marks_go_together(monkeypatch):
+    encoder = idfiles.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
+    given, encode = [], encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda texts, *rest: given.extend(texts) or encode(texts, *rest))
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(4000)]
+    encoder.encode(pa.array([" ".join(w + rest for w, rest in zip(words, ["$$$", "!", ")", "\xe9", ""] * 800))]))
+    assert len(given) <= 20  # one by one before
+
+
+def test_packing_takes_no_step_for_each_selector_and_word(monkeypatch):
+    ids = np.random.default_rng(4).integers(0, 49_000, 1 << 16)
+    calls, flatnonzero = [], np.flatnonzero
+    monkeypatch.setattr(idfiles.np, "flatnonzero", lambda x: calls.append(len(x)) or flatnonzero(x))
+    words, offsets = idfiles.pack(ids)
+    monkeypatch.undo()
+    assert len(calls) <= 16  # before, for each selector of each word of a block
+    assert (idfiles.unpack(words, offsets, len(ids)) == ids).all()

@@ -21,16 +21,16 @@ from __future__ import annotations
 
 import functools
 import re
+import string
 import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from trawl.llm.common import (
-    Growing, Numbers, binary, ends_to_offsets, ragged, slices,
-)
+from trawl.llm.common import binary, ends_to_offsets, ragged, slices
 
 MAGIC = b"S8BIDS01"
 BLOCK = 256
@@ -41,59 +41,58 @@ COUNTS = (0, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 #: Runs of anything but the White_Space code points.
 WORD = re.compile("[^\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+")
-#: Distinct words a task remembers before it starts afresh.
-WORDS = 400_000
+#: Lower-case letters that lower-casing and composing leave alone.
+PLAIN = "^[a-z\xdf-\xf6\xf8-\xff]+$"
+#: What a letter that such a word ends with is always cut from: nothing in it is composed or an apostrophe.
+MARKS = "".join(sorted(set(string.punctuation) - {"'"}))
+#: Bytes of text whose distinct words are told apart and encoded at once.
+SLICE_BYTES = 16 << 20
 
 
 def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """The words of all blocks, and the first word of each block (one more at the end). In step
-    with all other blocks, each takes the selector with most ids that hold what comes next."""
-    values = values.astype(np.uint64)
+    """The words of all blocks, and the first word of each block (one more at the end). A word
+    takes the selector with most ids that hold what comes next. That is found for all places at
+    once; then all blocks go from word to word side by side."""
     n = len(values)
+    blocks, width = -(-n // block), block + max(COUNTS)
+    held = np.zeros((blocks, width), np.uint64)  # behind a block's end zeros, which fit anywhere
+    held[:, :block] = np.pad(values.astype(np.uint64), (0, blocks * block - n)).reshape(blocks, block)
+    level = np.zeros(held.shape, np.uint8)  # the bits of so many selectors are too few
+    for bits in BITS[1:]:
+        if int(held.max(initial=0)) >> bits:
+            level += held >= np.uint64(1 << bits)
+    chosen = np.zeros((blocks, block), np.uint8)
+    most, reach = level, 1  # the highest level of ``reach`` ids from each place on
+    for selector in range(15, 0, -1):
+        while reach < COUNTS[selector]:
+            more = min(reach, COUNTS[selector] - reach)
+            most = np.maximum(most[:, :-more], most[:, more:])
+            reach += more
+        np.putmask(chosen, most[:, :block] < selector, selector)
+    chosen, begins = chosen.ravel(), np.zeros(blocks * block, bool)
+    used = np.maximum(np.array(COUNTS), 1)
     at = np.arange(0, n, block)
     ends = np.minimum(at + block, n)
-    blocks = np.arange(len(at))
-    # where the next id of more bits than a selector has is
-    most, place, wide = values.max(initial=0), np.arange(n + 1, dtype=np.int32), {}
-    for bits in sorted(set(BITS)):
-        if int(most) >> bits:
-            over = np.append(values >> np.uint64(bits) > 0, True)
-            wide[bits] = np.minimum.accumulate(np.where(over, place, n)[::-1])[::-1]
-    words, owners = [], []
-    while len(blocks):
-        left, chosen = ends - at, np.zeros(len(at), np.int64)
-        for selector in range(1, 16):
-            open_ = chosen == 0
-            if BITS[selector] in wide:
-                open_ &= wide[BITS[selector]][at] - at >= np.minimum(COUNTS[selector], left)
-            chosen[open_] = selector
-        used = np.ones(len(at), np.int64)
-        word = np.zeros(len(at), np.uint64)
-        for selector in np.unique(chosen):
-            mine = np.flatnonzero(chosen == selector)
-            if selector == 0:
-                continue
-            count, bits = COUNTS[selector], BITS[selector]
-            used[mine] = np.minimum(count, left[mine])
-            word[mine] = np.uint64(selector << 60)
-            if bits:
-                for k in range(count):
-                    there = mine[used[mine] > k]
-                    word[there] |= values[at[there] + k] << np.uint64(bits * k)
-        words.append(word)
-        owners.append(blocks)
-        escaped = chosen == 0
-        if escaped.any():
-            words.append(values[at[escaped]])
-            owners.append(blocks[escaped])
-        at = at + used
+    while len(at):
+        begins[at] = True
+        at = at + used[chosen[at]]
         more = at < ends
-        at, ends, blocks = at[more], ends[more], blocks[more]
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
-    owner = np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    return np.concatenate(words)[order], ends_to_offsets(np.bincount(owner))
+        at, ends = at[more], ends[more]
+    at = np.flatnonzero(begins)
+    owner, selector = at // block, chosen[at]
+    at = at + owner * (width - block)
+    escaped, held = selector == 0, held.ravel()
+    place = ends_to_offsets(1 + escaped)
+    words = np.zeros(place[-1], np.uint64)
+    words[place[:-1][escaped] + 1] = held[at[escaped]]
+    for k in range(1, 16):
+        mine = np.flatnonzero(selector == k)
+        if len(mine):
+            word = np.full(len(mine), k << 60, np.uint64)
+            for i in range(COUNTS[k] if BITS[k] else 0):
+                word |= held[at[mine] + i] << np.uint64(BITS[k] * i)
+            words[place[mine]] = word
+    return words, place[np.searchsorted(owner, np.arange(blocks + 1))]
 
 
 def unpack(words: np.ndarray, offsets: np.ndarray, n: int, block: int = BLOCK) -> np.ndarray:
@@ -157,6 +156,16 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+@functools.lru_cache(maxsize=2)
+def _plain_tokenizer(path: str):
+    """The same without what changes or cuts nothing in words that match ``PLAIN``, and how it spells them."""
+    from tokenizers import Tokenizer, pre_tokenizers
+    tokenizer = Tokenizer.from_str(_tokenizer(path).to_str())
+    tokenizer.normalizer, tokenizer.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+    spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    return tokenizer, {c: spell(chr(c))[0][0] for c in range(0xDF, 0x100)}
+
+
 def _runs(text: str) -> list[str]:
     text = text.encode().lower().decode()
     # split() also cuts at these four, which aren't White_Space
@@ -170,19 +179,19 @@ class WordEncoder:
     each run of anything but white space alone, so distinct runs are encoded once. It lower-cases
     and cuts between a letter and a full stop or comma, so A-Z are lower-cased before and what
     such marks end is encoded without them. A run of letters is one word to it, whose last token
-    alone is a word end, so the library gets many of them in one text."""
+    alone is a word end, so the library gets many of them in one text; most letters need no
+    normalizer and no pattern either. Arrow cuts texts at white space and numbers runs."""
 
     TOGETHER = 400
 
     def __init__(self, path: str, added_tokens: bool = False):
-        self.tokenizer = _tokenizer(path)
+        self.tokenizer, (self.plain, self.spelling) = _tokenizer(path), _plain_tokenizer(path)
         self.added, self.spelled, self.cut = {}, [], None
         if added_tokens:
             self._cut_at_added()
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.restart()
 
     def _cut_at_added(self) -> None:
         """The library looks for added tokens in the raw text, before anything else, and treats what is
@@ -203,71 +212,75 @@ class WordEncoder:
             words += _runs(piece)
         return words
 
-    def restart(self) -> None:
-        self.numbers, self.parts = Numbers(), Numbers()
-        self.flat, self.ends = Growing(np.int32), Growing(np.int64)
-        self.part_flat, self.part_starts, self.part_sizes = Growing(np.int32), Growing(np.int64), Growing(np.int64)
-        self.ends.append(np.zeros(1, np.int64))
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _encode(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.int32) for e in found]
 
-    def _learn_parts(self, parts: list[str]) -> None:
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts: all, where each part's begin and how many it has."""
         sizes, order, found, alone = np.zeros(len(parts), np.int64), [], [], []
-        plain = [i for i, part in enumerate(parts) if part.isalpha()]
-        groups = [plain[a:a + self.TOGETHER] for a in range(0, len(plain), self.TOGETHER)]
-        for group, ids in zip(groups, self._encode([" ".join(parts[i] for i in g) for g in groups])):
-            lasts = np.flatnonzero(self.is_end[ids])
-            if len(lasts) != len(group):  # letters that normalization takes apart
-                alone += group
-                continue
-            sizes[group] = np.diff(lasts, prepend=-1)
-            order += group
-            found.append(ids)
-        marked = [i for i, part in enumerate(parts) if part in self.added]
-        alone += [i for i, part in enumerate(parts) if not part.isalpha() and part not in self.added]
+        easy = pc.match_substring_regex(parts, PLAIN).to_numpy(zero_copy_only=False)
+        parts = parts.to_numpy(zero_copy_only=False)
+        rest = np.flatnonzero(~easy).tolist()
+        letters = [i for i in rest if parts[i].isalpha()]
+        for which, tokenizer in ((np.flatnonzero(easy), self.plain), (np.array(letters, np.int64), self.tokenizer)):
+            groups = [which[a:a + self.TOGETHER] for a in range(0, len(which), self.TOGETHER)]
+            texts = [" ".join(parts[group]) for group in groups]
+            if tokenizer is self.plain:
+                texts = [text if text.isascii() else text.translate(self.spelling) for text in texts]
+            for group, ids in zip(groups, self._encode(texts, tokenizer)):
+                lasts = np.flatnonzero(self.is_end[ids])
+                if len(lasts) != len(group):  # letters that normalization takes apart
+                    alone += group.tolist()
+                    continue
+                sizes[group] = np.diff(lasts, prepend=-1)
+                order.append(group)
+                found.append(ids)
+        marked = [i for i in rest if parts[i] in self.added]
+        alone += [i for i in rest if not parts[i].isalpha() and parts[i] not in self.added]
         each = self._encode([parts[i] for i in alone]) + [np.array([self.added[parts[i]]], np.int32) for i in marked]
         alone += marked
         sizes[alone] = [len(x) for x in each]
-        order = np.array(order + alone, np.int64)
+        order = np.concatenate([*order, np.array(alone, np.int64)])
         starts = np.zeros(len(parts), np.int64)
-        starts[order] = self.part_flat.n + ends_to_offsets(sizes[order])[:-1]
-        self.part_flat.append(np.concatenate([np.zeros(0, np.int32), *found, *each]))
-        self.part_starts.append(starts)
-        self.part_sizes.append(sizes)
-
-    def _learn(self, words: list[str]) -> None:
-        parts, counts = [], []
-        for word in words:
-            stem = word.rstrip(".,")
-            if stem and stem != word and "a" <= stem[-1] <= "z":
-                parts += (stem, word[len(stem):])
-                counts.append(2)
-            else:
-                parts.append(word)
-                counts.append(1)
-        number = self.parts.of(parts)
-        self._learn_parts(self.parts.new)
-        self.parts.new = []
-        sizes = self.part_sizes.values[number]
-        ends = ends_to_offsets(sizes)[ends_to_offsets(counts)]
-        self.ends.append(self.flat.n + ends[1:])
-        self.flat.append(ragged(self.part_flat.values, self.part_starts.values[number], sizes))
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        starts[order] = ends_to_offsets(sizes[order])[:-1]
+        return np.concatenate([np.zeros(0, np.int32), *found, *each]), starts, sizes
+
+    def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of distinct words, and where each word's begin (one more at the end)."""
+        stems = pc.ascii_rtrim(words, characters=MARKS)
+        ending = pc.and_(pc.not_equal(stems, words), pc.match_substring_regex(stems, "[a-z]$"))
+        if self.added:
+            ending = pc.and_not(ending, pc.is_in(words, pa.array(list(self.added), words.type)))
+        cut = np.flatnonzero(ending.to_numpy(zero_copy_only=False))
+        tails = [w[len(s):] for w, s in zip(*(x.take(pa.array(cut)).to_numpy(zero_copy_only=False) for x in (words, stems)))]
+        parts = pa.concat_arrays([pc.if_else(ending, stems, words), pa.array(tails, words.type)]).dictionary_encode()
+        flat, starts, sizes = self._parts(parts.dictionary)
+        number = parts.indices.to_numpy()
+        number = np.insert(number[:len(words)], cut + 1, number[len(words):])
+        own = np.ones(len(words), np.int64)
+        own[cut] = 2
+        return ragged(flat, starts[number], sizes[number]), ends_to_offsets(sizes[number])[ends_to_offsets(own)]
+
+    def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, each as a place in a dictionary, and their number for each text."""
+        # Arrow doesn't know added tokens, and cuts at the four marks of ``_runs`` too
+        if any(pc.any(pc.match_substring(texts, mark)).as_py() for mark in (*self.spelled, "\x1c", "\x1d", "\x1e", "\x1f")):
+            each = [self._words(text) for text in texts.to_pylist()]
+            words, counts = pa.array([w for words in each for w in words], pa.string()), [len(x) for x in each]
+        else:
+            cut = pc.utf8_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+            words, counts = cut.flatten(), pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+        return words.dictionary_encode(), ends_to_offsets(counts)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and their number for each text."""
-        if len(self.numbers) >= WORDS:
-            self.restart()
-        numbers = [self.numbers.of(self._words(text)) for text in texts]
-        new, self.numbers.new = self.numbers.new, []
-        if new:
-            self._learn(new)
-        each = ends_to_offsets([len(x) for x in numbers])
-        number = np.concatenate([np.zeros(0, np.int32), *numbers])
-        begin = self.ends.values[number]
-        sizes = self.ends.values[number + 1] - begin
-        return ragged(self.flat.values, begin, sizes), np.diff(ends_to_offsets(sizes)[each])
+        words, each = self._cut(texts)
+        flat, ends = self._word_ids(words.dictionary)
+        number = words.indices.to_numpy()
+        begin = ends[number]
+        sizes = ends[number + 1] - begin
+        return ragged(flat, begin, sizes), np.diff(ends_to_offsets(sizes)[each])
 
 
 SCHEMA = T.StructType([
@@ -297,8 +310,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int,
 
         arrow = pa.schema([("part", pa.int64()), ("before", pa.int64()), ("n_ids", pa.int64()), ("segment", pa.binary())])
         for batch in batches:
-            for piece in slices(batch, 1, 1 << 20):
-                ids, n = encoder.encode(piece.column(1).to_pylist())
+            for piece in slices(batch, 1, SLICE_BYTES):
+                ids, n = encoder.encode(piece.column(1))
                 ends = np.cumsum(n)
                 parts.append(np.insert(ids, ends, end_id))
                 counts.append(n + 1)
