@@ -504,3 +504,13 @@ def test_packing_takes_no_step_for_each_selector_and_word(monkeypatch):
     monkeypatch.undo()
     assert len(calls) <= 16  # before, for each selector of each word of a block
     assert (idfiles.unpack(words, offsets, len(ids)) == ids).all()
+
+
+def test_segments_are_cut_inside_a_slice(spark):
+    assert [b - a for a, b in idfiles.cut_at(np.full(4000, 5), 1000)] == [200] * 20
+    assert idfiles.cut_at(np.array([7, 3000, 0, 1]), 1000) == [(0, 2), (2, 4)]
+    where = scratch_folder(spark, "ids")
+    texts = ["a b c d e f g h " * 20_000] * 10
+    idfiles.write_ids(rows(spark, texts).coalesce(1), where, public_tokenizers.path("word_bpe_49k.json"), 1)
+    assert spark.read.parquet(where).agg(F.max("n_ids")).first()[0] < 2 * idfiles.SEGMENT
+    assert [r["n_tokens"] for r in idfiles.read_ids(spark, where).collect()] == [160_001] * 10

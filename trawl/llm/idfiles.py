@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from trawl.llm.common import binary, ends_to_offsets, ragged, slices
+from trawl.llm.common import binary, ends_to_offsets, give_back, ragged, slices
 
 MAGIC = b"S8BIDS01"
 BLOCK = 256
@@ -283,6 +283,12 @@ class WordEncoder:
         return ragged(flat, begin, sizes), np.diff(ends_to_offsets(sizes)[each])
 
 
+def cut_at(counts: np.ndarray, ids: int) -> list[tuple[int, int]]:
+    """From and to which document each run of about so many ids goes."""
+    cuts = (np.flatnonzero(np.diff((np.cumsum(counts) - counts) // ids)) + 1).tolist()
+    return list(zip([0, *cuts], [*cuts, len(counts)]))
+
+
 SCHEMA = T.StructType([
     T.StructField("part", T.LongType()), T.StructField("before", T.LongType()),
     T.StructField("n_ids", T.LongType()), T.StructField("segment", T.BinaryType()),
@@ -311,17 +317,20 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int,
         arrow = pa.schema([("part", pa.int64()), ("before", pa.int64()), ("n_ids", pa.int64()), ("segment", pa.binary())])
         for batch in batches:
             for piece in slices(batch, 1, SLICE_BYTES):
-                ids, n = encoder.encode(piece.column(1))
-                ends = np.cumsum(n)
-                parts.append(np.insert(ids, ends, end_id))
-                counts.append(n + 1)
-                doc_ids += piece.column(0).to_pylist()
-                if sum(map(len, parts)) >= SEGMENT:
-                    yield row()
-                    before += sum(map(len, parts))
-                    doc_ids, counts, parts = [], [], []
+                (ids, n), names = encoder.encode(piece.column(1)), piece.column(0).to_pylist()
+                ends = ends_to_offsets(n)
+                for a, b in cut_at(n, SEGMENT):
+                    parts.append(np.insert(ids[ends[a]:ends[b]], ends[a + 1:b + 1] - ends[a], end_id))
+                    counts.append(n[a:b] + 1)
+                    doc_ids += names[a:b]
+                    if sum(map(len, parts)) >= SEGMENT:
+                        yield row()
+                        before += sum(map(len, parts))
+                        doc_ids, counts, parts = [], [], []
         if doc_ids:
             yield row()
+        del encoder, counts, parts
+        give_back()
 
     ordered.mapInArrow(run, SCHEMA).write.parquet(path)
 
