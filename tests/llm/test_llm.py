@@ -15,6 +15,7 @@ from pyspark.sql import functions as F, types as T
 
 import corpus_pipeline
 from trawl.llm import bpe, common, contamination, idfiles, language, lines, pii, quality, queries, shards, simhash, sketches
+from trawl.operators import sizing
 from trawl.operators.sizing import scratch_folder
 
 SF = "/root/testdata/sf0.001"
@@ -218,6 +219,24 @@ def test_components_of_a_chain(spark):
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100}
 
 
+def test_joins_of_many_rows_are_not_broadcast(spark, monkeypatch):
+    def plan(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    nodes = simhash.saved(spark.createDataFrame([(7, 1), (7 << 40, 2), (5, 3)], "fp bigint, id bigint"), "nodes")
+    found = simhash.links(nodes)  # 66 rows a node, of which Spark's estimate knows nothing
+    assert "Broadcast" not in plan(found) and [tuple(r) for r in found.collect()] == [(1, 3)]
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 2)
+    joined = nodes.join(sizing.unless_few(nodes.select("fp"), nodes), "fp")
+    assert "Broadcast" not in plan(joined) and joined.count() == 3
+    assert "Broadcast" in plan(nodes.join(sizing.unless_few(nodes.select("fp"), nodes.limit(2)), "fp"))
+    texts = ["same line of forty characters or some more\n" + x for x in "abcdef"]
+    found = lines.drop_repeated_lines(rows(spark, texts, range(6)))
+    assert sorted((r["doc_id"], r["n_dropped"]) for r in found.collect()) == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 0)]
+    edges = spark.createDataFrame([(i, i + 1) for i in range(9)], "a bigint, b bigint")
+    assert {r["root"] for r in simhash.components(edges).collect()} == {0}
+
+
 def brute_spans(text):
     def digits(m):
         return re.sub("[^0-9]", "", m[0])

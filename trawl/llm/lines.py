@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trawl.llm.common import range_parts, saved
+from trawl.operators.sizing import unless_few
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -52,9 +53,9 @@ class Runs:
         own = saved(batch.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc").alias("top")), "batch")
         new = own
         for run in self.all():
-            new = new.join(run.select("h1", "h2"), ["h1", "h2"], "left_anti")
+            new = new.join(unless_few(run.select("h1", "h2"), run), ["h1", "h2"], "left_anti")
         if self.levels:
-            known = own.join(new.select("h1", "h2"), ["h1", "h2"], "left_anti").withColumn("top", F.lit(None).cast(own.schema["top"].dataType))
+            known = own.join(unless_few(new.select("h1", "h2"), own), ["h1", "h2"], "left_anti").withColumn("top", F.lit(None).cast(own.schema["top"].dataType))
             own = new.unionByName(known)
         self._push(0, [own])
         return new
@@ -104,9 +105,9 @@ def drop_repeated_lines(
         F.transform(long, lambda entry: F.struct(entry["line"].alias("line"), _hashes(entry["key"]).alias("h"))).alias("lines"))
     entries = saved(hashed.select("doc", "text", F.explode_outer("lines").alias("e")).where("e IS NOT NULL")
                     .select("doc", "text", "e.line", "e.h.h1", "e.h.h2"), "entries")
-    repeated = repeated_lines(entries.select("doc", "h1", "h2"), batches, min_docs)
+    repeated = saved(repeated_lines(entries.select("doc", "h1", "h2"), batches, min_docs), "repeated")
     # equal texts of one id have the same lines to drop
-    gone = entries.join(repeated, ["h1", "h2"]).where("doc <> top").groupBy(
+    gone = entries.join(unless_few(repeated, repeated), ["h1", "h2"]).where("doc <> top").groupBy(
         F.col("doc").alias("__doc"), F.col("text").alias("__text")).agg(F.collect_set("line").alias("__gone"))
     same = (docs[id_col] == F.col("__doc")) & (F.xxhash64(docs[text_col]) == F.col("__text"))
     kept = docs.join(gone, same, "left").withColumn("__lines", split_lines(F.col(text_col)))

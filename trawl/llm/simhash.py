@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from trawl.llm.common import add_columns, saved
+from trawl.operators.sizing import unless_few
 
 SEED = 42
 NEAR = 3
@@ -56,7 +57,8 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "f
 
 def links(nodes: DataFrame) -> DataFrame:
     """Pairs ``a < b`` of ids whose fingerprints differ in 1 to ``NEAR`` bits. ``nodes`` has distinct
-    fingerprints ``fp`` with an ``id`` each. A pair that both halves find counts in the first."""
+    fingerprints ``fp`` with an ``id`` each. A pair that both halves find counts in the first.
+    Spark sizes a side without its explode, which makes 66 rows of a node, so neither may be broadcast."""
     high = F.shiftrightunsigned("fp", 32)
     low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
     half = 2**32
@@ -67,7 +69,7 @@ def links(nodes: DataFrame) -> DataFrame:
     probes = nodes.select(F.col("fp").alias("fp2"), F.col("id").alias("id2"), F.explode(near).alias("key"))
     apart = F.col("fp").bitwiseXOR(F.col("fp2"))
     first_half = F.bit_count(F.shiftrightunsigned(apart, 32))
-    found = tables.join(probes, (tables["key"] == probes["key"]) & (F.col("fp") < F.col("fp2"))
+    found = tables.join(probes.hint("merge"), (tables["key"] == probes["key"]) & (F.col("fp") < F.col("fp2"))
                         & (F.bit_count(apart) <= NEAR)
                         & ((tables["key"] < half) | (first_half > 1)))
     return found.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
@@ -84,10 +86,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
+        large = both.where("b > a").join(unless_few(least, edges), "a").select(F.col("m").alias("a"), "b")
         large = saved(large.where("a < b").distinct(), "edges")
         least = large.groupBy("b").agg(F.min("a").alias("m"))
-        joined = large.join(least, "b")
+        joined = large.join(unless_few(least, large), "b")
         small = joined.select(F.col("m").alias("x"), F.col("a").alias("y")).union(joined.select(F.col("m").alias("x"), F.col("b").alias("y")))
         edges = saved(small.where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -102,7 +104,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = saved(with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")), "t", drop=("t",)), "fingerprints")
     nodes = saved(marked.where("doc_id IS NOT NULL").groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("id")), "nodes")
     roots = components(links(nodes))
-    groups = nodes.join(roots, "id", "left").select(
+    groups = nodes.join(unless_few(roots, roots), "id", "left").select(
         F.col("fp").alias("fingerprint"), F.coalesce("root", "id").alias("component_id"))
     return marked.join(groups, "fingerprint", "left").select(
         "doc_id", "fingerprint", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

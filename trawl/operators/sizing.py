@@ -48,5 +48,11 @@ def checked_broadcast(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame
     return F.broadcast(kept) if within(kept, rows) else kept
 
 
+def unless_few(side: DataFrame, written: DataFrame) -> DataFrame:
+    """A side of a join that has about as many rows as some written ones. Spark broadcasts it by the size
+    of their files, which says little of the rows it then holds; beyond the bound the join shuffles."""
+    return side if within(written, BROADCAST_ROWS) else side.hint("merge")
+
+
 def within(frame: DataFrame, rows: int) -> bool:
     return frame.limit(rows + 1).count() <= rows
