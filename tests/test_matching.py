@@ -167,6 +167,32 @@ def test_lookups_of_a_published_index_are_pruned(spark, tmp_path):
     assert "In(doc_id" in pushed and "bucket" in partitions
 
 
+def test_postings_are_grouped_and_written_in_place(spark, tmp_path, monkeypatch):
+    """Values of their own need no shuffle of postings, neither to be grouped nor to be published."""
+    texts = ["a b a Wi-Fi's a", "", " the ", None, "b wi-fi2 b 2", "x"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "b a")], "doc_id long, text string")
+    sources = [P.TextSource("_text", docs), P.TextSource("rev", docs, "text_rev")]
+    index = store.build(docs.drop("text"), sources)
+    plan = index.postings._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "hashpartitioning" not in plan
+
+    def rows(frame):
+        columns = ("field", "term", "source", "doc_id", "val_no", "tf", "positions", "n_terms")
+        return sorted(map(tuple, frame.select(*columns).collect()), key=repr)
+
+    assert rows(index.postings) == rows(P.postings(P.explode_terms(P.analysed(sources)))) != []
+    twice = [P.TextSource("_text", docs.union(docs))]  # the same value in two rows is one posting
+    found = rows(store.build(docs.drop("text"), twice).postings)
+    assert found == rows(P.postings(P.explode_terms(P.analysed(twice)))) and {r[5] % 2 for r in found} == {0}
+    few = store.publish(index, str(tmp_path), 1)
+    for name in ("SMALL_BYTES", "SMALL_TERMS"):
+        monkeypatch.setattr(store, name, 0)
+    many = store.publish(index, str(tmp_path), 2)
+    for table in ("postings", "vocab", "forward", "pieces", "rotations"):
+        a, b = (getattr(x.tables, table) for x in (few, many))
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect())) != []
+
+
 def test_many_keys_are_looked_up_by_joins(spark, monkeypatch):
     vocab = spark.createDataFrame([("f", w, 1) for w in ("alpha", "alpine", "beta", "ab")], "field string, term string, df long")
     wanted = spark.createDataFrame([("f", w) for w in ("alp*", "*a", "b*", "*")], "field string, term string")

@@ -49,8 +49,11 @@ def in_parallel(frame: DataFrame) -> DataFrame:
     than there are cores. Spark's estimate of its size decides, so no job runs for it;
     large input has splits enough and is not shuffled."""
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return frame.repartition(cores) if size < cores * SPLIT_BYTES else frame
+    return frame.repartition(cores) if estimated_bytes(frame) < cores * SPLIT_BYTES else frame
+
+
+def estimated_bytes(frame: DataFrame) -> int:
+    return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def analysed(sources: Iterable[TextSource]) -> DataFrame:
@@ -99,6 +102,48 @@ def postings(occurrences: DataFrame) -> DataFrame:
     )
 
 
+def _named(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _entries(slots: Column) -> Column:
+    """Terms of an array of slots with their positions, sorted."""
+    def of(slot: Column, pos: Column) -> Column:
+        terms = F.when(F.contains(slot, F.lit(ALT)), F.split(slot, ALT)).otherwise(F.array(slot))
+        found = F.transform(terms, lambda t: F.struct(t.alias("term"), pos.alias("pos")))
+        return F.when(slot != GAP, found).otherwise(F.array().cast("array<struct<term:string,pos:int>>"))
+    return F.sort_array(F.flatten(F.transform(slots, of)))
+
+
+def _runs(sorted_entries: Column) -> Column:
+    """One ``term, positions`` per term, cut where the next term begins."""
+    n = F.size(sorted_entries["term"])
+    ends = F.filter(F.sequence(F.lit(0), n), lambda i: (i == 0) | (i == n) | (
+        F.get(sorted_entries["term"], i) != F.get(sorted_entries["term"], i - 1)))
+    return _named(ends, lambda at: F.transform(F.slice(at, F.lit(1), F.size(at) - 1), lambda start, k: F.struct(
+        F.get(sorted_entries["term"], start).alias("term"),
+        F.slice(sorted_entries["pos"], start + 1, F.get(at, k + 1) - start).alias("positions"))))
+
+
+def postings_in_place(rows: DataFrame) -> DataFrame:
+    """``postings`` of all terms of ``analysed`` rows that have distinct values: they are grouped inside
+    the row of the value, so that nothing is shuffled, spilled or hashed."""
+    runs = _named(_entries(F.col("slots")), lambda e: _named(F.struct(e["term"].alias("term"), e["pos"].alias("pos")), _runs))
+    carried = [c for c in rows.columns if c != "slots"]
+    each = rows.select(*carried, F.explode_outer(runs).alias("run")).where(F.col("run.term").isNotNull())
+    return each.select("field", "run.term", "source", "doc_id", "val_no",
+                       F.size("run.positions").alias("tf"), "run.positions", "n_terms")
+
+
+def has_distinct_values(sources: Iterable[TextSource]) -> bool:
+    """Whether no two texts are the same value of a field. Only their keys are read."""
+    sources = list(sources)
+    names = {(s.field, s.source or s.field) for s in sources}
+    keys = {(id(s.frame), s.multi): s.frame.groupBy("doc_id", *["val_no"] * s.multi).count() for s in sources}
+    return len(names) == len(sources) and all(k.where("count > 1").isEmpty() for k in keys.values())
+
+
 def with_field_length(found: DataFrame, rows: DataFrame, spread: Iterable[str]) -> DataFrame:
     """Postings with the length of the whole field instead of that of one value.
 

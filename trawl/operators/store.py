@@ -29,6 +29,12 @@ BUCKETS = 64
 LITERAL_KEYS = 1000
 #: Rows a published file holds at most, so that its size is bounded whatever a term's frequency.
 FILE_ROWS = 20_000_000
+#: Texts of fewer bytes, and vocabularies of fewer terms, are written in few files by a shuffle. Of more, each task sorts and
+#: writes its own rows, and the tasks are so large that their files aren't small: a shuffle would need several times the disk.
+SMALL_BYTES, SMALL_TERMS = 16 << 20, 200_000
+TASK_BYTES, TASK_TERMS = 256 << 20, 1_000_000
+#: Changed ids that are broadcast, of some 50 bytes each: else all rows of the tables they are joined to are shuffled.
+BROADCAST_IDS = 1_000_000
 
 
 def bucket(term: Column) -> Column:
@@ -143,12 +149,17 @@ class TextIndex:
     def analysed(self) -> DataFrame:
         return P.analysed(self.sources)
 
-    def _grouped(self, occurrences: DataFrame) -> DataFrame:
-        return P.with_field_length(P.postings(occurrences), self.analysed, self.spread)
+    @cached_property
+    def _every_posting(self) -> DataFrame:
+        if P.has_distinct_values(self.sources):
+            found = P.postings_in_place(self.analysed)
+        else:
+            found = P.postings(P.explode_terms(self.analysed))
+        return P.with_field_length(found, self.analysed, self.spread)
 
     @property
     def postings(self) -> DataFrame:
-        return self.tables.postings if self.tables else self._grouped(P.explode_terms(self.analysed))
+        return self.tables.postings if self.tables else self._every_posting
 
     @property
     def vocab(self) -> DataFrame:
@@ -186,7 +197,8 @@ class TextIndex:
         if self.tables:
             postings, vocab = wanted.cut(self.postings), wanted.cut(self.vocab)
         else:
-            postings = materialised(self._grouped(wanted.cut(P.explode_terms(self.analysed))))
+            found = P.postings(wanted.cut(P.explode_terms(self.analysed)))
+            postings = materialised(P.with_field_length(found, self.analysed, self.spread))
             vocab = P.vocabulary(postings, self.spread)
         return postings, vocab.select("field", "term", "df")
 
@@ -212,14 +224,17 @@ def typed_values(values: DataFrame) -> DataFrame:
         "field", value.alias("value"), value.try_cast("double").alias("number"), "doc_id").distinct()
 
 
-def _write(rows: DataFrame, root: str, table: str) -> None:
+def _write(rows: DataFrame, root: str, table: str, in_place: bool = False) -> None:
     """Partitioned and sorted as ``LAYOUTS`` has it. Adaptive execution sizes the tasks by
     the bytes that were shuffled and splits a bucket whose terms are frequent, so a
-    term that is in every document is spread over files."""
+    term that is in every document is spread over files. ``in_place`` rows stay in their task, which
+    writes a sorted file of each bucket; disk is needed for the sort of the running tasks only."""
     layout = LAYOUTS[table]
+    rows = rows.withColumn("bucket", layout.bucket())
+    if not in_place:
+        rows = rows.hint("rebalance", *map(F.col, layout.by))
     (
-        rows.withColumn("bucket", layout.bucket()).hint("rebalance", *map(F.col, layout.by))
-        .sortWithinPartitions(*layout.by, *layout.order)
+        rows.sortWithinPartitions(*layout.by, *layout.order)
         .write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(*layout.by).parquet(f"{root}/{table}")
     )
 
@@ -249,23 +264,33 @@ def _write_generation(index: TextIndex, root: str, spread: Iterable[str], change
     values = index.values
     if values is None:
         values = spark.createDataFrame([], f"field string, value string, number double, doc_id {key}")
+    large = bool(index.sources) and sum(P.estimated_bytes(s.frame) for s in index.sources) >= SMALL_BYTES
     _at_once(lambda: index.documents.write.parquet(f"{root}/documents"),
-             lambda: _write(index.postings, root, "postings"),
+             lambda: _write(index.postings, root, "postings", large),
              lambda: _write(values.select("field", "value", "number", "doc_id"), root, "values"))
     written = _read(spark, root, "postings", key)
     own = written.select("doc_id", "field", "term")
+    if large:
+        own = own.coalesce(_tasks(spark, P.estimated_bytes(written), TASK_BYTES))
     if not index.sources or index.spread:  # else a posting is a document and term already
         own = own.distinct()
 
     vocab = P.vocabulary(written, spread).persist()
-    terms = vocab.select("field", "term")
     try:
-        _at_once(lambda: _write(own, root, "forward"), lambda: _write(change(vocab), root, "vocab"),
-                 lambda: _write(L.pieces(terms), root, "pieces"), lambda: _write(L.rotations(terms), root, "rotations"))
+        terms, n_terms = vocab.select("field", "term"), vocab.count()
+        many = n_terms >= SMALL_TERMS
+        if many:
+            terms = terms.coalesce(_tasks(spark, n_terms, TASK_TERMS))
+        _at_once(lambda: _write(own, root, "forward", large), lambda: _write(change(vocab), root, "vocab"),
+                 lambda: _write(L.pieces(terms), root, "pieces", many), lambda: _write(L.rotations(terms), root, "rotations", many))
     finally:
         vocab.unpersist()
 
 
+def _tasks(spark: SparkSession, size: int, each: int) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-size // each))
+
+
 def publish(index: TextIndex, path: str, generation: int) -> TextIndex:
     """Write one generation of the index tables under a fresh path and read it back.
 
@@ -320,7 +345,7 @@ def summed(vocab: DataFrame, *key: str) -> DataFrame:
 
 def _counted(ids: DataFrame) -> DataFrame:
     """Written ids, to be broadcast if they are few."""
-    return F.broadcast(ids) if within(ids, BROADCAST_ROWS) else ids
+    return F.broadcast(ids) if within(ids, BROADCAST_IDS) else ids
 
 
 def load(spark: SparkSession, roots: str | Iterable[str], spread: Iterable[str] = (),
