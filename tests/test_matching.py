@@ -193,6 +193,18 @@ def test_postings_are_grouped_and_written_in_place(spark, tmp_path, monkeypatch)
         assert sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect())) != []
 
 
+def test_many_words_are_marked_as_few_are(spark):
+    """A wildcard's words grow with the vocabulary; those a text doesn't have change nothing and cost one hash each."""
+    texts = ["Wi-Fi wi-fi2 WIFI x", "(Éa-b) éa thane'S 12.5 a1-b\nab", "", None, "FooBar fooBar-BAZ foobarbaz", "œuvre _ab_ a\u0301b 1-2-3"]
+    some = ["wifi", "ea", "eab", "thane", "125", "foo", "bar", "foobar", "foobarbaz", "oeuvre", "ab", "123", "b"]
+    docs = spark.createDataFrame([(t, some, some + [f"zz{i}" for i in range(4000)], None) for t in texts * 50],
+                                 "t string, few array<string>, many array<string>, none array<string>")
+    marked = docs.select(*[results.mark_terms(F.col("t"), F.col(c)).alias(c) for c in ("few", "many", "none")], "t")
+    rows = marked.collect()
+    assert all(r.few == r.many and r.none == r.t for r in rows) and rows[0].few == "<em>Wi-Fi</em> <em>wi-fi</em>2 <em>WIFI</em> x"
+    assert "array_intersect" in marked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_many_keys_are_looked_up_by_joins(spark, monkeypatch):
     vocab = spark.createDataFrame([("f", w, 1) for w in ("alpha", "alpine", "beta", "ab")], "field string, term string, df long")
     wanted = spark.createDataFrame([("f", w) for w in ("alp*", "*a", "b*", "*")], "field string, term string")

@@ -102,7 +102,7 @@ def postings(occurrences: DataFrame) -> DataFrame:
     )
 
 
-def _named(value: Column, fn) -> Column:
+def named(value: Column, fn) -> Column:
     """``fn`` of a value that is computed once."""
     return F.get(F.transform(F.array(value), fn), F.lit(0))
 
@@ -121,7 +121,7 @@ def _runs(sorted_entries: Column) -> Column:
     n = F.size(sorted_entries["term"])
     ends = F.filter(F.sequence(F.lit(0), n), lambda i: (i == 0) | (i == n) | (
         F.get(sorted_entries["term"], i) != F.get(sorted_entries["term"], i - 1)))
-    return _named(ends, lambda at: F.transform(F.slice(at, F.lit(1), F.size(at) - 1), lambda start, k: F.struct(
+    return named(ends, lambda at: F.transform(F.slice(at, F.lit(1), F.size(at) - 1), lambda start, k: F.struct(
         F.get(sorted_entries["term"], start).alias("term"),
         F.slice(sorted_entries["pos"], start + 1, F.get(at, k + 1) - start).alias("positions"))))
 
@@ -129,7 +129,7 @@ def _runs(sorted_entries: Column) -> Column:
 def postings_in_place(rows: DataFrame) -> DataFrame:
     """``postings`` of all terms of ``analysed`` rows that have distinct values: they are grouped inside
     the row of the value, so that nothing is shuffled, spilled or hashed."""
-    runs = _named(_entries(F.col("slots")), lambda e: _named(F.struct(e["term"].alias("term"), e["pos"].alias("pos")), _runs))
+    runs = named(_entries(F.col("slots")), lambda e: named(F.struct(e["term"].alias("term"), e["pos"].alias("pos")), _runs))
     carried = [c for c in rows.columns if c != "slots"]
     each = rows.select(*carried, F.explode_outer(runs).alias("run")).where(F.col("run.term").isNotNull())
     return each.select("field", "run.term", "source", "doc_id", "val_no",

@@ -10,6 +10,7 @@ from trawl.functions.analysis import PARTS_CASE
 from trawl.functions.folding import ascii_fold
 from trawl.functions.markup import strip_html
 from trawl.operators import lookups as L
+from trawl.operators.postings import named
 from trawl.operators.sizing import materialised
 from trawl.operators.store import TextIndex, Wanted
 
@@ -25,6 +26,10 @@ WITH_REFERENCES = rf"(?:{TOKEN})?(?:{REFERENCE}(?:{TOKEN})?)+"
 TOKENS_HTML = rf"{WITH_REFERENCES}|{TOKEN}(?:[^\p{{L}}\p{{M}}\p{{N}}\s&]+{TOKEN})*|[^\p{{L}}\p{{M}}\p{{N}}&]+|&"
 MARKUP = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[!/]?[a-zA-Z][^>]*>"
 EMPHASIS = ("<em>", "</em>")
+#: A run that is its own only part and compared as it is; the most common ones are.
+PLAIN = r"^[a-z]+\z"
+#: Up to so many words are compared one by one with each run of a text.
+FEW_WORDS = 32
 
 
 def facets(hits: DataFrame, documents: DataFrame, fields: Sequence[str],
@@ -78,8 +83,23 @@ def mark(text: Column, words: Column) -> Column:
 def mark_terms(text: Column, words: Column) -> Column:
     """Wrap whatever the analysis of plain text makes one of ``words``, compared folded and in lower case:
     whole runs of letters and digits, their parts at changes of case or to digits, and parts of one kind
-    that the analysis joins over punctuation (``Wi-Fi`` for ``wifi``), from the first to the last."""
-    return _each(text, TOKENS_JOINED, lambda t: F.when(t.rlike(TOKEN), _chunk(t, words)).otherwise(t))
+    that the analysis joins over punctuation (``Wi-Fi`` for ``wifi``), from the first to the last.
+
+    Of many words, those that the text has are found first, by hashing all that is compared: a wildcard
+    stands for more words the larger the vocabulary is."""
+    def one(t: Column, here: Column) -> Column:
+        plain = F.coalesce(F.when(F.array_contains(here, t), _emphasised(t)), t)
+        return F.when(t.rlike(PLAIN), plain).when(t.rlike(TOKEN), _chunk(t, here)).otherwise(t)
+
+    here = F.when(F.size(words) > FEW_WORDS, F.array_intersect(words, _compared(text))).otherwise(words)
+    return named(here, lambda own: _each(text, TOKENS_JOINED, lambda t: one(t, own)))
+
+
+def _compared(text: Column) -> Column:
+    """What ``mark_terms`` compares of a text: runs, their parts, and runs of one kind joined over punctuation."""
+    runs, parts, joined = (F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in (TOKEN, PARTS_CASE, KINDS))
+    joined = F.transform(joined, lambda k: F.regexp_replace(k, PUNCTUATION, ""))
+    return F.transform(F.array_distinct(F.concat(runs, parts, joined)), lambda t: ascii_fold(F.lower(t)))
 
 
 def mark_html(html: Column, words: Column) -> Column:
@@ -103,7 +123,11 @@ def _each(text: Column, pattern: str, fn) -> Column:
 
 def _marked(shown: Column, compared: Column, words: Column) -> Column:
     found = F.array_contains(words, ascii_fold(F.lower(compared)))
-    return F.when(found, F.concat(F.lit(EMPHASIS[0]), shown, F.lit(EMPHASIS[1])))
+    return F.when(found, _emphasised(shown))
+
+
+def _emphasised(shown: Column) -> Column:
+    return F.concat(F.lit(EMPHASIS[0]), shown, F.lit(EMPHASIS[1]))
 
 
 def _run(token: Column, words: Column) -> Column:
